@@ -1 +1,3 @@
+"""Filled below."""
+
 QUERIES, SQL = {}, {}

@@ -5,24 +5,12 @@ from pyspark.sql import functions as F
 from notemill.functions import sentences as sf, text as tx
 from notemill.operators import cleaning, dedup, references, sentences, statistics
 from notemill.plans import sql
-from notemill.plans.standins import decorated, reactions
+from notemill.plans.registering import joined, register, rounded
+from notemill.plans.standins import cleaned_rows, decorated, reactions
 from notemill.session import spread
 from notemill.sources.tables import table
 
-QUERIES, SQL = {}, {}
-
-
-def query(check: str | None):
-    def register(function):
-        QUERIES[function.__name__] = function
-        if check:
-            SQL[function.__name__] = check
-        return function
-    return register
-
-
-def joined(column):
-    return F.array_join(column, "|")
+QUERIES, SQL, query = register()
 
 
 # --- cleaning -----------------------------------------------------------------------------------
@@ -51,7 +39,7 @@ def citations_removed(spark, folder):
 
 @query(f"WITH {sql.reactions()} SELECT file_id, reaction_id, original_notes, notes, only_references, snippet FROM reactions")
 def notes_cleaned(spark, folder):
-    return reactions(spark, folder).drop("row_order")
+    return cleaned_rows(spark, folder).drop("row_order")
 
 
 @query(f"""WITH {sql.reactions()}
@@ -63,8 +51,6 @@ def reference_lists(spark, folder):
 
 # --- references per file and reaction -----------------------------------------------------------
 
-_FIRST = """firsts AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (
-  PARTITION BY reaction_id, original_notes, notes, only_references, snippet ORDER BY row_order) AS rn FROM reactions) WHERE rn = 1)"""
 _REFS = f"refs AS (SELECT file_id, reaction_id, row_order, unnest({sql.reference_list('only_references')}) AS reference FROM reactions)"
 
 
@@ -81,7 +67,7 @@ def file_summary(spark, folder):
     """Flagship: reaction counts per file joined with note and reference counts of the distinct notes."""
     counts = table(spark, folder, "documents").groupBy(F.col("source").alias("file_id")).agg(
         F.count("*").alias("reaction_count"))
-    rows = reactions(spark, folder).select("file_id", "row_order", "notes", "only_references")
+    rows = cleaned_rows(spark, folder).select("file_id", "row_order", "notes", "only_references")
     return references.file_summary(counts, dedup.keep_first(rows, ["notes", "only_references"], "row_order"))
 
 
@@ -251,13 +237,6 @@ def longest_notes(spark, folder):
     return table_.orderBy(F.desc("num_sentences"), "row_order").limit(10).select("notes", "num_sentences")
 
 
-_ROUND = ("mean", "median", "std", "p5", "p25", "p75", "p95", "iqr")
-
-
-def rounded(df, *columns):
-    return df.withColumns({c: F.round(c, 6) for c in (columns or _ROUND)})
-
-
 @query(f"""WITH {sql.reactions()}, note_rows AS (SELECT DISTINCT notes, original_notes FROM reactions),
 sizes AS (SELECT len({sql.sentences('notes')}) AS num_sentences FROM note_rows)
 {sql.describe('sizes', 'num_sentences')}""")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from notemill.functions import text as tx
 from notemill.operators import cleaning, markup
-from notemill.session import spread
+from notemill.session import materialise, spread
 from notemill.sources.tables import table
 
 DECORATIONS = (
@@ -32,7 +32,7 @@ def decorated(spark: SparkSession, folder: str) -> DataFrame:
     return docs.withColumn("original_notes", F.concat(before, ending, after))
 
 
-def reactions(spark: SparkSession, folder: str) -> DataFrame:
+def cleaned_rows(spark: SparkSession, folder: str) -> DataFrame:
     """file_id, reaction_id, original_notes, notes, only_references, snippet (plus the row order)."""
     return cleaning.clean_notes(decorated(spark, folder)).select(
         F.col("source").alias("file_id"), F.col("doc_id").alias("row_order"),
@@ -40,6 +40,17 @@ def reactions(spark: SparkSession, folder: str) -> DataFrame:
         "original_notes", "notes", "only_references", F.col("text").alias("snippet"))
 
 
+_written: dict[tuple[str, str], DataFrame] = {}
+
+
+def reactions(spark: SparkSession, folder: str) -> DataFrame:
+    """The cleaned rows, written once per application: every analysis reads the written table."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _written:
+        _written[key] = materialise(cleaned_rows(spark, folder), "reactions")
+    return _written[key]
+
+
 def page_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """page_id, snippet (the markup) and notes (the paragraph texts, one per line)."""
     pages = spread(table(spark, folder, "pages").select("page_id", "html"), "page_id")
