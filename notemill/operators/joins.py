@@ -58,8 +58,8 @@ def prefix_matches(ids: DataFrame, id_column: str, names: DataFrame, name_column
     number of id lengths is at most the length of the longest id.
     """
     lengths = ids.agg(F.sort_array(F.collect_set(F.length(id_column))).alias("lengths")).scalar()
-    cut = names.select(F.explode(F.array_distinct(F.transform(
-        lengths, lambda n: F.substring(F.col(name_column), F.lit(1), n)))).alias(id_column)).distinct()
+    by_length = names.withColumn("_length", F.explode(lengths))
+    cut = by_length.select(F.substring(F.col(name_column), F.lit(1), F.col("_length")).alias(id_column)).distinct()
     return ids.join(cut, id_column, "left_semi")
 
 

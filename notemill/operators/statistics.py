@@ -99,12 +99,12 @@ def log10_positive(df: DataFrame, column: str, name: str) -> DataFrame:
     return df.filter(F.col(column) > 0).withColumn(name, F.log10(column))
 
 
-def _shape(counts: DataFrame) -> DataFrame:
-    """One row: n, extremes, quartiles, deviation of a value count table."""
+def _shape(counts: DataFrame, quartiles: bool) -> DataFrame:
+    """One row: n, extremes, deviation and, if asked for, quartiles of a value count table."""
     n, value = F.col("n"), F.col("value").cast("double")
     base = counts.agg(F.sum("n").alias("rows"), F.min(value).alias("low"), F.max(value).alias("high"),
-                      _percentiles(QUARTILES).alias("q"), F.sum(value * n).alias("_sum"),
-                      F.sum(value * value * n).alias("_squares"))
+                      F.sum(value * n).alias("_sum"), F.sum(value * value * n).alias("_squares"),
+                      *([_percentiles(QUARTILES).alias("q")] if quartiles else []))
     variance = (F.col("_squares") - F.col("_sum") * F.col("_sum") / F.col("rows")) / (F.col("rows") - 1)
     return base.withColumn("std", F.sqrt(F.greatest(variance, F.lit(0.0)))).drop("_sum", "_squares")
 
@@ -112,16 +112,18 @@ def _shape(counts: DataFrame) -> DataFrame:
 def histogram(counts: DataFrame, bins: int | None = None) -> DataFrame:
     """Equal-width histogram with densities, empty bins included, from a value count table.
 
-    Without ``bins`` the number is the larger of the Sturges and Freedman-Diaconis ones. A constant
-    column gets one bin of width 1 around its value.
+    Without ``bins`` the number is the larger of the Sturges and Freedman-Diaconis ones; give it for a
+    column of many distinct values, whose quartiles do not fit one task. A constant column gets one
+    bin of width 1 around its value.
     """
-    rows = F.col("rows").cast("double")
-    sturges = F.ceil(F.log2(rows) + 1)
-    iqr = F.col("q")[2] - F.col("q")[0]
-    freedman = F.when(iqr > 0, F.ceil((F.col("high") - F.col("low")) / (2 * iqr / F.pow(rows, F.lit(1 / 3)))))
-    wanted = F.lit(bins).cast("long") if bins else F.greatest(sturges, F.coalesce(freedman, F.lit(1)))
+    wanted = F.lit(bins).cast("long")
+    if not bins:
+        rows = F.col("rows").cast("double")
+        iqr = F.col("q")[2] - F.col("q")[0]
+        freedman = F.when(iqr > 0, F.ceil((F.col("high") - F.col("low")) / (2 * iqr / F.pow(rows, F.lit(1 / 3)))))
+        wanted = F.greatest(F.ceil(F.log2(rows) + 1), F.coalesce(freedman, F.lit(1)))
     flat = F.col("high") == F.col("low")
-    shape = (_shape(counts).withColumn("bins", F.when(flat, 1).otherwise(wanted).cast("long"))
+    shape = (_shape(counts, quartiles=not bins).withColumn("bins", F.when(flat, 1).otherwise(wanted).cast("long"))
              .withColumn("left", F.when(flat, F.col("low") - 0.5).otherwise(F.col("low")))
              .withColumn("width", F.when(flat, 1.0).otherwise((F.col("high") - F.col("low")) / F.col("bins"))))
     s = shape.select(F.struct("rows", "bins", "left", "width").alias("s")).scalar()
@@ -141,7 +143,7 @@ def density_curve(counts: DataFrame, points: int = 40) -> DataFrame:
 
     Works on value counts: every distinct value adds to ``points`` grid places, summed map-side.
     """
-    shape = _shape(counts).withColumn("width", F.col("std") * F.pow(F.col("rows").cast("double"), F.lit(-0.2)))
+    shape = _shape(counts, quartiles=False).withColumn("width", F.col("std") * F.pow(F.col("rows").cast("double"), F.lit(-0.2)))
     s = shape.select(F.struct("rows", "low", "high", "width").alias("s")).scalar()
     at = s["low"] + (s["high"] - s["low"]) * F.col("point") / (points - 1)
     z = (at - F.col("value").cast("double")) / s["width"]
