@@ -50,10 +50,12 @@ def balance(df: DataFrame, column: str) -> DataFrame:
 def _largest_remainder(counts: Column, total: Column, share: Column, stratum: str, name: str, df: DataFrame) -> DataFrame:
     """Deal ``share`` out of ``total`` over the strata in proportion to ``counts``; ties by name.
 
-    The window runs over one row per stratum.
+    The window runs over one row per stratum. Products of row counts outgrow 64 bits, hence decimals.
     """
-    df = df.withColumns({"_whole": F.floor(share * counts / total).cast("long"),
-                         "_rest": (share * counts) % total})
+    product = share.cast("decimal(19,0)") * counts.cast("decimal(19,0)")
+    rest = product % total.cast("decimal(19,0)")
+    df = df.withColumn("_rest", rest).withColumn(
+        "_whole", ((product - F.col("_rest")) / total.cast("decimal(19,0)")).cast("long"))
     everything = Window.partitionBy(F.lit(0))
     left = share - F.sum("_whole").over(everything)
     place = F.row_number().over(everything.orderBy(F.desc("_rest"), stratum))

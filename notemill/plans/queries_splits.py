@@ -119,9 +119,9 @@ def link_elements(spark, folder):
     return rows.select("page_id", F.col("position").cast("long").alias("position"), "element")
 
 
-@query("SELECT page_id, len(regexp_extract_all(html, '(?s)<h2(?:\\s[^>]*)?>.*?</h2>', 0)) AS element_count FROM pages")
+@query("SELECT page_id, len(regexp_extract_all(html, '(?s)<li(?:\\s[^>]*)?>.*?</li>', 0)) AS element_count FROM pages")
 def element_counts(spark, folder):
-    return markup.element_counts(_pages(spark, folder), "page_id", "html", "h2")
+    return markup.element_counts(_pages(spark, folder), "page_id", "html", "li")
 
 
 @query("""SELECT page_id, unnest(range(len(e))) AS position, nullif(regexp_extract(unnest(e), 'href="([^"]*)"', 1), '') AS href
