@@ -13,9 +13,17 @@ from notemill import fixed_values as fv
 from notemill.functions import text as tx
 
 
+_PREFIX = r"(?:[\w.-]+:)?"
+
+
+def _start(tag: str) -> str:
+    """Start tag of an element up to its attributes' end, with any prefix."""
+    return rf"<{_PREFIX}{tag}(?:\s[^>]*?)?"
+
+
 def elements(markup: Column, tag: str) -> Column:
-    """Every ``<tag ...>...</tag>`` of the string, in document order."""
-    return F.regexp_extract_all(markup, F.lit(rf"(?s)<{tag}(?:\s[^>]*)?>.*?</{tag}>"), F.lit(0))
+    """Every ``<tag ...>...</tag>`` or ``<tag .../>`` of the string, in document order, with any prefix."""
+    return F.regexp_extract_all(markup, F.lit(rf"(?s){_start(tag)}(?:/>|>.*?</{_PREFIX}{tag}>)"), F.lit(0))
 
 
 def element_texts(markup: Column, tag: str) -> Column:
@@ -29,18 +37,22 @@ def note_text(element: Column, full_text: bool = False) -> Column:
 
     Only text before the paragraph's first child is taken; ``full_text`` keeps the children's text.
     """
-    notes = F.regexp_extract(element, r"(?s)<notes(?:\s[^>]*)?>(.*?)</notes>", 1)
-    return F.when(element.rlike(r"<notes[\s>]"), _leading_text(notes, "p", full_text))
-
-
-def _leading_text(inner: Column, tag: str, full_text: bool) -> Column:
+    notes = F.regexp_extract(element, rf"(?s){_start('notes')}>(.*?)</{_PREFIX}notes>", 1)
     if full_text:
-        paragraph = F.regexp_replace(
-            F.regexp_extract(inner, rf"(?s)<(?:\w+:)?{tag}(?:\s[^>]*)?>(.*?)</(?:\w+:)?{tag}>", 1), "<[^>]*>", "")
+        paragraph = F.regexp_extract(notes, rf"(?s){_start('p')}>(.*?)</{_PREFIX}p>", 1)
+        paragraph = F.regexp_replace(paragraph, "<[^>]*>", "")
     else:
-        paragraph = F.regexp_extract(inner, rf"<(?:\w+:)?{tag}(?:\s[^>]*)?>([^<]*)", 1)
-    own = F.regexp_extract(inner, r"^([^<]*)", 1)
-    return tx.strip(F.coalesce(F.nullif(paragraph, F.lit("")), F.nullif(own, F.lit(""))))
+        paragraph = F.regexp_extract(notes, rf"{_start('p')}>([^<]*)", 1)
+    own = F.regexp_extract(notes, "^([^<]*)", 1)
+    text = tx.strip(F.coalesce(F.nullif(paragraph, F.lit("")), F.nullif(own, F.lit(""))))
+    return unescape(text)
+
+
+def unescape(text: Column) -> Column:
+    """The five named characters of XML; the ampersand last, so that nothing is decoded twice."""
+    for name, sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
+        text = F.replace(text, F.lit(name), F.lit(sign))
+    return text
 
 
 def first_text(element: Column, tag: str) -> Column:
@@ -59,7 +71,7 @@ def attribute(element: Column, name: str) -> Column:
 def strip_elements(markup: Column, tags) -> Column:
     """Drop whole subtrees and comments."""
     names = "|".join(tags)
-    return F.regexp_replace(markup, rf"(?s)<({names})(?:\s[^>]*)?(?:/>|>.*?</\1>)|<!--.*?-->", "")
+    return F.regexp_replace(markup, rf"(?s)<({_PREFIX}(?:{names}))(?:\s[^>]*?)?(?:/>|>.*?</\1>)|<!--.*?-->", "")
 
 
 def strip_namespaces(markup: Column, dropped_attribute: str = fv.DROPPED_ATTRIBUTE) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from notemill.functions import sentences as sf, text as tx
 from notemill.operators import joins, ranks
 from notemill.operators.once import evaluate_once
+from notemill.session import materialise
 
 
 def distinct_notes(rows: DataFrame, columns=("notes", "original_notes"), order: str = "row_order") -> DataFrame:
@@ -30,7 +31,7 @@ def sentence_table(rows: DataFrame, order: str = "row_order") -> DataFrame:
 
     Notes without a sentence keep one row with a null sentence and a null count.
     """
-    notes = ranks.dense_index(distinct_notes(rows, order=order), [order], "note_index")
+    notes = ranks.dense_index(materialise(distinct_notes(rows, order=order), "notes"), [order], "note_index")
     exploded = note_sentences(notes).select(
         "note_index", "notes", "original_notes", "num_sentences",
         F.posexplode_outer("sentences").alias("place", "sentence"))
@@ -40,7 +41,7 @@ def sentence_table(rows: DataFrame, order: str = "row_order") -> DataFrame:
 def filtered_sentence_table(rows: DataFrame, order: str = "row_order") -> DataFrame:
     """The sentence table of kept sentences only, numbered over the notes that have any."""
     notes = note_sentences(distinct_notes(rows, ("notes",), order), filtered=True)
-    notes = ranks.dense_index(notes, [order], "note_index")
+    notes = ranks.dense_index(materialise(notes, "kept_notes"), [order], "note_index")
     exploded = notes.select("note_index", "notes", "num_sentences", F.posexplode("sentences").alias("place", "sentence"))
     good = exploded.filter((F.length("sentence") >= 5) & tx.has_ascii_letter(F.col("sentence")))
     return joins.count_back(good, "sentence", F.struct("note_index", "place")).drop("place")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from notemill import fixed_values as fv
 from notemill.functions import text as tx, tokens as tk
 from notemill.operators import ranks, vocabulary as vb
+from notemill.session import materialise
 
 TURNS_PER_PART = 1000
 
@@ -39,15 +40,15 @@ def mask_labels(ids: Column, prompt_length: Column) -> Column:
     return F.transform(ids, lambda x, i: F.when(i < prompt_length, F.lit(fv.IGNORE_INDEX)).otherwise(x))
 
 
-def non_pad_length(ids: Column, pad_id: Column) -> Column:
+def non_pad_length(ids: Column, pad_id: int) -> Column:
     return F.size(F.filter(ids, lambda x: x != pad_id))
 
 
-def attention_mask(ids: Column, pad_id: Column) -> Column:
+def attention_mask(ids: Column, pad_id: int) -> Column:
     return F.transform(ids, lambda x: x != pad_id)
 
 
-def training_rows(pairs: DataFrame, key: str, vocabulary: DataFrame, unknown_id: int, pad_id: Column,
+def training_rows(pairs: DataFrame, key: str, vocabulary: DataFrame, unknown_id: int, pad_id: int,
                   max_length: int = fv.MODEL_MAX_LENGTH, small: bool | None = None) -> DataFrame:
     """key, input_ids, labels, fully_masked from instruction and output.
 
@@ -69,13 +70,13 @@ def training_rows(pairs: DataFrame, key: str, vocabulary: DataFrame, unknown_id:
                        (F.col("_masked") >= F.size("input_ids")).alias("fully_masked"))
 
 
-def pad_batches(rows: DataFrame, key: str, pad_id: Column, batch_rows: int) -> DataFrame:
+def pad_batches(rows: DataFrame, key: str, pad_id: int, batch_rows: int) -> DataFrame:
     """Rows in batches by key order, padded on the right to the longest of their batch, with a mask."""
-    batched = ranks.dense_index(rows, [key], "_index").withColumn(
+    batched = ranks.dense_index(materialise(rows, "rows"), [key], "_index").withColumn(
         "batch", F.floor(F.col("_index") / batch_rows).cast("long"))
     width = F.max(F.size("input_ids")).over(Window.partitionBy("batch"))
     gap = F.col("_width") - F.size("input_ids")
     padded = batched.withColumn("_width", width).withColumns({
-        "input_ids": F.concat("input_ids", F.array_repeat(pad_id.cast("int"), gap)),
+        "input_ids": F.concat("input_ids", F.array_repeat(F.lit(pad_id), gap)),
         "labels": F.concat("labels", F.array_repeat(F.lit(fv.IGNORE_INDEX), gap))})
     return padded.withColumn("attention_mask", attention_mask(F.col("input_ids"), pad_id)).drop("_index", "_width")

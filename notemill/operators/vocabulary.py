@@ -135,6 +135,11 @@ def with_special_tokens(vocabulary: DataFrame) -> tuple[DataFrame, str]:
     return vocabulary.unionByName(added), pad
 
 
+def id_of(vocabulary: DataFrame, token: str) -> int:
+    """The id of one token."""
+    return vocabulary.filter(F.col("token") == token).first()["id"]
+
+
 def encode(df: DataFrame, key: str, tokens: Column, vocabulary: DataFrame, unknown_id: int, name: str,
            small: bool | None = None) -> DataFrame:
     """key, ids of the tokens in order; tokens outside the vocabulary get ``unknown_id``."""

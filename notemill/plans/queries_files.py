@@ -1,3 +1,182 @@
-"""Filled below."""
+"""File sources and sinks. Every query writes the given rows to scratch, in parallel, and reads them back."""
 
-QUERIES, SQL = {}, {}
+from pyspark.sql import functions as F
+
+from notemill.operators import dedup, splits
+from notemill.plans import jobs, sql
+from notemill.plans.queries_splits import CATEGORIES, split_sql
+from notemill.plans.queries_tokens import _PAIRS
+from notemill.plans.registering import register
+from notemill.plans.standins import decorated, instruction_pairs, page_pairs
+from notemill.session import scratch_path
+from notemill.sources import files, sinks
+from notemill.sources.tables import table
+
+QUERIES, SQL, query = register()
+
+RECORDS_PER_FILE = 100
+
+
+def _escaped(column: str):
+    """Text as XML can hold it; the signs that XML has no place for become blanks."""
+    plain = F.regexp_replace(column, r"[\x00-\x08\x0b\x0c\x0e-\x1f]", " ")
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(plain, "&", "&amp;"), "<", "&lt;"), ">", "&gt;")
+
+
+def _markup_files(spark, folder, break_every: int = 0):
+    """Writes documents as reaction elements, a hundred ids per file, and returns the folder.
+
+    Every ``break_every``-th file lacks its last end tag.
+    """
+    path = scratch_path(spark, "markup")
+    element = F.concat(
+        F.lit('<sbml:reaction sbml:metaid="m'), F.col("doc_id"), F.lit('" id="R-'), F.col("doc_id"),
+        F.lit('" name="'), F.col("source"), F.lit('"><notes><p xmlns="urn:p">'), _escaped("original_notes"),
+        F.lit('<b>bold</b></p></notes><annotation>a</annotation><sbml:listOfReactants lang="'), F.col("lang"),
+        F.lit('"></sbml:listOfReactants></sbml:reaction>'))
+    number = F.floor(F.col("doc_id") / RECORDS_PER_FILE)
+    file = decorated(spark, folder).groupBy(number.alias("file")).agg(
+        F.array_sort(F.collect_list(F.struct("doc_id", element.alias("e")))).alias("all"))
+    end = F.lit("</sbml:model></sbml:sbml>")
+    if break_every:
+        end = F.when(F.col("file") % break_every == 0, "</sbml:model>").otherwise(end)
+    text = F.concat(F.lit('<sbml:sbml xmlns:sbml="urn:sbml"><sbml:model>'), F.array_join("all.e", "\n"), end)
+    file.select(text.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    return path
+
+
+_PLAIN = "regexp_replace(original_notes, '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f]', ' ', 'g')"
+
+
+@query(f"""WITH {sql.decorated()}
+SELECT 'R-' || doc_id AS reaction_id, {sql.strip(_PLAIN)} AS original_notes,
+  '<reaction id="R-' || doc_id || '" name="' || source || '"><listOfReactants lang="' || lang || '"></listOfReactants></reaction>' AS snippet
+FROM decorated""")
+def markup_file_records(spark, folder):
+    """Files as whole texts, elements and their parts by expressions."""
+    documents = files.markup_documents(spark, _markup_files(spark, folder), "*.txt")
+    rows = jobs.reaction_rows(documents)
+    return rows.select("reaction_id", "original_notes", "snippet")
+
+
+@query(f"""WITH {sql.decorated()} SELECT 'R-' || doc_id AS reaction_id, source AS name, lang FROM decorated""")
+def markup_file_elements(spark, folder):
+    """Files read by the XML source with a given schema."""
+    fields = "_id string, _name string, listOfReactants struct<_lang: string>"
+    records = files.markup_records(spark, _markup_files(spark, folder), "reaction", fields, "*.txt")
+    return records.filter(F.col(files.BROKEN).isNull()).select(F.col("_id").alias("reaction_id"), F.col("_name").alias("name"),
+                       F.col("listOfReactants._lang").alias("lang"))
+
+
+@query("SELECT count(*)::BIGINT AS reactions, true AS all_counted FROM documents")
+def markup_file_counts(spark, folder):
+    """Elements per file, 0 included, against the folder's list of files."""
+    path = _markup_files(spark, folder)
+    records = files.markup_records(spark, path, "reaction", "_id string", "*.txt").filter("_id is not null")
+    counts = files.record_counts(spark, path, records, "*.txt")
+    listed = files.list_files(spark, path, "*.txt").agg(F.count("*").alias("n")).scalar()
+    return counts.agg(F.sum("reaction_count").alias("reactions"), F.count("*").alias("_files")).select(
+        "reactions", (F.col("_files") == listed).alias("all_counted"))
+
+
+@query(f"""SELECT count(DISTINCT doc_id // {RECORDS_PER_FILE}) FILTER ((doc_id // {RECORDS_PER_FILE}) % 3 = 0) AS broken,
+  count(DISTINCT doc_id // {RECORDS_PER_FILE}) FILTER ((doc_id // {RECORDS_PER_FILE}) % 3 <> 0) AS good,
+  count(*) FILTER ((doc_id // {RECORDS_PER_FILE}) % 3 <> 0) AS reactions FROM documents""")
+def broken_files(spark, folder):
+    """Every third file is cut off: it gives no rows and is listed, the others are read."""
+    out = scratch_path(spark, "corpus")
+    jobs.build_corpus(spark, _markup_files(spark, folder, 3), out, "*.txt")
+    counts = spark.read.parquet(f"{out}/file_counts")
+    broken = spark.read.parquet(f"{out}/broken_files").agg(F.count("*").alias("n")).scalar()
+    rows = spark.read.parquet(f"{out}/reactions").agg(F.count("*").alias("n")).scalar()
+    return counts.agg(F.count_if(F.col("reaction_count") > 0).alias("good")).select(
+        broken.alias("broken"), "good", rows.alias("reactions"))
+
+
+@query("SELECT p_partkey AS id, p_name AS name FROM part WHERE p_type = 'ECONOMY'")
+def tab_separated(spark, folder):
+    path = scratch_path(spark, "tsv")
+    table(spark, folder, "part").select("p_partkey", "p_name", "p_type").write.csv(path, sep="\t", quote="")
+    return files.read_tsv(spark, path, "id long, name string, species string").filter(
+        F.col("species") == "ECONOMY").select("id", "name")
+
+
+@query("SELECT DISTINCT p_name AS term FROM part")
+def term_lines(spark, folder):
+    path = scratch_path(spark, "terms")
+    names = table(spark, folder, "part").select("p_name").distinct()
+    sinks.write_terms(names.select(F.concat(F.lit("  "), "p_name").alias("p_name")).unionByName(
+        names.select(F.lit(" ").alias("p_name"))), path, "p_name")
+    return files.read_terms(spark, path)
+
+
+@query(f"WITH {_PAIRS} SELECT instruction, output FROM asked")
+def json_lines(spark, folder):
+    path = scratch_path(spark, "jsonl")
+    sinks.write_json_lines(instruction_pairs(spark, folder).select("instruction", "output"), path)
+    return files.read_json(spark, path, "instruction string, output string")
+
+
+@query(f"WITH {_PAIRS} SELECT pair_id, instruction FROM asked ORDER BY pair_id LIMIT 20")
+def json_array_subset(spark, folder):
+    """The first twenty rows as one JSON array, as a trial set."""
+    path = scratch_path(spark, "array")
+    sinks.write_json_array(instruction_pairs(spark, folder).select("pair_id", "instruction"), path, ["pair_id"], 20)
+    return files.read_json(spark, path, "pair_id string, instruction string")
+
+
+_SPLIT_PAGES = f"{CATEGORIES}, {split_sql('categorised', 'combined_category', 'page_id')}"
+
+
+def _written_splits(spark, folder):
+    parted = splits.stratified_split(splits.categorise(page_pairs(spark, folder)), "combined_category", "page_id")
+    return sinks.write_splits(parted, scratch_path(spark, "splits"))
+
+
+@query(f"""WITH {_SPLIT_PAGES}
+SELECT split, 'Translate the following SBML code to English:' || chr(10) || chr(10) || snippet AS instruction, notes AS output FROM parted""")
+def written_split_data(spark, folder):
+    data, _ = _written_splits(spark, folder)
+    return files.read_json_lines(spark, data, "split string, instruction string, output string").select(
+        "split", "instruction", F.coalesce("output", F.lit("")).alias("output"))
+
+
+@query(f"WITH {_SPLIT_PAGES} SELECT split, page_id, combined_category FROM parted")
+def written_split_categories(spark, folder):
+    _, categories = _written_splits(spark, folder)
+    return files.read_json_lines(spark, categories, "split string, page_id long, combined_category string")
+
+
+@query("SELECT doc_id, source, text FROM (SELECT *, row_number() OVER (PARTITION BY source, text ORDER BY doc_id) AS k FROM documents) WHERE k = 1")
+def loaded_or_built(spark, folder):
+    """Built at the first call, read at the second."""
+    path = scratch_path(spark, "train")
+    docs = table(spark, folder, "documents").select("doc_id", "source", "text")
+
+    def build():
+        return dedup.keep_first(docs, ["source", "text"], "doc_id")
+    sinks.load_or_build(spark, path, build, docs.schema)
+    return sinks.load_or_build(spark, path, lambda: None, docs.schema)
+
+
+@query("SELECT 'R-' || p_partkey AS term FROM part WHERE p_size % 7 = 0")
+def retry_list(spark, folder):
+    path = scratch_path(spark, "retry")
+    results = table(spark, folder, "part").select(
+        F.concat(F.lit("R-"), F.col("p_partkey").cast("string")).alias("id"),
+        F.when(F.col("p_size") % 7 == 0, "error").otherwise("success").alias("status"))
+    sinks.write_failed(results, path, "id")
+    return files.read_terms(spark, path)
+
+
+@query(f"""WITH {sql.reactions()},
+refs AS (SELECT file_id, unnest({sql.reference_list('only_references')}) AS reference FROM reactions)
+SELECT (SELECT count(*) FROM reactions) AS reaction_count, (SELECT count(notes) FROM reactions) AS notes_count,
+  (SELECT count(*) FROM refs) AS total_references""")
+def corpus_job(spark, folder):
+    """Files to reaction and count tables to the file summary, all written; totals of the last table."""
+    out = scratch_path(spark, "corpus")
+    jobs.build_corpus(spark, _markup_files(spark, folder), out, "*.txt")
+    jobs.summarise_files(spark, out)
+    summary = files.read_if_there(spark, f"{out}/file_summary")
+    return summary.agg(*[F.sum(c).alias(c) for c in ("reaction_count", "notes_count", "total_references")])

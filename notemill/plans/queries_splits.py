@@ -113,19 +113,19 @@ def _pages(spark, folder):
 
 
 @query("""SELECT page_id, unnest(range(len(e))) AS position, unnest(e) AS element
-FROM (SELECT page_id, regexp_extract_all(html, '(?s)<a(?:\\s[^>]*)?>.*?</a>', 0) AS e FROM pages)""")
+FROM (SELECT page_id, regexp_extract_all(html, '(?s)<(?:[\\w.-]+:)?a(?:\\s[^>]*?)?(?:/>|>.*?</(?:[\\w.-]+:)?a>)', 0) AS e FROM pages)""")
 def link_elements(spark, folder):
     rows = markup.explode_elements(_pages(spark, folder).select("page_id", "html"), "html", "a")
     return rows.select("page_id", F.col("position").cast("long").alias("position"), "element")
 
 
-@query("SELECT page_id, len(regexp_extract_all(html, '(?s)<li(?:\\s[^>]*)?>.*?</li>', 0)) AS element_count FROM pages")
+@query("SELECT page_id, len(regexp_extract_all(html, '(?s)<(?:[\\w.-]+:)?li(?:\\s[^>]*?)?(?:/>|>.*?</(?:[\\w.-]+:)?li>)', 0)) AS element_count FROM pages")
 def element_counts(spark, folder):
     return markup.element_counts(_pages(spark, folder), "page_id", "html", "li")
 
 
 @query("""SELECT page_id, unnest(range(len(e))) AS position, nullif(regexp_extract(unnest(e), 'href="([^"]*)"', 1), '') AS href
-FROM (SELECT page_id, regexp_extract_all(html, '(?s)<a(?:\\s[^>]*)?>.*?</a>', 0) AS e FROM pages)""")
+FROM (SELECT page_id, regexp_extract_all(html, '(?s)<(?:[\\w.-]+:)?a(?:\\s[^>]*?)?(?:/>|>.*?</(?:[\\w.-]+:)?a>)', 0) AS e FROM pages)""")
 def link_targets(spark, folder):
     rows = markup.explode_elements(_pages(spark, folder).select("page_id", "html"), "html", "a")
     return rows.select("page_id", F.col("position").cast("long").alias("position"),
@@ -139,7 +139,7 @@ def headings(spark, folder):
 
 
 _DROP = ("script", "style", "nav")
-_SUBTREES = " ".join(f"(?s)<{t}(?:\\s[^>]*)?(?:/>|>.*?</{t}>)" for t in _DROP).split(" (?s)")
+_SUBTREES = " ".join(f"(?s)<{t}(?:\\s[^>]*?)?(?:/>|>.*?</{t}>)" for t in _DROP).split(" (?s)")
 _STRIPPED = ("regexp_replace(html, '(?s)" + "|".join(s.replace("(?s)", "") for s in _SUBTREES) + "|<!--.*?-->', '', 'g')")
 _VALUE = "(?:\"[^\"]*\"|''[^'']*'')"
 _PLAIN = f"""regexp_replace(regexp_replace(regexp_replace({_STRIPPED},

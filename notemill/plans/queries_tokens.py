@@ -219,7 +219,7 @@ def _ids_text(column):
 
 def _training_rows(spark, folder):
     vocabulary, pad = _training_vocabulary(spark, folder)
-    pad_id = vocabulary.filter(F.col("token") == pad).select("id").scalar()
+    pad_id = vb.id_of(vocabulary, pad)
     return tr.training_rows(instruction_pairs(spark, folder), "pair_id", vocabulary, 0, pad_id, MAX_LENGTH), pad_id
 
 
