@@ -5,7 +5,9 @@ projections and not one nested expression: nesting would evaluate the first rege
 results leave through ``evaluate_once``, so that a filter on them does not nest the steps either.
 """
 
+from functools import reduce
 from itertools import groupby
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,17 +27,40 @@ def _replace(text: Column, pattern: str, replacement: str) -> Column:
     return F.regexp_replace(text, regex.java(pattern), regex.java_replacement(replacement))
 
 
-def _put(text: Column, steps) -> Column:
-    """Replacements one after the other; each reads its input once, so they may be nested."""
+def _guard(pattern: str) -> Column | None:
+    """A cheap test that must hold for the pattern to match at all: its year, literals and signs."""
+    text = F.col(_TEXT)
+    tests = [F.col(_YEAR)] if r"\d{4}" in pattern else []
+    tests += [text.contains(sign) for sign, spelled in (("(", r"\("), (":", r"\s*:\s*"), ("..", r"\.\.+"))
+              if pattern.startswith(spelled)]
+    tests += [text.contains(word) for word in ("et al", "reviewed") if word in pattern]
+    for words in (("No", "Yes"), ("RNA", "Protein", "No", "Yes")):
+        if pattern.startswith(f"({words[0]}|{words[1]}"):
+            tests.append(reduce(or_, [text.contains(word) for word in words]))
+    return reduce(and_, tests) if tests else None
+
+
+def _put(df: DataFrame, steps) -> DataFrame:
+    """Replacements one after the other.
+
+    Those without a guard read their input once and are nested; a guarded one reads it twice, so it
+    starts a projection of its own.
+    """
+    text = F.col(_TEXT)
     for action, pattern, argument in steps:
-        text = _replace(text, pattern, argument) if action == "put" else tx.squeeze(text)
-    return text
+        guard = _guard(pattern) if action == "put" else None
+        if guard is not None:
+            df = df.withColumn(_TEXT, text)
+            text = F.when(guard, _replace(F.col(_TEXT), pattern, argument)).otherwise(F.col(_TEXT))
+        else:
+            text = _replace(text, pattern, argument) if action == "put" else tx.squeeze(text)
+    return df.withColumn(_TEXT, text)
 
 
-def _take(df: DataFrame, pattern: str, group: int, guard: Column) -> DataFrame:
+def _take(df: DataFrame, pattern: str, group: int) -> DataFrame:
     """Append the matches to the found list and delete them; text without a match is not rewritten."""
     hits = F.regexp_extract_all(_TEXT, F.lit(regex.java(pattern)), F.lit(group))
-    df = df.withColumn(_HITS, F.when(guard, hits).otherwise(_none()))
+    df = df.withColumn(_HITS, F.when(_guard(pattern), hits).otherwise(_none()))
     return df.withColumns({
         _TEXT: F.when(F.size(_HITS) > 0, _replace(F.col(_TEXT), pattern, "")).otherwise(F.col(_TEXT)),
         _FOUND: F.concat(_FOUND, _HITS),
@@ -54,19 +79,10 @@ def remove_links(df: DataFrame, column: str, clean: str, removed: str, capture:
     parenthesis.
     """
     df = df.withColumns({_TEXT: F.col(column), _FOUND: _none()})
-    df = _take(df, fv.LINK_PARENTHESIS, 0 if capture == "full" else 1, F.col(_TEXT).contains("("))
+    df = _take(df, fv.LINK_PARENTHESIS, 0 if capture == "full" else 1)
     repairs = (("put", fv.EMPTY_PARENTHESES, ""), ("put", fv.SPACE_BEFORE_PUNCTUATION, r"\1"),
                ("put", fv.BLANK_RUN, " "))
-    return _finish(df.withColumn(_TEXT, _put(F.col(_TEXT), repairs)), clean, removed)
-
-
-def _guard(pattern: str) -> Column:
-    """A cheap test that must hold for the pattern to match at all: a year and the literal parts."""
-    guard = F.col(_YEAR)
-    for literal in ("et al", "reviewed"):
-        if literal in pattern:
-            guard = guard & F.col(_TEXT).contains(literal)
-    return guard & F.col(_TEXT).contains("(") if pattern.startswith(r"\(") else guard
+    return _finish(_put(df, repairs), clean, removed)
 
 
 def remove_citations(df: DataFrame, column: str, clean: str, citations: str) -> DataFrame:
@@ -80,9 +96,9 @@ def remove_citations(df: DataFrame, column: str, clean: str, citations: str) ->
         steps = list(group)
         if is_take:
             for _, pattern, argument in steps:
-                df = _take(df, pattern, argument, _guard(pattern))
+                df = _take(df, pattern, argument)
         else:
-            df = df.withColumn(_TEXT, _put(F.col(_TEXT), steps))
+            df = _put(df, steps)
     return _finish(df, clean, citations)
 
 

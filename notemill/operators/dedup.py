@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from notemill.operators import joins
+
 
 def keep_first(df: DataFrame, subset, order: str) -> DataFrame:
     """One row per value of ``subset`` (nulls are equal): the one that is first by ``order``.
@@ -35,6 +37,8 @@ def group_distinct(df: DataFrame, group: str, value: str, name: str) -> DataFram
 
 
 def shared_rows(df: DataFrame, value: str, group: str) -> DataFrame:
-    """Rows whose ``value`` belongs to more than one ``group``."""
-    shared = group_distinct(df, value, group, "_groups").filter("_groups > 1").select(value)
-    return df.join(shared, value, "left_semi")
+    """Rows whose ``value`` belongs to more than one ``group``; a value may be on any share of the rows."""
+    pairs = df.filter(F.col(value).isNotNull()).groupBy(value, group).agg(F.count("*").alias("_n"))
+    sizes = pairs.groupBy(value).agg(F.sum("_n").alias("_rows"), F.count(group).alias("_groups"))
+    shared = sizes.filter("_groups > 1")
+    return joins.attach(df, shared, value, "_rows", F.col(group)).filter("_groups > 1").drop("_groups")

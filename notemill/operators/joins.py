@@ -3,12 +3,20 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
+from notemill.session import materialise
 
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64 << 20
 
-def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a frame of short rows is small enough to broadcast; reads at most ``rows + 1`` of it."""
-    return df.limit(rows + 1).count() <= rows
+
+def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether a frame is small enough to broadcast: its rows and the bytes of its strings are measured.
+
+    At most ``rows + 1`` rows of it are read.
+    """
+    strings = [F.coalesce(F.octet_length(F.col(name)), F.lit(0)) for name, kind in df.dtypes if kind == "string"]
+    width = sum(strings, F.lit(16 * len(df.columns)).cast("long"))
+    found = df.limit(rows + 1).agg(F.count("*").alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    return found["rows"] <= rows and found["bytes"] <= size
 
 
 def lookup_join(rows: DataFrame, table: DataFrame, key: str, spread_by: Column, how: str = "left",
@@ -26,29 +34,35 @@ def lookup_join(rows: DataFrame, table: DataFrame, key: str, spread_by: Column,
     return salted.join(copies, [key, "_salt"], how).drop("_salt")
 
 
-def count_back(rows: DataFrame, key: str, spread_by: Column, name: str = "count",
-               parts: int | None = None) -> DataFrame:
-    """Occurrences of ``key`` on every row; null keys keep a null count.
+def attach(rows: DataFrame, table: DataFrame, key: str, weight: str, spread_by: Column,
+           parts: int | None = None) -> DataFrame:
+    """Left join rows to a table with unique keys that says how many rows each key has (``weight``).
 
     Keys above the ``parts``-th share of all rows number fewer than ``parts``: these are broadcast.
-    The rest is joined by key. Rows that need no join partner carry a random-like salt instead of
-    the key, so that neither hot nor null keys meet in one task.
+    The rest is joined by key. Rows that are served by the broadcast, or whose key is null, take a
+    chance key instead of their own, so that they do not meet in one task. The weight is dropped.
     """
     parts = parts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_all")).scalar()
-    hot = counts.filter(F.col("_n") * parts > total).select(key, F.col("_n").alias("_hot"))
-    cold = counts.filter(F.col("_n") * parts <= total).select(
-        F.col(key).alias("_key"), F.lit(0).alias("_salt"), F.col("_n").alias("_cold"))
+    table = materialise(table, "keys")
+    values = [c for c in table.columns if c not in (key, weight)]
+    total = table.agg(F.sum(weight).alias("total")).scalar()
+    is_hot = F.col(weight) * parts > total
+    hot = table.filter(is_hot).select(key, F.lit(True).alias("_hot"), *[F.col(c).alias(f"_hot_{c}") for c in values])
+    cold = table.filter(~is_hot).select(F.concat(F.lit("k"), F.col(key).cast("string")).alias("_key"),
+                                        *[F.col(c).alias(f"_cold_{c}") for c in values])
     flagged = rows.join(F.broadcast(hot), key, "left")
-    needs = F.col("_hot").isNull() & F.col(key).isNotNull()
-    salted = flagged.withColumns({
-        "_key": F.when(needs, F.col(key)),
-        "_salt": F.when(needs, 0).otherwise(F.pmod(F.xxhash64(spread_by), F.lit(1 << 20)).cast("int")),
-    })
-    return (salted.join(cold, ["_key", "_salt"], "left")
-            .withColumn(name, F.coalesce("_hot", "_cold"))
-            .select(*rows.columns, name))
+    chance = F.concat(F.lit("n"), F.xxhash64(spread_by).cast("string"))
+    own = F.concat(F.lit("k"), F.col(key).cast("string"))
+    keyed = flagged.withColumn("_key", F.when(F.col("_hot").isNull() & F.col(key).isNotNull(), own).otherwise(chance))
+    return keyed.join(cold, "_key", "left").select(
+        *rows.columns, *[F.coalesce(f"_hot_{c}", f"_cold_{c}").alias(c) for c in values])
+
+
+def count_back(rows: DataFrame, key: str, spread_by: Column, name: str = "count",
+               parts: int | None = None) -> DataFrame:
+    """Occurrences of ``key`` on every row; null keys keep a null count."""
+    counts = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
+    return attach(rows, counts.withColumn(name, F.col("_n")), key, "_n", spread_by, parts)
 
 
 def prefix_matches(ids: DataFrame, id_column: str, names: DataFrame, name_column: str) -> DataFrame:

@@ -14,7 +14,7 @@ def _ordered_slots(df: DataFrame, order) -> DataFrame:
 
     The totals and the rows are both read from the written table, so that they agree on the
     partition bounds even when tasks are run again after an executor is lost. Finding the bounds reads
-    the input once more, so a costly input should be materialised before.
+    what follows the input's last shuffle once more; materialise before when that is costly.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)

@@ -26,25 +26,36 @@ def note_sentences(notes: DataFrame, filtered: bool = False) -> DataFrame:
     return table.filter("num_sentences > 0") if filtered else table
 
 
+def _with_counts(notes: DataFrame, keep=None) -> DataFrame:
+    """One row per sentence of numbered notes (note_index, sentences, ...), with its occurrences.
+
+    Only (note_index, place, sentence) is joined by sentence; the counts return to the note as one
+    list. So the note's own texts are shuffled once per note and not once per sentence.
+    """
+    placed = notes.select("note_index", F.posexplode("sentences").alias("place", "sentence"))
+    if keep is not None:
+        placed = placed.filter(keep)
+    counted = joins.count_back(placed, "sentence", F.struct("note_index", "place"))
+    lists = counted.groupBy("note_index").agg(F.array_sort(F.collect_list(F.struct("place", "sentence", "count"))).alias("_all"))
+    return (notes.drop("sentences").join(lists, "note_index", "left" if keep is None else "inner")
+            .withColumn("_one", F.explode_outer("_all"))
+            .select("*", "_one.sentence", "_one.count").drop("_all", "_one"))
+
+
 def sentence_table(rows: DataFrame, order: str = "row_order") -> DataFrame:
     """One row per sentence of every distinct note, with how often the sentence occurs.
 
     Notes without a sentence keep one row with a null sentence and a null count.
     """
-    notes = ranks.dense_index(materialise(distinct_notes(rows, order=order), "notes"), [order], "note_index")
-    exploded = note_sentences(notes).select(
-        "note_index", "notes", "original_notes", "num_sentences",
-        F.posexplode_outer("sentences").alias("place", "sentence"))
-    return joins.count_back(exploded, "sentence", F.struct("note_index", "place")).drop("place")
+    notes = ranks.dense_index(distinct_notes(rows, order=order), [order], "note_index").drop(order)
+    return _with_counts(note_sentences(notes))
 
 
 def filtered_sentence_table(rows: DataFrame, order: str = "row_order") -> DataFrame:
     """The sentence table of kept sentences only, numbered over the notes that have any."""
-    notes = note_sentences(distinct_notes(rows, ("notes",), order), filtered=True)
-    notes = ranks.dense_index(materialise(notes, "kept_notes"), [order], "note_index")
-    exploded = notes.select("note_index", "notes", "num_sentences", F.posexplode("sentences").alias("place", "sentence"))
-    good = exploded.filter((F.length("sentence") >= 5) & tx.has_ascii_letter(F.col("sentence")))
-    return joins.count_back(good, "sentence", F.struct("note_index", "place")).drop("place")
+    notes = materialise(note_sentences(distinct_notes(rows, ("notes",), order), filtered=True), "kept_notes")
+    notes = ranks.dense_index(notes, [order], "note_index").drop(order)
+    return _with_counts(notes, (F.length("sentence") >= 5) & tx.has_ascii_letter(F.col("sentence")))
 
 
 def sentence_counts(sentences: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from notemill.operators import ranks
+from notemill.session import materialise
 
 QUARTILES = (0.25, 0.5, 0.75)
 CUTS = (0.05, 0.25, 0.5, 0.75, 0.95)
@@ -114,8 +115,9 @@ def histogram(counts: DataFrame, bins: int | None = None) -> DataFrame:
 
     Without ``bins`` the number is the larger of the Sturges and Freedman-Diaconis ones; give it for a
     column of many distinct values, whose quartiles do not fit one task. A constant column gets one
-    bin of width 1 around its value.
+    bin of width 1 around its value. The counts are written once, as several parts read them.
     """
+    counts = materialise(counts, "counts")
     wanted = F.lit(bins).cast("long")
     if not bins:
         rows = F.col("rows").cast("double")
@@ -143,6 +145,7 @@ def density_curve(counts: DataFrame, points: int = 40) -> DataFrame:
 
     Works on value counts: every distinct value adds to ``points`` grid places, summed map-side.
     """
+    counts = materialise(counts, "counts")
     shape = _shape(counts, quartiles=False).withColumn("width", F.col("std") * F.pow(F.col("rows").cast("double"), F.lit(-0.2)))
     s = shape.select(F.struct("rows", "low", "high", "width").alias("s")).scalar()
     at = s["low"] + (s["high"] - s["low"]) * F.col("point") / (points - 1)
@@ -155,6 +158,7 @@ def density_curve(counts: DataFrame, points: int = 40) -> DataFrame:
 
 def box_summary(counts: DataFrame) -> DataFrame:
     """Quartiles, whiskers within 1.5 interquartile ranges, and the number of outliers."""
+    counts = materialise(counts, "counts")
     q = counts.agg(_percentiles(QUARTILES).alias("q")).scalar()
     value, reach = F.col("value"), 1.5 * (q[2] - q[0])
     inside = value.between(q[0] - reach, q[2] + reach)

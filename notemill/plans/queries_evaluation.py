@@ -6,7 +6,7 @@ from notemill.functions import text as tx
 from notemill.operators import evaluation as ev, python_functions as pf
 from notemill.plans import sql
 from notemill.plans.registering import register
-from notemill.plans.standins import instruction_pairs
+from notemill.plans.standins import documents, instruction_pairs
 from notemill.plans.queries_tokens import _PAIRS
 from notemill.session import spread
 from notemill.sources.tables import table
@@ -109,7 +109,7 @@ def model_evaluation(spark, folder):
 @query(f"SELECT doc_id, {sql.word_count('text')} AS words FROM documents")
 def value_function(spark, folder):
     count = pf.per_value(lambda text: len(text.split()), "long")
-    return spread(table(spark, folder, "documents").select("doc_id", "text"), "doc_id").select(
+    return documents(spark, folder).select(
         "doc_id", count("text").alias("words"))
 
 

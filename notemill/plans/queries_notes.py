@@ -6,7 +6,7 @@ from notemill.functions import sentences as sf, text as tx
 from notemill.operators import cleaning, dedup, references, sentences, statistics
 from notemill.plans import sql
 from notemill.plans.registering import joined, register, rounded
-from notemill.plans.standins import cleaned_rows, decorated, reactions
+from notemill.plans.standins import cleaned_rows, decorated, documents, reactions
 from notemill.session import spread
 from notemill.sources.tables import table
 
@@ -114,7 +114,7 @@ def most_cited_references(spark, folder):
 @query(f"""SELECT doc_id, len(s) AS num_sentences, array_to_string(s, '|') AS sentences
 FROM (SELECT doc_id, {sql.sentences('text')} AS s FROM documents)""")
 def sentences_split(spark, folder):
-    docs = spread(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
+    docs = documents(spark, folder)
     out = docs.withColumn("s", sf.split_sentences(F.col("text")))
     return out.select("doc_id", F.size("s").cast("long").alias("num_sentences"), joined("s").alias("sentences"))
 
@@ -122,7 +122,7 @@ def sentences_split(spark, folder):
 @query(f"""SELECT doc_id, len(s) AS num_sentences, array_to_string(s, '|') AS sentences
 FROM (SELECT doc_id, list_filter({sql.sentences('text')}, lambda s: {sql.is_sentence('s')}) AS s FROM documents)""")
 def sentences_kept(spark, folder):
-    docs = spread(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
+    docs = documents(spark, folder)
     out = docs.withColumn("s", sf.kept_sentences(F.col("text")))
     return out.select("doc_id", F.size("s").cast("long").alias("num_sentences"), joined("s").alias("sentences"))
 
@@ -173,7 +173,7 @@ _RAW = f"exploded AS MATERIALIZED (SELECT doc_id AS note_index, text AS notes, t
 
 
 def _raw_sentences(spark, folder):
-    docs = spread(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
+    docs = documents(spark, folder)
     return docs.select(F.col("doc_id").alias("note_index"), F.col("text").alias("notes"),
                        F.col("text").alias("original_notes"), F.explode(sf.split_sentences(F.col("text"))).alias("sentence"))
 

@@ -7,7 +7,7 @@ from notemill.functions import text as tx
 from notemill.operators import dedup, entities, joins, ranks, references, sampling, statistics
 from notemill.plans import sql
 from notemill.plans.registering import register, rounded
-from notemill.plans.standins import reactions
+from notemill.plans.standins import documents, reactions
 from notemill.sources.tables import table
 
 QUERIES, SQL, query = register()
@@ -119,7 +119,7 @@ def text_previews(spark, folder):
 
 @query(f"SELECT doc_id, {sql.word_count('text')} AS words, length({sql.strip('text')}) AS stripped_length FROM documents")
 def word_counts(spark, folder):
-    return table(spark, folder, "documents").select(
+    return documents(spark, folder).select(
         "doc_id", tx.word_count(F.col("text")).alias("words"),
         F.length(tx.strip(F.col("text"))).cast("long").alias("stripped_length"))
 
@@ -127,14 +127,14 @@ def word_counts(spark, folder):
 @query(rf"""SELECT doc_id, array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda l: {sql.strip('l')}),
   lambda l: l <> ''), chr(10)) AS text FROM documents""")
 def normalised_lines(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", tx.normalise_lines(F.col("text")).alias("text"))
+    return documents(spark, folder).select("doc_id", tx.normalise_lines(F.col("text")).alias("text"))
 
 
 # --- statistics -------------------------------------------------------------------------------------
 
 @query(sql.describe(f"(SELECT {sql.word_count('text')} AS words FROM documents)", "words"))
 def word_count_statistics(spark, folder):
-    docs = table(spark, folder, "documents").select(tx.word_count(F.col("text")).alias("words"))
+    docs = documents(spark, folder).select(tx.word_count(F.col("text")).alias("words"))
     return rounded(statistics.describe(docs, "words").drop("total"))
 
 
@@ -197,7 +197,7 @@ def _histogram(counts, bins=None):
 
 @query(_histogram_sql(_WORDS))
 def word_count_histogram(spark, folder):
-    return _histogram(statistics.value_counts(table(spark, folder, "documents"), tx.word_count(F.col("text"))))
+    return _histogram(statistics.value_counts(documents(spark, folder), tx.word_count(F.col("text"))))
 
 
 @query(_histogram_sql("(SELECT log10(value) AS value FROM events WHERE value > 0)", "15.0"))
@@ -213,7 +213,7 @@ SELECT point, round(low + (high - low) * point / 39, 6) AS x,
   round(sum(exp(-pow((low + (high - low) * point / 39 - value) / width, 2) / 2)) / (max(rows) * max(width) * sqrt(2 * pi())), 9) AS density
 FROM v, s, g GROUP BY point, low, high""")
 def word_count_density(spark, folder):
-    counts = statistics.value_counts(table(spark, folder, "documents"), tx.word_count(F.col("text")))
+    counts = statistics.value_counts(documents(spark, folder), tx.word_count(F.col("text")))
     out = statistics.density_curve(counts, 40)
     return out.withColumns({"x": F.round("x", 6), "density": F.round("density", 9)})
 
@@ -227,7 +227,7 @@ SELECT q1, median, q3, min(value) FILTER (value BETWEEN q1 - 1.5 * (q3 - q1) AND
   count(*) FILTER (value NOT BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS outliers
 FROM v, q GROUP BY q1, median, q3""")
 def word_count_box(spark, folder):
-    return statistics.box_summary(statistics.value_counts(table(spark, folder, "documents"), tx.word_count(F.col("text"))))
+    return statistics.box_summary(statistics.value_counts(documents(spark, folder), tx.word_count(F.col("text"))))
 
 
 @query(f"""WITH v AS (SELECT n_chars AS value FROM documents), {_BOX}
@@ -359,8 +359,9 @@ def _entity_records(spark, folder):
     key = F.from_json("props", "k bigint")["k"]
     kind = F.when(F.col("event_type") == "view", fv.ENTITY_CLASS).otherwise(F.col("event_type"))
     ending = F.when(F.col("event_id") % 4 == 0, " [cytosol]").when(F.col("event_id") % 4 == 1, " gene").otherwise("")
-    named = (table(spark, folder, "events").withColumn("p_partkey", key)
-             .join(table(spark, folder, "part").select("p_partkey", "p_name"), "p_partkey"))
+    named = joins.lookup_join(table(spark, folder, "events").withColumn("p_partkey", key),
+                              table(spark, folder, "part").select("p_partkey", "p_name"), "p_partkey",
+                              F.col("event_id"), how="inner")
     return named.select("user_id", F.to_json(F.array(F.struct(
         kind.alias("schemaClass"), F.concat("p_name", ending).alias("displayName")))).alias("records"))
 

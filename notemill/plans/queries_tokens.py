@@ -7,7 +7,7 @@ from notemill.functions import text as tx, tokens as tk
 from notemill.operators import training_rows as tr, vocabulary as vb
 from notemill.plans import sql
 from notemill.plans.registering import joined, register, rounded
-from notemill.plans.standins import instruction_pairs, page_pairs, word_set
+from notemill.plans.standins import documents, instruction_pairs, page_pairs, word_set
 from notemill.plans.queries_splits import PAIRS
 from notemill.session import materialise, spread
 from notemill.sources.tables import table
@@ -20,16 +20,12 @@ MAX_LENGTH = 256
 BATCH_ROWS = 8
 
 
-def _docs(spark, folder):
-    return spread(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
-
-
 # --- tokenizers -----------------------------------------------------------------------------------
 
 @query(f"""SELECT doc_id, len(t) AS token_count, array_to_string(t, '|') AS tokens
 FROM (SELECT doc_id, {sql.words('text')} AS t FROM documents)""")
 def word_tokens(spark, folder):
-    out = vb.add_word_counts(_docs(spark, folder), "text", tk.words(F.col("text")), "words")
+    out = vb.add_word_counts(documents(spark, folder), "text", tk.words(F.col("text")), "words")
     return out.select("doc_id", F.col("text_token_count_words").cast("long").alias("token_count"),
                       joined("text_tokens_words").alias("tokens"))
 
@@ -45,7 +41,7 @@ collected AS (SELECT doc_id, sum(len(p))::BIGINT AS token_count, string_agg(arra
 @query(f"""WITH {_UNNESTED}, {_TOP}, {_PIECES}
 SELECT doc_id, coalesce(token_count, 0) AS token_count, coalesce(tokens, '') AS tokens FROM documents LEFT JOIN collected USING (doc_id)""")
 def subword_tokens(spark, folder):
-    docs = _docs(spark, folder)
+    docs = documents(spark, folder)
     top = vb.top_tokens(docs, tk.words(F.col("text")), TOP_WORDS)
     out = vb.subword_tokens(docs, "doc_id", "text", top, small=True)   # limited to TOP_WORDS rows
     return out.select("doc_id", F.size("tokens").cast("long").alias("token_count"), joined("tokens").alias("tokens"))
@@ -75,12 +71,12 @@ def _benchmark_terms(spark, folder):
 SELECT doc_id, coalesce(token_count, 0) AS token_count, coalesce(tokens, '') AS tokens FROM documents LEFT JOIN collected USING (doc_id)""")
 def term_tokens(spark, folder):
     terms = vb.term_keys(_benchmark_terms(spark, folder))
-    out = vb.term_tokens(_docs(spark, folder), "doc_id", "text", terms)
+    out = vb.term_tokens(documents(spark, folder), "doc_id", "text", terms)
     return out.select("doc_id", F.size("tokens").cast("long").alias("token_count"), joined("tokens").alias("tokens"))
 
 
 def _token_count_table(spark, folder):
-    docs = _docs(spark, folder)
+    docs = documents(spark, folder)
     top = vb.top_tokens(docs, tk.words(F.col("text")), TOP_WORDS)
     terms = vb.term_keys(_benchmark_terms(spark, folder))
     words = docs.select("doc_id", F.size(tk.words(F.col("text"))).cast("long").alias("words"))
@@ -105,7 +101,7 @@ def tokenizer_comparison(spark, folder):
 
 @query(f"WITH {_UNNESTED} SELECT token, count(*) AS n FROM placed GROUP BY token ORDER BY n DESC, token LIMIT 20")
 def top_tokens(spark, folder):
-    return vb.top_tokens(_docs(spark, folder), tk.words(F.col("text")), 20)
+    return vb.top_tokens(documents(spark, folder), tk.words(F.col("text")), 20)
 
 
 _COLUMN_TOKENS = f"""{PAIRS}, lists AS (SELECT 'snippet' AS "column", {sql.words('snippet')} AS t FROM pairs
@@ -149,26 +145,26 @@ def _base_vocabulary(spark, folder):
 
 @query(f"WITH {_WORD_SETS} SELECT token FROM doc_words WHERE token NOT IN (SELECT token FROM old_words)")
 def new_tokens(spark, folder):
-    return vb.new_tokens(word_set(_docs(spark, folder), "text"), word_set(table(spark, folder, "benchmark"), "text"))
+    return vb.new_tokens(word_set(documents(spark, folder), "text"), word_set(table(spark, folder, "benchmark"), "text"))
 
 
 @query(f"WITH {_VOCABULARY} SELECT token, id FROM extended")
 def extended_vocabulary(spark, folder):
-    return vb.extend_vocabulary(_base_vocabulary(spark, folder), word_set(_docs(spark, folder), "text"))
+    return vb.extend_vocabulary(_base_vocabulary(spark, folder), word_set(documents(spark, folder), "text"))
 
 
 @query(f"""WITH {_VOCABULARY} SELECT (SELECT count(*) FROM base) AS size_before, (SELECT count(*) FROM extended) AS size_after,
   (SELECT count(*) FROM extended) - (SELECT count(*) FROM base) AS added""")
 def vocabulary_extension(spark, folder):
     base = _base_vocabulary(spark, folder)
-    return vb.extension_report(base, vb.extend_vocabulary(base, word_set(_docs(spark, folder), "text")))
+    return vb.extension_report(base, vb.extend_vocabulary(base, word_set(documents(spark, folder), "text")))
 
 
 _SPECIAL = f"""{_VOCABULARY}, vocab AS (SELECT * FROM extended UNION ALL SELECT '<|EOT|>', max(id) + 1 FROM extended)"""
 
 
 def _training_vocabulary(spark, folder):
-    extended = vb.extend_vocabulary(_base_vocabulary(spark, folder), word_set(_docs(spark, folder), "text"))
+    extended = vb.extend_vocabulary(_base_vocabulary(spark, folder), word_set(documents(spark, folder), "text"))
     full, pad = vb.with_special_tokens(extended)
     return materialise(full, "vocabulary"), pad
 

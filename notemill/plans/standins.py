@@ -22,6 +22,11 @@ DECORATIONS = (
 )
 
 
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids and texts, over all cores."""
+    return spread(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
+
+
 def decorated(spark: SparkSession, folder: str) -> DataFrame:
     docs = spread(table(spark, folder, "documents").select("doc_id", "source", "lang", "text"), "doc_id")
     which = F.col("doc_id") % len(DECORATIONS)
