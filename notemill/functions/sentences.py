@@ -12,8 +12,8 @@ from notemill import fixed_values as fv
 from notemill.functions import regex, text as tx
 
 ABBREVIATIONS = ("Dr", "Prof", "Mr", "Mrs", "Fig", "Eq", "al", "cf", "vs", "approx", "e.g", "i.e")
-SENTENCE_END = "\x1e"
-HELD_SPACE = "\x1f"
+SENTENCE_END = "\ufdd0"      # non-characters: no text holds them, and no class counts them as space
+HELD_SPACE = "\ufdd1"
 
 
 def abbreviation_pattern() -> str:

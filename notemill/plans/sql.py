@@ -98,9 +98,9 @@ def reference_list(x: str) -> str:
 
 
 def sentences(x: str) -> str:
-    held = rf"regexp_replace({x}, {quoted(sf.abbreviation_pattern())}, '\1\2.' || chr(31), 'g')"
-    marked = rf"regexp_replace({held}, {quoted(sf.boundary_pattern())}, '\1' || chr(30) || '\2', 'g')"
-    parts = f"list_transform(string_split({marked}, chr(30)), lambda s: {strip('replace(s, chr(31), chr(32))')})"
+    held = rf"regexp_replace({x}, {quoted(sf.abbreviation_pattern())}, '\1\2.' || chr(64977), 'g')"
+    marked = rf"regexp_replace({held}, {quoted(sf.boundary_pattern())}, '\1' || chr(64976) || '\2', 'g')"
+    parts = f"list_transform(string_split({marked}, chr(64976)), lambda s: {strip('replace(s, chr(64977), chr(32))')})"
     return f"coalesce(list_filter({parts}, lambda s: s <> ''), [])"
 
 
