@@ -38,11 +38,12 @@ def attach(rows: DataFrame, table: DataFrame, key: str, weight: str, spread_by:
            parts: int | None = None) -> DataFrame:
     """Left join rows to a table with unique keys that says how many rows each key has (``weight``).
 
-    Keys above the ``parts``-th share of all rows number fewer than ``parts``: these are broadcast.
-    The rest is joined by key. Rows that are served by the broadcast, or whose key is null, take a
-    chance key instead of their own, so that they do not meet in one task. The weight is dropped.
+    Keys above the ``parts``-th share of all rows number fewer than ``parts``: these are looked up by
+    broadcast (salted, should they be too long for that). The rest is joined by key. Rows that were
+    looked up, or whose key is null, take a chance key instead of their own, so that they do not meet
+    in one task. The weight is dropped.
     """
-    parts = parts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts or min(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1000)
     table = materialise(table, "keys")
     values = [c for c in table.columns if c not in (key, weight)]
     total = table.agg(F.sum(weight).alias("total")).scalar()
@@ -50,7 +51,7 @@ def attach(rows: DataFrame, table: DataFrame, key: str, weight: str, spread_by:
     hot = table.filter(is_hot).select(key, F.lit(True).alias("_hot"), *[F.col(c).alias(f"_hot_{c}") for c in values])
     cold = table.filter(~is_hot).select(F.concat(F.lit("k"), F.col(key).cast("string")).alias("_key"),
                                         *[F.col(c).alias(f"_cold_{c}") for c in values])
-    flagged = rows.join(F.broadcast(hot), key, "left")
+    flagged = lookup_join(rows, hot, key, spread_by)
     chance = F.concat(F.lit("n"), F.xxhash64(spread_by).cast("string"))
     own = F.concat(F.lit("k"), F.col(key).cast("string"))
     keyed = flagged.withColumn("_key", F.when(F.col("_hot").isNull() & F.col(key).isNotNull(), own).otherwise(chance))

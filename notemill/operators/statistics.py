@@ -1,8 +1,8 @@
 """Descriptive statistics and distribution tables.
 
-All start from value counts, which combine map-side. Lengths and counts have few distinct values, and
-Spark's exact ``percentile`` with frequencies is enough. For columns where nearly every value differs
-use ``exact_quantiles`` and ``describe_spread``, which never bring the values into one task.
+All aggregate value counts map-side. Lengths and counts have few distinct values, and Spark's exact
+``percentile`` is enough for them. For columns where nearly every value differs use
+``exact_quantiles`` and ``describe_spread``, which never bring the values into one task.
 """
 
 from pyspark.sql import DataFrame
@@ -28,22 +28,20 @@ def _percentiles(probabilities):
 def describe(df: DataFrame, column, *groups: str, population: bool = False) -> DataFrame:
     """Count, total, mean, median, deviation, extremes, percentiles and interquartile range.
 
-    Sums are of whole numbers or of few doubles; the deviation is taken around the mean, which the
-    second aggregate reads from the value counts again.
+    One aggregate: each task brings its sums and its value counts for the percentiles, of which
+    lengths and counts have few.
     """
-    counts = value_counts(df, column, *groups)
-    base = counts.groupBy(*groups).agg(
-        F.sum("n").alias("count"), F.sum(F.col("value") * F.col("n")).alias("total"),
-        F.min("value").alias("minimum"), F.max("value").alias("maximum"), _percentiles(CUTS).alias("_p"),
-        F.sum(F.col("value").cast("double") * F.col("value") * F.col("n")).alias("_squares"))
-    n, total = F.col("count"), F.col("total").cast("double")
-    spread = F.greatest(F.col("_squares") - total * total / n, F.lit(0.0))
-    std = F.sqrt(spread / n) if population else F.when(n > 1, F.sqrt(spread / (n - 1)))
+    value = F.col(column) if isinstance(column, str) else column
+    rows = df.select(*groups, value.alias("value")).filter("value is not null")
+    std = F.stddev_pop if population else F.stddev_samp
+    base = rows.groupBy(*groups).agg(
+        F.count("*").alias("count"), F.sum("value").alias("total"), F.avg("value").alias("mean"),
+        std("value").alias("std"), F.min("value").alias("minimum"), F.max("value").alias("maximum"),
+        F.percentile("value", F.array(*[F.lit(p) for p in CUTS])).alias("_p"))
     p = F.col("_p")
     return base.select(
-        *groups, "count", "total", (total / n).alias("mean"), p[2].alias("median"), std.alias("std"),
-        "minimum", "maximum", p[0].alias("p5"), p[1].alias("p25"), p[3].alias("p75"), p[4].alias("p95"),
-        (p[3] - p[1]).alias("iqr"))
+        *groups, "count", "total", "mean", p[2].alias("median"), "std", "minimum", "maximum",
+        p[0].alias("p5"), p[1].alias("p25"), p[3].alias("p75"), p[4].alias("p95"), (p[3] - p[1]).alias("iqr"))
 
 
 def exact_quantiles(df: DataFrame, column: str, probabilities) -> DataFrame:
@@ -101,13 +99,17 @@ def log10_positive(df: DataFrame, column: str, name: str) -> DataFrame:
 
 
 def _shape(counts: DataFrame, quartiles: bool) -> DataFrame:
-    """One row: n, extremes, deviation and, if asked for, quartiles of a value count table."""
+    """One row: n, extremes, deviation and, if asked for, quartiles of a value count table.
+
+    The deviation is taken around the mean, so the counts are read twice.
+    """
     n, value = F.col("n"), F.col("value").cast("double")
-    base = counts.agg(F.sum("n").alias("rows"), F.min(value).alias("low"), F.max(value).alias("high"),
-                      F.sum(value * n).alias("_sum"), F.sum(value * value * n).alias("_squares"),
-                      *([_percentiles(QUARTILES).alias("q")] if quartiles else []))
-    variance = (F.col("_squares") - F.col("_sum") * F.col("_sum") / F.col("rows")) / (F.col("rows") - 1)
-    return base.withColumn("std", F.sqrt(F.greatest(variance, F.lit(0.0)))).drop("_sum", "_squares")
+    mean = counts.agg((F.sum(value * n) / F.sum("n")).alias("mean")).scalar()
+    base = counts.withColumn("_off", value - mean).agg(
+        F.sum("n").alias("rows"), F.min(value).alias("low"), F.max(value).alias("high"),
+        F.sum(F.col("_off") * F.col("_off") * n).alias("_squares"),
+        *([_percentiles(QUARTILES).alias("q")] if quartiles else []))
+    return base.withColumn("std", F.when(F.col("rows") > 1, F.sqrt(F.col("_squares") / (F.col("rows") - 1)))).drop("_squares")
 
 
 def histogram(counts: DataFrame, bins: int | None = None) -> DataFrame:

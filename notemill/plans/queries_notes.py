@@ -88,6 +88,17 @@ def references_flattened(spark, folder):
     return rows.select("file_id", "reaction_id", F.col("place").cast("long").alias("place"), "reference")
 
 
+@query(f"""WITH {sql.reactions()},
+flat AS (SELECT file_id, row_order, place, r[place] AS reference FROM (SELECT file_id, row_order, r, unnest(range(1, len(r) + 1)) AS place
+  FROM (SELECT file_id, row_order, {sql.reference_list('only_references')} AS r FROM reactions))),
+numbered AS (SELECT *, (row_number() OVER (PARTITION BY file_id ORDER BY row_order, place) - 1) // 25 AS part FROM flat)
+SELECT file_id, part, string_agg(reference, '|' ORDER BY row_order, place) AS all_references FROM numbered GROUP BY file_id, part""")
+def references_per_file(spark, folder):
+    """The whole reference list of every file, in parts of at most 25."""
+    lists = references.grouped_reference_lists(reactions(spark, folder), "file_id", "row_order", per_part=25)
+    return lists.withColumn("all_references", joined("all_references"))
+
+
 @query(f"""WITH {sql.reactions()}, {_REFS},
 per_file AS (SELECT file_id, count(*) AS total, count(DISTINCT reference) AS uniq FROM refs GROUP BY file_id)
 SELECT sum(total)::BIGINT AS total_references, sum(uniq)::BIGINT AS unique_references FROM per_file""")

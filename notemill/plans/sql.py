@@ -44,7 +44,8 @@ def _without(pattern: str, to: str = "") -> str:
     return f"regexp_replace(t, {quoted(pattern)}, {quoted(to)}, 'g')"
 
 
-LINK = regex.re2(r"\([^)]*(https?://|doi\.org|reactome|10\.\d{4,9})[^)]*\)")
+# the look-ahead scans the same stretch as the rest of the pattern, so it can be the pattern's own middle
+LINK = regex.re2(fv.LINK_PARENTHESIS.replace("(?=", "").replace("}))", "})"))
 
 
 def link_steps():

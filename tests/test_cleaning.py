@@ -9,10 +9,10 @@ from notemill import fixed_values as fv
 from notemill.operators import cleaning
 
 EDGES = [
-    "A (https://doi.org/10.1234/x) b (see reactome) c", "()", None, "", "( ) x", "NoYesABC", "1999Smith et al", "RNAABC1",
+    "A (https://doi.org/10.1234/x) b (see 10.99999/q) c", "()", None, "", "( ) x", "NoYesABC", "1999Smith et al", "RNAABC1",
     "x , y .", "a . . b", "...", "?!.,", "Élan et al. 2011 said", "(Smith (2011) inner) out", "no year (Smith) here.",
     "as reviewed in Brown 1999 and by Lee and Park 2005b .", "Smith et al, 2016 or Katayama et al 2014", "É (e.g. Amin 2016) :x",
-    "Müller et al. 2020; Bagci et al. 2020", "reviewed by Adams Baker et al. 2001", "abcSmith et  al 2011 RNAXY (", "2011ABC (x)",
+    "Åberg et al. 2020; Novak et al. 2020", "reviewed by Adams Baker et al. 2001", "abcSmith et  al 2011 RNAXY (", "2011ABC (x)",
     "éSmith 1999", "Smith 1999é", "Smith 1999 x", "tab\tand\nnewline here  (10.12345/z)", "Title Case Words Only Here",
     "YesNo NoNo ProteinABC YesYesXY", "A:B : C", "end . ", "x..y...z", "(Abc 20111) 12 (3456) 78", "Lee and Park 2005 ..",
 ]
@@ -67,8 +67,8 @@ def test_notes_join_links_and_citations(texts):
 
 
 def test_whole_parentheses_on_request(texts):
-    out = cleaning.remove_links(texts(["A (see reactome) b"]), "text", "clean", "found", capture="full").first()
-    assert (out["clean"], out["found"]) == ("A b", ["(see reactome)"])
+    out = cleaning.remove_links(texts(["A (see doi.org/q) b"]), "text", "clean", "found", capture="full").first()
+    assert (out["clean"], out["found"]) == ("A b", ["(see doi.org/q)"])
 
 
 def test_many_capitalised_words_do_not_overflow(texts):
