@@ -46,14 +46,16 @@ def _put(df: DataFrame, steps) -> DataFrame:
     Those without a guard read their input once and are nested; a guarded one reads it twice, so it
     starts a projection of its own.
     """
-    text = F.col(_TEXT)
+    text, open_steps = F.col(_TEXT), False
     for action, pattern, argument in steps:
         guard = _guard(pattern) if action == "put" else None
         if guard is not None:
-            df = df.withColumn(_TEXT, text)
+            if open_steps:
+                df = df.withColumn(_TEXT, text)
             text = F.when(guard, _replace(F.col(_TEXT), pattern, argument)).otherwise(F.col(_TEXT))
         else:
             text = _replace(text, pattern, argument) if action == "put" else tx.squeeze(text)
+        open_steps = True
     return df.withColumn(_TEXT, text)
 
 

@@ -159,12 +159,12 @@ def loaded_or_built(spark, folder):
     return sinks.load_or_build(spark, path, lambda: None, docs.schema)
 
 
-@query("SELECT 'R-' || p_partkey AS term FROM part WHERE p_size % 7 = 0")
+@query("SELECT 'R-' || p_partkey AS term FROM part WHERE p_size > 40")
 def retry_list(spark, folder):
     path = scratch_path(spark, "retry")
     results = table(spark, folder, "part").select(
         F.concat(F.lit("R-"), F.col("p_partkey").cast("string")).alias("id"),
-        F.when(F.col("p_size") % 7 == 0, "error").otherwise("success").alias("status"))
+        F.when(F.col("p_size") > 40, "error").otherwise("success").alias("status"))
     sinks.write_failed(results, path, "id")
     return files.read_terms(spark, path)
 

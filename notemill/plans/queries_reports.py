@@ -317,7 +317,7 @@ def labelled_documents(spark, folder):
 
 
 @query("""WITH ids AS (SELECT 'P-' || p_partkey AS id FROM part WHERE p_type = 'ECONOMY'),
-names AS (SELECT 'P-' || p_partkey || '.sbml' AS name FROM part WHERE p_partkey % 3 = 0)
+names AS (SELECT 'P-' || p_partkey || '.sbml' AS name FROM part WHERE p_size <= 20)
 SELECT id FROM ids WHERE EXISTS (SELECT 1 FROM names WHERE starts_with(name, id))""")
 def files_by_prefix(spark, folder):
     ids, names = _ids_and_names(spark, folder)
@@ -326,24 +326,24 @@ def files_by_prefix(spark, folder):
 
 def _ids_and_names(spark, folder):
     part = table(spark, folder, "part").withColumn("id", F.concat(F.lit("P-"), F.col("p_partkey").cast("string")))
-    names = part.filter("p_partkey % 3 = 0").select(F.concat("id", F.lit(".sbml")).alias("name"))
+    names = part.filter("p_size <= 20").select(F.concat("id", F.lit(".sbml")).alias("name"))
     return part.filter("p_type = 'ECONOMY'").select("id"), names
 
 
-@query("""SELECT 'P-' || p_partkey AS id FROM part WHERE p_type = 'ECONOMY' AND p_partkey % 3 = 0""")
+@query("""SELECT 'P-' || p_partkey AS id FROM part WHERE p_type = 'ECONOMY' AND p_size <= 20""")
 def files_by_name(spark, folder):
     ids, names = _ids_and_names(spark, folder)
     return joins.exact_matches(ids, "id", names, "name")
 
 
-@query("""SELECT 'P-' || p_partkey AS id FROM part WHERE p_type = 'ECONOMY' AND p_partkey % 3 <> 0""")
+@query("""SELECT 'P-' || p_partkey AS id FROM part WHERE p_type = 'ECONOMY' AND p_size > 20""")
 def pending_ids(spark, folder):
     ids, names = _ids_and_names(spark, folder)
     return joins.pending(ids, "id", names.select(F.regexp_replace("name", r"\.sbml$", "").alias("id")))
 
 
-@query("""SELECT count(*) AS expected, count(*) FILTER (p_partkey % 3 = 0) AS found,
-  count(*) = count(*) FILTER (p_partkey % 3 = 0) AS complete FROM part WHERE p_type = 'ECONOMY'""")
+@query("""SELECT count(*) AS expected, count(*) FILTER (p_size <= 20) AS found,
+  count(*) = count(*) FILTER (p_size <= 20) AS complete FROM part WHERE p_type = 'ECONOMY'""")
 def completeness(spark, folder):
     ids, names = _ids_and_names(spark, folder)
     return joins.completeness(ids, joins.exact_matches(ids, "id", names, "name"))

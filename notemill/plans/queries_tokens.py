@@ -16,7 +16,7 @@ QUERIES, SQL, query = register()
 
 TOP_WORDS = 1000
 FIRST_IDS = ((vb.UNKNOWN, 0), (fv.BOS_TOKEN, 1), (fv.EOS_TOKEN, 2))
-MAX_LENGTH = 256
+MAX_LENGTH = fv.MODEL_MAX_LENGTH
 BATCH_ROWS = 8
 
 
