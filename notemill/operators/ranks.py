@@ -16,8 +16,7 @@ def _ordered_slots(df: DataFrame, order) -> DataFrame:
     partition bounds even when tasks are run again after an executor is lost. Finding the bounds reads
     what follows the input's last shuffle once more; materialise before when that is costly.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
     return materialise(ordered.withColumn(_SLOT, F.monotonically_increasing_id()), "ordered")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notemill.operators import cleaning, dedup, markup, references, splits
+from notemill.session import materialise
 from notemill.sources import files, sinks
 
 REACTION_COLUMNS = ("file_id", "reaction_id", "original_notes", "notes", "only_references", "snippet")
@@ -29,12 +30,14 @@ def build_corpus(spark: SparkSession, folder: str, out: str, names: str = "*.sbm
     A file that does not parse gives no rows and the count 0, and is listed; the others go on.
     """
     documents = files.markup_documents(spark, folder, names)
-    good, broken = files.split_broken(documents)
+    good, _ = files.split_broken(documents)
     sinks.write_table(reaction_rows(good), f"{out}/reactions")
-    parsed = F.when(files.well_formed(F.col("value")), F.col("reaction_count")).otherwise(0)
-    counts = documents.withColumn("reaction_count", F.size(markup.elements(F.col("value"), "reaction")).cast("long"))
-    sinks.write_table(counts.select("file_id", parsed.alias("reaction_count")), f"{out}/file_counts")
-    sinks.write_table(broken.select("file_id"), f"{out}/broken_files")
+    per_file = materialise(documents.select(
+        "file_id", files.well_formed(F.col("value")).alias("good"),
+        F.size(markup.elements(F.col("value"), "reaction")).cast("long").alias("found")), "files")
+    counts = per_file.select("file_id", F.when(F.col("good"), F.col("found")).otherwise(0).alias("reaction_count"))
+    sinks.write_table(counts, f"{out}/file_counts")
+    sinks.write_table(per_file.filter("not good").select("file_id"), f"{out}/broken_files")
 
 
 def summarise_files(spark: SparkSession, out: str) -> None:

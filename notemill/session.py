@@ -16,6 +16,7 @@ def local_session(cores: str = "8", partitions: int = 8, memory: str = "12g") ->
              .config("spark.driver.memory", memory)
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")
+             .config("spark.python.sql.dataFrameDebugging.enabled", "false")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark
