@@ -121,3 +121,54 @@ def test_samples_repeat(spark):
     seven = sampling.seeded_sample(hot(spark, 7), "id", 20).collect()
     assert one == seven and sampling.seeded_sample(hot(spark, 2).limit(5), "id", 20).count() == 5
     assert [r["id"] for r in sampling.row_slice(hot(spark, 3), ["id"], 16, 18).collect()] == [16, 17]
+
+
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_grouped_lists_in_parts(spark, partitions):
+    """One file holds most references: its list comes in bounded parts that make up the whole list."""
+    data = [(i, "hot" if i % 4 else f"f{i % 8}", f"A {i}; (B {i % 3})") for i in range(200)] + [(200, "none", None)]
+    rows = spark.createDataFrame(data, "row_order long, file_id string, only_references string").repartition(partitions)
+    got = references.grouped_reference_lists(rows, "file_id", "row_order", per_part=37).collect()
+    assert all(len(r["all_references"]) <= 37 for r in got)
+    whole = {}
+    for r in sorted(got, key=lambda r: r["part"]):
+        whole.setdefault(r["file_id"], []).extend(r["all_references"])
+    expected = {}
+    for i, file, _ in data[:-1]:
+        expected.setdefault(file, []).extend([f"A {i}", f"B {i % 3}"])
+    assert whole == expected
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(monkeypatch):
+    from notemill import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(name, default=None):
+                return default
+    with pytest.raises(ValueError):
+        session.scratch_path(Session(), "x")
+
+
+def test_filters_reach_the_scan(spark):
+    """Only the needed columns are read and the filter is pushed into the Parquet scan."""
+    from notemill.plans import registry
+    plan = registry.all_queries()["renamed_projection"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert "EqualTo(lang,en)" in plan and "ReadSchema: struct<doc_id:bigint,lang:string,n_chars:bigint>" in plan
+
+
+def test_no_query_uses_a_cross_join_or_python_row_functions(spark):
+    from notemill.plans import registry
+    for name in ("file_summary", "sentence_table", "length_categories", "word_count_histogram", "subword_tokens"):
+        plan = registry.all_queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan and "BatchEvalPython" not in plan, name
