@@ -1,6 +1,6 @@
 """The queries' results in DuckDB SQL, where SQL can express them."""
 
-from notemill.llm import secrets
+from notemill.llm import licences, secrets
 
 
 def quoted(text: str) -> str:
@@ -42,3 +42,33 @@ SQL = {
     "op4_secrets": span_query([spans_of(r.kind, i, r.pattern, _ACCEPTS.get(r.kind, "true"), 2 if r.kind == "assign" else 0)
                                for i, r in enumerate(secrets.RULES)], [r.kind for r in secrets.BASE]),
 }
+
+
+def licence_query() -> str:
+    lower = "translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    places = " union all ".join(
+        f"select row, '{label}' as label, unnest(list_filter(range(len(w)), lambda i: w[i + 1:i + {len(phrase.split())}] = "
+        f"{phrase.split()!r})) as place from words where len(w) > 0" for phrase, label in licences.PHRASES)
+    held = " union all ".join(
+        f"select row, '{label}' as label, len(list_intersect(b, {words!r})) / {len(words)}.0::DOUBLE as share from blocks "
+        f"where len(list_intersect(b, {words!r})) >= {licences.needed(len(words), licences.CONTAINMENT)}"
+        for label, words in ((label, sorted(set(text.split()))) for label, text in licences.TEMPLATES))
+    return rf"""
+with texts as (select row_number() over () as row, doc_id, coalesce(text, '') as t from documents),
+words as (select row, regexp_extract_all({lower}, '{word}') as w from texts),
+blocks as (select row, list_distinct(regexp_extract_all(line, '{word}')) as b from
+    (select row, unnest(string_split({lower}, chr(10))) as line from texts)),
+places as ({places}), held as ({held}),
+base as (select row, count(*) as n, min(place) as first_word, max(place) as last_word,
+    string_agg(distinct label, ',' order by label) as labels from places group by row),
+best as (select row, max(share) as share from held group by row),
+every as (select row, string_agg(distinct label, ',' order by label) as labels from
+    (select row, label from places union all select row, label from held) group by row)
+select doc_id, len(w)::BIGINT as n_words, coalesce(n, 0)::BIGINT as n_base, first_word, last_word,
+    coalesce(base.labels, '') as base_labels, coalesce(every.labels, '') as labels,
+    greatest(case when n > 0 then 1.0 else 0.0 end, coalesce(share, 0.0))::DOUBLE as score
+from texts join words using (row) left join base using (row) left join best using (row) left join every using (row)"""
+
+
+SQL["op10_licences"] = licence_query()

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from notemill.llm import bpe, language, secrets
+from notemill.llm import bpe, language, licences, secrets
 from notemill.operators.once import evaluate_once
 from notemill.plans.registering import register
 from notemill.session import materialise
@@ -46,3 +46,8 @@ def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
     counts = [secrets.count_of("found", kind).alias(f"n_{kind}") for kind in base]
     return found.select("doc_id", *counts, F.sha2(secrets.joined(kept), 256).alias("base_sha256"),
                         secrets.joined(F.col("found")).alias("spans"))
+
+
+@query()
+def op10_licences(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.scan(documents(spark, folder))
