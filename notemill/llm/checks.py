@@ -1,6 +1,6 @@
 """The queries' results in DuckDB SQL, where SQL can express them."""
 
-from notemill.llm import licences, secrets
+from notemill.llm import licences, privacy, secrets
 
 
 def quoted(text: str) -> str:
@@ -72,3 +72,50 @@ from texts join words using (row) left join base using (row) left join best usin
 
 
 SQL["op10_licences"] = licence_query()
+
+
+_PERSONAL = {
+    "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true"),
+    "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+           "len(list_filter(string_split($m, '.'), lambda p: try_cast(p as HUGEINT) is null or try_cast(p as HUGEINT) > 255)) = 0"),
+    "card": (r"[0-9]([\x20-]?[0-9])+", """length(regexp_replace($m, '[^0-9]', '', 'g')) between 14 and 19 and
+        list_sum(list_transform(string_split(reverse(regexp_replace($m, '[^0-9]', '', 'g')), ''), lambda d, i:
+            case when i % 2 = 1 then d::INT when d::INT > 4 then d::INT * 2 - 9 else d::INT * 2 end)) % 10 = 0"""),
+    "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "length(regexp_replace($m, '[^0-9]', '', 'g')) between 10 and 15"),
+}
+
+
+def personal_query() -> str:
+    reach, letters = privacy.REACH, privacy.LETTERS
+    parts = " union all ".join(spans_of(kind, i, *_PERSONAL[kind]) for i, kind in enumerate(privacy.KINDS))
+    whole = span_query(["select * from every_span"], list(privacy.KINDS))
+    before = f"""
+base_spans as (select row_number() over () as span, * from ({parts})),
+beside as (select doc_id, span, kind || ':' || lower(substr(t, s + 1, e - s)) as entity,
+    regexp_extract_all(lower(substr(t, greatest(s - {reach}, 0) + 1, least(s, {reach}))), '{letters}') as l,
+    regexp_extract_all(lower(substr(t, e + 1, {reach})), '{letters}') as r, s, e, length(t) as size
+    from base_spans join texts using (doc_id)),
+wordings as (select doc_id, entity, list_distinct(list_concat(case when s > {reach} then l[2:] else l end,
+    case when size > e + {reach} and len(r) > 0 then r[1:len(r) - 1] else r end)) as words from beside),
+once as (select doc_id, entity, list_sort(words) as wording, unnest(words) as word from wordings),
+per_word as (select entity, word, count(distinct wording) as wordings, count(distinct doc_id) as together from once group by all),
+everywhere as (select word, count(distinct doc_id) as documents from
+    (select doc_id, unnest(regexp_extract_all(lower(t), '{letters}')) as word from texts) group by word),
+dangerous as (select entity, word from per_word join everywhere using (word)
+    where wordings >= {privacy.LEAST_WORDINGS} and together * {2 ** privacy.LEFT_BITS} >= documents),
+doc_words as (select distinct doc_id, word from wordings join dangerous using (entity)),
+doc_texts as (select doc_id, t, regexp_extract_all(t, '\\p{{L}}+') as ms, regexp_split_to_array(t, '\\p{{L}}+') as ps
+    from texts where doc_id in (select doc_id from doc_words)),
+doc_tokens as (select doc_id, x.w as word, x.s as s, x.s + length(x.w) as e from (select doc_id,
+    unnest(list_transform(range(1, len(ms) + 1), lambda i: {{'w': ms[i],
+        's': list_sum(list_transform(ps[1:i], lambda v: length(v)))::BIGINT
+             + coalesce(list_sum(list_transform(ms[1:i - 1], lambda v: length(v))), 0)::BIGINT}})) as x from doc_texts)),
+term_spans as (select k.doc_id, 'term' as kind, {len(privacy.KINDS)} as place, k.s, k.e from doc_tokens k
+    join doc_words d on k.doc_id = d.doc_id and lower(k.word) = d.word),
+every_span as (select doc_id, kind, place, s, e from base_spans union all select * from term_spans),
+""".replace("\\\\", "\\")
+    head = "with texts as (select doc_id, coalesce(text, '') as t from documents),"
+    return whole.replace(head, head + before)
+
+
+SQL["op7_personal_data"] = personal_query()

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from notemill.llm import bpe, language, licences, secrets
+from notemill.llm import bpe, language, licences, privacy, secrets
 from notemill.operators.once import evaluate_once
 from notemill.plans.registering import register
 from notemill.session import materialise
@@ -51,3 +51,12 @@ def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_licences(spark: SparkSession, folder: str) -> DataFrame:
     return licences.scan(documents(spark, folder))
+
+
+@query()
+def op7_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = privacy.find(documents(spark, folder))
+    base = F.filter("spans", lambda s: s["kind"].isin(list(privacy.KINDS)))
+    counts = [secrets.count_of("spans", kind).alias(f"n_{kind}") for kind in privacy.KINDS]
+    return found.select("doc_id", *counts, F.sha2(secrets.joined(base), 256).alias("base_sha256"),
+                        secrets.joined(F.col("spans")).alias("spans"))
