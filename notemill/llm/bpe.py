@@ -11,14 +11,16 @@ apart and the pieces seen are kept as long as there is room, which changes no re
 """
 
 import base64
+from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-PIECES, PAIRS = 200_000, 1_000_000
+PIECES, PAIRS = 300_000, 1_000_000
 CERTAIN_EVERY = 4096
 LONG_TEXT = 1 << 20
 
@@ -153,7 +155,7 @@ class Transducer:
     def known_piece(self, piece: str) -> bytes:
         if len(self.known) >= PIECES:
             self.known.clear()
-        packed = np.array(self.piece_ids(piece.encode()), dtype=np.int32).tobytes()
+        packed = array("i", self.piece_ids(piece.encode())).tobytes()
         if len(piece) <= 64:
             self.known[piece] = packed
         return packed
@@ -179,6 +181,9 @@ class Utf8Stream:
     def __init__(self, tokens: list[bytes]):
         self.tokens = tokens
         self.moves: dict[tuple[bytes, int], tuple[str, bytes]] = {}
+        #: The move from the start state where it ends there again, else None.
+        self.whole = [None if self.unfinished(t) else self.move(b"", i)[0] for i, t in enumerate(tokens)]
+        self.moves.clear()
 
     @staticmethod
     def unfinished(data: bytes) -> int:
@@ -207,7 +212,15 @@ class Utf8Stream:
         self.moves[state, token] = found
         return found
 
-    def text(self, ids) -> str:
+    def text(self, ids: list[int]) -> str:
+        try:
+            if min(ids, default=0) >= 0:
+                return "".join([self.whole[i] for i in ids])
+        except (TypeError, IndexError):
+            pass
+        return self.stepwise(ids)
+
+    def stepwise(self, ids: list[int]) -> str:
         state, out, moves = b"", [], self.moves
         for token in ids:
             part, state = moves.get((state, token)) or self.move(state, token)
@@ -256,7 +269,9 @@ def decoder(spark: SparkSession, path: str):
     @F.arrow_udf("string")
     def text(ids: pa.Array) -> pa.Array:
         machine = _machine(Utf8Stream, shared.value)
-        return pa.array([None if row is None else machine.text(row) for row in (v.as_py() for v in ids)], type=pa.string())
+        flat, ends = pc.fill_null(ids.flatten(), -1).to_numpy(), np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy())
+        rows = (flat[a:b].tolist() for a, b in zip([0, *ends[:-1].tolist()], ends.tolist()))
+        return pa.array([machine.text(row) if valid else None for row, valid in zip(rows, ids.is_valid().to_pylist())], type=pa.string())
 
     return text
 

@@ -119,3 +119,20 @@ every_span as (select doc_id, kind, place, s, e from base_spans union all select
 
 
 SQL["op7_personal_data"] = personal_query()
+
+
+SQL["op9_near_duplicates"] = r"""
+with recursive texts as (select doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \x09-\x0D]+'), lambda w: w <> '') as w from documents),
+sets as (select doc_id, list_distinct(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as s from texts),
+classes as (select list_sort(s) as s, min(doc_id) as rep from sets where len(s) > 0 group by 1),
+items as (select rep, len(s) as n, unnest(s) as x from classes),
+pairs as (select a.rep as a, b.rep as b, any_value(a.n) as na, any_value(b.n) as nb, count(*) as shared
+    from items a join items b on a.x = b.x and a.rep < b.rep group by 1, 2),
+links as (select a, b from pairs where 100 * shared >= 85 * (na + nb - shared)),
+edges as (select a, b from links union select b, a from links),
+reach as (select rep as node, rep as seen from classes union select r.node, e.b from reach r join edges e on r.seen = e.a),
+parts as (select node, min(seen) as component from reach group by node)
+select doc_id, len(sets.s)::BIGINT as n_shingles, coalesce(component, doc_id) as component_id, doc_id = coalesce(component, doc_id) as kept
+from sets left join classes on list_sort(sets.s) = classes.s left join parts on rep = node"""

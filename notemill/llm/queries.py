@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from notemill.llm import bpe, language, licences, privacy, secrets
+from notemill.llm import bpe, language, licences, near_duplicates, privacy, secrets
 from notemill.operators.once import evaluate_once
 from notemill.plans.registering import register
 from notemill.session import materialise
@@ -60,3 +60,8 @@ def op7_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     counts = [secrets.count_of("spans", kind).alias(f"n_{kind}") for kind in privacy.KINDS]
     return found.select("doc_id", *counts, F.sha2(secrets.joined(base), 256).alias("base_sha256"),
                         secrets.joined(F.col("spans")).alias("spans"))
+
+
+@query()
+def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.groups(documents(spark, folder))
