@@ -136,3 +136,15 @@ reach as (select rep as node, rep as seen from classes union select r.node, e.b
 parts as (select node, min(seen) as component from reach group by node)
 select doc_id, len(sets.s)::BIGINT as n_shingles, coalesce(component, doc_id) as component_id, doc_id = coalesce(component, doc_id) as kept
 from sets left join classes on list_sort(sets.s) = classes.s left join parts on rep = node"""
+
+
+SQL["op6_passages"] = r"""
+with texts as (select row_number() over () as row, doc_id,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[ \x09-\x0D]+'), lambda w: w <> '') as w from documents),
+runs as (select row, doc_id, i, array_to_string(w[i:i + 49], ' ') as run from
+    (select row, doc_id, w, unnest(range(1, len(w) - 48)) as i from texts where len(w) >= 50)),
+firsts as (select run, min(doc_id) as first from runs group by run),
+gone as (select row, list(distinct p) as p from (select row, unnest(range(i, i + 50)) as p from runs join firsts using (run) where first < doc_id) group by row)
+select doc_id, len(w)::BIGINT as n_words, coalesce(len(p), 0)::BIGINT as n_removed,
+    sha256(array_to_string(case when p is null then w else list_filter(w, lambda x, i: not list_contains(p, i)) end, ' ')) as kept_sha256
+from texts left join gone using (row)"""
