@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from notemill.llm import bpe, language, licences, near_duplicates, passages, privacy, secrets
+from notemill.llm import bpe, contamination, language, licences, near_duplicates, passages, privacy, secrets
 from notemill.operators.once import evaluate_once
 from notemill.plans.registering import register
 from notemill.session import materialise
@@ -70,3 +70,8 @@ def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op6_passages(spark: SparkSession, folder: str) -> DataFrame:
     return passages.removed(documents(spark, folder)).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op3_contamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contamination.overlaps(documents(spark, folder), table(spark, folder, "benchmark"))
