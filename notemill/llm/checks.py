@@ -148,3 +148,13 @@ gone as (select row, list(distinct p) as p from (select row, unnest(range(i, i +
 select doc_id, len(w)::BIGINT as n_words, coalesce(len(p), 0)::BIGINT as n_removed,
     sha256(array_to_string(case when p is null then w else list_filter(w, lambda x, i: not list_contains(p, i)) end, ' ')) as kept_sha256
 from texts left join gone using (row)"""
+
+
+SQL["op2_neighbours"] = """
+with vectors as (select vec_id, v, sqrt(list_inner_product(v, v)) as n from (select vec_id, min(embedding::DOUBLE[]) as v from embeddings
+    where vec_id is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+      and len(list_filter(embedding, lambda x: x <> 0)) > 0 group by vec_id)),
+scored as (select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v) / (q.n * c.n) as score
+    from vectors q join vectors c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id and len(q.v) = len(c.v))
+select query_id, rank::INT as rank, vec_id, score from
+    (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored) where rank <= 5"""

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from notemill.llm import bpe, contamination, language, licences, near_duplicates, passages, privacy, secrets
+from notemill.llm import bpe, contamination, language, licences, near_duplicates, neighbours, passages, privacy, quality, secrets
 from notemill.operators.once import evaluate_once
 from notemill.plans.registering import register
 from notemill.session import materialise
@@ -75,3 +75,19 @@ def op6_passages(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op3_contamination(spark: SparkSession, folder: str) -> DataFrame:
     return contamination.overlaps(documents(spark, folder), table(spark, folder, "benchmark"))
+
+
+@query()
+def op2_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query()
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", language.held_out(F.col("doc_id"), 5, 0).alias("held_out"),
+                                           quality.statistics(F.col("text")).alias("statistics"))
+    docs = materialise(docs, "statistics")
+    labels = table(spark, folder, "labels").filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("label"))
+    model = quality.learn(docs.filter("not held_out").join(labels, "doc_id"))
+    score = model.score(F.col("statistics"))
+    return docs.select("doc_id", "held_out", score.alias("score"), (score >= 0.3).cast("int").alias("predicted"))
