@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notemill.llm import bpe, language, secrets
+from notemill.llm import bpe, contamination, filters, language, near_duplicates, secrets
 from notemill.operators.once import evaluate_once
 from notemill.session import materialise
 
@@ -28,6 +28,18 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return found.filter((F.col("_found.lang") != language.UNKNOWN) & (F.col("_found.fit") > 0)).select(*docs.columns)
 
 
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of near duplicates the document with the smallest id. Documents without an id stay."""
+    found = near_duplicates.groups(docs.select("doc_id", "text"))
+    return filters.without(docs, found.filter("not kept"), "doc_id")
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that share no passage with the benchmark."""
+    found = contamination.overlaps(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return filters.without(docs, found, "doc_id")
+
+
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; each secret is replaced by its kind in brackets."""
     found = evaluate_once(docs.withColumn("_text", F.col("text")), {"_spans": secrets.finder()("_text")})
@@ -49,6 +61,8 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("language", known_language),
+    ("near_duplicates", one_of_each_group),
+    ("decontamination", without_benchmark),
     ("secrets", without_secrets),
     ("tokens", token_ids),
 ]

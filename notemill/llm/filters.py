@@ -1,9 +1,12 @@
 """A set of hashes as a bitmap of fixed size: it lets false ones through, but holds back none."""
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from notemill.session import materialise
+
 BITS = 24
 
 
@@ -33,5 +36,22 @@ def hash_set(hashes: DataFrame, column: str) -> HashSet:
     return HashSet(words)
 
 
+def may_hold(shared, hashes: Column) -> Column:
+    """Whether the broadcast bitmap holds a hash; true for every hash that was put in."""
+    def probe(values: pa.Array) -> pa.Array:
+        return pa.array(shared.value.holds(values.to_numpy().view(np.uint64)))
+    return F.arrow_udf(probe, "boolean")(hashes)
+
+
+def without(rows: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is not in ``gone``. Only rows that the bitmap cannot clear are moved for the join; null keys stay."""
+    spark = rows.sparkSession
+    gone = materialise(gone.select(key).dropna().distinct(), "gone")
+    shared = spark.sparkContext.broadcast(hash_set(gone.select(id_hash(F.col(key)).alias("h")), "h"))
+    flagged = rows.withColumn("_may", may_hold(shared, id_hash(F.col(key))))
+    moved = flagged.filter("_may").drop("_may").join(gone, key, "left_anti").select(*rows.columns)
+    return flagged.filter("not _may").drop("_may").unionByName(moved)
+
+
 def id_hash(ids: Column) -> Column:
     return F.xxhash64(ids)

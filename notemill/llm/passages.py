@@ -198,11 +198,7 @@ def removed(docs: DataFrame) -> DataFrame:
 
     touched = shared(marks.select(filters.id_hash(F.col("doc_id")).alias("h")), "h")
 
-    @F.arrow_udf("boolean")
-    def may_change(hashes: pa.Array) -> pa.Array:
-        return pa.array(touched.value.holds(hashes.to_numpy().view(np.uint64)))
-
-    flagged = texts.withColumn("_may", F.col("doc_id").isNotNull() & may_change(filters.id_hash(F.col("doc_id"))))
+    flagged = texts.withColumn("_may", F.col("doc_id").isNotNull() & filters.may_hold(touched, filters.id_hash(F.col("doc_id"))))
     rest = flagged.filter("not _may").select("doc_id", "text").mapInArrow(_kept, _KEPT)
     changed = flagged.filter("_may").select("doc_id", "text").join(marks, "doc_id", "left").mapInArrow(_kept, _KEPT)
     return rest.unionByName(changed)
