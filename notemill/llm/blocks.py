@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 
 #: The white space that ends a word is space and code points 9 to 13.
 _SPACE = np.zeros(256, dtype=bool)

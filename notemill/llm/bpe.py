@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-PIECES, PAIRS = 300_000, 1_000_000
+PIECES, PAIRS = 300_000, 500_000
 CERTAIN_EVERY = 4096
 LONG_TEXT = 1 << 20
 

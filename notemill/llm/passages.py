@@ -19,7 +19,7 @@ from notemill.llm.blocks import NOT_SPACE, list_column, mixed, pieces, text_byte
 from notemill.session import materialise
 
 WIDTH, PHRASE = 50, 8
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 19
 
 
 class Words:
