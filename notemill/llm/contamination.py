@@ -17,8 +17,8 @@ from notemill.llm.blocks import ALNUM, list_column, mixed, pieces, text_bytes, w
 from notemill.session import materialise
 
 SPAN = 12
-#: Masks of eight kept places out of twelve. Places ignored by one are kept by others.
-MASKS = ("111011010011", "110100111101", "101110101101", "111110000111", "000111111110", "110011110011")
+#: Masks of eight kept places out of twelve. Whichever two of sixteen neighbouring tokens differ, one of them fits.
+MASKS = ("111110000111", "110101011011", "111001110101", "111011101100", "100111100111", "101001101111")
 WINDOW, AGREE, LEAST = 16, 12, 5
 CONTEXT = WINDOW
 

@@ -27,7 +27,6 @@ CONTAINMENT = 0.8
 
 #: Notices as their licences word them, in lower case.
 TEMPLATES = (
-    ("mit", "licensed under the mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
     ("apache-2", "licensed under the apache license version 2 0"),
     ("apache-2", "you may not use this file except in compliance with the license"),

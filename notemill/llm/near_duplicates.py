@@ -29,7 +29,8 @@ MINIMA = 256
 MARGIN = 0.13
 TILE = 256
 
-_FACTORS = np.random.default_rng(77).integers(1, 2**63, MINIMA, dtype=np.uint64) | np.uint64(1)
+_FACTORS = np.random.default_rng(77).integers(1, 2**63, MINIMA, dtype=np.uint64)
+_FIRST, _SECOND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)
 
 
 def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
@@ -50,7 +51,10 @@ def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
 def minima(shingles: np.ndarray) -> np.ndarray:
     best = np.full(MINIMA, 2**32 - 1, dtype=np.uint32)
     for start in range(0, len(shingles), 1024):
-        values = np.multiply.outer(shingles[start:start + 1024], _FACTORS) >> np.uint64(32)
+        values = (shingles[start:start + 1024, None] ^ _FACTORS) * _FIRST
+        values ^= values >> np.uint64(32)
+        values *= _SECOND
+        values >>= np.uint64(32)
         np.minimum(best, values.min(axis=0).astype(np.uint32), out=best)
     return best
 
