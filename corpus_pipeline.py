@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notemill.llm import bpe, contamination, filters, language, near_duplicates, secrets
+from notemill.llm.blocks import bounded_batches
 from notemill.operators.once import evaluate_once
 from notemill.session import materialise
 
@@ -21,6 +22,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     under any mixture of languages than by even chance. Without any row that names a language nothing is
     learnt, and only texts without a letter go.
     """
+    bounded_batches(spark)
     model = language.learn(docs)
     found = docs.withColumn("_found", language.identifier(model)("text"))
     if not model.languages:
@@ -30,18 +32,21 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of near duplicates the document with the smallest id. Documents without an id stay."""
+    bounded_batches(spark)
     found = near_duplicates.groups(docs.select("doc_id", "text"))
     return filters.without(docs, found.filter("not kept"), "doc_id")
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share no passage with the benchmark."""
+    bounded_batches(spark)
     found = contamination.overlaps(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return filters.without(docs, found, "doc_id")
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; each secret is replaced by its kind in brackets."""
+    bounded_batches(spark)
     found = evaluate_once(docs.withColumn("_text", F.col("text")), {"_spans": secrets.finder()("_text")})
     held = F.size("_spans") > 0
     clean = evaluate_once(found, {"_clean": secrets.redacted(F.col("text"), F.col("_spans"))})
@@ -52,6 +57,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, the text's token ids, and whether they decode to the text again. A null text has no ids."""
+    bounded_batches(spark)
     path = public_tokenizers.path(VOCABULARY)
     encode, decode = bpe.encoder(spark, path, public_tokenizers.PATTERN), bpe.decoder(spark, path)
     coded = evaluate_once(docs.select("doc_id", "lang", "source", F.coalesce("text", F.lit("")).alias("text")), {"ids": encode("text")})

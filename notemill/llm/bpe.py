@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-PIECES, PAIRS = 300_000, 500_000
+PIECES, PAIRS, MOVES = 200_000, 300_000, 200_000
 CERTAIN_EVERY = 4096
 LONG_TEXT = 1 << 20
 
@@ -121,6 +121,9 @@ class Transducer:
         """Ids of one piece. A piece that is itself a token is that token."""
         if piece in self.ids:
             return [self.ids[piece]]
+        if len(self.moves) > MOVES:
+            self.moves.clear()
+            self.paths = {0: b""}
         out: list[int] = []
         moves, stays = self.moves, self.stays
         state, registers = 0, [(-1, 0)]

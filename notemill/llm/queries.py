@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from notemill.llm import bpe, contamination, language, licences, near_duplicates, neighbours, passages, privacy, quality, secrets
+from notemill.llm.blocks import bounded_batches
 from notemill.operators.once import evaluate_once
 from notemill.plans.registering import register
 from notemill.session import materialise
@@ -17,6 +18,7 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
 def documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    bounded_batches(spark)
     return table(spark, folder, "documents").select("doc_id", *(columns or ("text",)))
 
 

@@ -266,7 +266,7 @@ def test_licences(spark):
             (3, "Plain words only"), (4, "Permission granted"), *EDGE]
     found = {r["doc_id"]: r for r in licences.scan(docs_of(spark, rows)).collect()}
     assert (found[1]["n_base"], found[1]["first_word"], found[1]["last_word"], found[1]["base_labels"]) == (3, 0, 8, "cc-by-nc,mit")
-    assert found[2]["n_base"] == 0 and found[2]["labels"] == "gpl-3" and found[2]["score"] == pytest.approx(10 / 11)
+    assert found[2]["n_base"] == 0 and found[2]["labels"] == "gpl-3" and found[2]["score"] == pytest.approx(11 / 12)
     assert found[3]["labels"] == "" and found[3]["score"] == 0 and found[90]["n_words"] == 0
     assert licences.scan(docs_of(spark, [])).collect() == []
 
