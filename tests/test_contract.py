@@ -17,7 +17,7 @@ def con():
     return con
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", contract.oracle_sql())
 def test_query_equals_sql(spark, con, name):
     frame = contract.queries()[name](spark, FOLDER)
     mine = table_of(frame.columns, [tuple(r) for r in frame.collect()])
