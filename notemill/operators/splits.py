@@ -87,7 +87,9 @@ def stratified_split(df: DataFrame, stratum: str, key: str, shares: dict = fv.SP
     rows is never sorted as a whole.
     """
     order = F.concat_ws(":", hash_order(key, seed), F.col(key).cast("string"))
-    keyed = materialise(df.select(F.col(stratum).alias("_stratum"), order.alias("_order"))
+    # a null stratum is one like the others, so its key must join
+    named = F.when(F.col(stratum).isNull(), "null").otherwise(F.concat(F.lit("v"), F.col(stratum).cast("string")))
+    keyed = materialise(df.select(named.alias("_stratum"), order.alias("_order"))
                         .withColumn("_bucket", F.substring("_order", 1, BUCKET_DIGITS)), "split")
     buckets = materialise(keyed.groupBy("_stratum", "_bucket").agg(F.count("*").alias("n")), "buckets")
     sizes = allocate(buckets.groupBy("_stratum").agg(F.sum("n").alias("n")), "_stratum", shares["val"], shares["test"])
@@ -106,7 +108,7 @@ def stratified_split(df: DataFrame, stratum: str, key: str, shares: dict = fv.SP
         F.max(F.when(F.col("cut") == "val", F.col("_order"))).alias("_val_cut"))
     cuts = materialise(cuts, "cuts")
     small = joins.small_enough(cuts)
-    rows = joins.lookup_join(df.withColumns({"_order": order, "_stratum": F.col(stratum)}), cuts, "_stratum",
+    rows = joins.lookup_join(df.withColumns({"_order": order, "_stratum": named}), cuts, "_stratum",
                              F.col("_order"), small=small)
     return rows.withColumn(
         "split", F.when(F.col("_order") <= F.col("_train_cut"), "train")

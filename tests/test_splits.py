@@ -50,3 +50,11 @@ def test_categories(spark):
     assert sum(sum(r[c] for c in ("short", "medium", "long", "very_long")) for r in table) == 8
     balance = splits.balance(spark.createDataFrame([("b",), ("a",), ("a",), ("c",)], "c string"), "c").first()
     assert tuple(balance) == ("a", 2, "b", 1, 2.0)
+
+
+def test_a_null_stratum_is_split_like_any_other(spark):
+    rows = spark.createDataFrame([(i, "a" if i % 2 else None) for i in range(100)], "k long, s string")
+    found = {(r["s"], r["split"]): r["count"] for r in splits.stratified_split(rows, "s", "k").groupBy("s", "split").count().collect()}
+    assert sum(n for (_, split), n in found.items() if split == "train") == 80
+    assert sum(n for (_, split), n in found.items() if split == "val") == 15
+    assert found[None, "train"] == found["a", "train"] == 40
