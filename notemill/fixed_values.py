@@ -71,3 +71,7 @@ PAD_TOKEN = "[PAD]"
 IGNORE_INDEX = -100
 MODEL_MAX_LENGTH = 1024
 ENCODE_BATCH_ROWS = 1000
+
+# --- fixed values: characters that XML names, and the parts of a reaction that may hold notes of their own ----
+NAMED_CHARACTERS = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "amp": "&"}
+INNER_ELEMENTS = ("listOf\\w+", "kineticLaw", "annotation")

@@ -26,33 +26,58 @@ def elements(markup: Column, tag: str) -> Column:
     return F.regexp_extract_all(markup, F.lit(rf"(?s){_start(tag)}(?:/>|>.*?</{_PREFIX}{tag}>)"), F.lit(0))
 
 
+def root_elements(document: Column, tag: str) -> Column:
+    """Elements with the prefix of the document's root; comments are no markup."""
+    plain = F.regexp_replace(document, "(?s)<!--.*?-->", "")
+    opening = F.concat(F.lit("<"), F.regexp_extract(plain, r"<([\w.-]+:)?[\w.-]+", 1), F.lit(tag))
+    return F.filter(elements(plain, tag), lambda e: F.startswith(e, opening))
+
+
 def element_texts(markup: Column, tag: str) -> Column:
-    """Text of every element up to its first child, stripped; empty texts are left out."""
-    found = F.regexp_extract_all(markup, F.lit(rf"<{tag}(?:\s[^>]*)?>([^<]*)"), F.lit(1))
-    return F.filter(F.transform(found, tx.strip), lambda t: t != "")
+    """Whole text of every element, inline tags taken out and their text kept, stripped; empty ones are left out.
+
+    An element that is not closed ends where the next one starts, or with the document.
+    """
+    pieces = F.split(markup, rf"<{tag}(?:\s[^>]*)?>")
+    own = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)),
+                      lambda t: F.regexp_replace(t, rf"(?s)</{tag}\s*>.*", ""))
+    return F.filter(F.transform(own, lambda t: tx.strip(F.regexp_replace(t, "<[^>]*>", ""))), lambda t: t != "")
 
 
 def note_text(element: Column, full_text: bool = False) -> Column:
-    """First paragraph of the first ``notes`` element; without one, the notes' own leading text.
+    """First paragraph that is a child of the element's own ``notes``; without one, the notes' own leading text.
 
-    Only text before the paragraph's first child is taken; ``full_text`` keeps the children's text.
+    Notes of inner parts (``fv.INNER_ELEMENTS``) and paragraphs below other elements of the notes do not
+    count. Only text before the paragraph's first child is taken; ``full_text`` keeps the children's text.
     """
-    notes = F.regexp_extract(element, rf"(?s){_start('notes')}>(.*?)</{_PREFIX}notes>", 1)
+    outer = strip_elements(element, fv.INNER_ELEMENTS)
+    notes = F.regexp_extract(outer, rf"(?s){_start('notes')}>(.*?)</{_PREFIX}notes>", 1)
     if full_text:
         paragraph = F.regexp_extract(notes, rf"(?s){_start('p')}>(.*?)</{_PREFIX}p>", 1)
         paragraph = F.regexp_replace(paragraph, "<[^>]*>", "")
     else:
-        paragraph = F.regexp_extract(notes, rf"{_start('p')}>([^<]*)", 1)
+        other = rf"(?s)<(?!{_PREFIX}p[\s/>])({_PREFIX}[\w.-]+)(?:\s[^>]*?)?(?<!/)>.*?</\1>"
+        paragraph = F.regexp_extract(F.regexp_replace(notes, other, "<x/>"), rf"{_start('p')}>([^<]*)", 1)
     own = F.regexp_extract(notes, "^([^<]*)", 1)
     text = tx.strip(F.coalesce(F.nullif(paragraph, F.lit("")), F.nullif(own, F.lit(""))))
     return unescape(text)
 
 
 def unescape(text: Column) -> Column:
-    """The five named characters of XML; the ampersand last, so that nothing is decoded twice."""
-    for name, sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
-        text = F.replace(text, F.lit(name), F.lit(sign))
-    return text
+    """Named characters of XML and numbered ones, in one pass, so that nothing is decoded twice."""
+    return F.array_join(F.transform(F.split(text, "&"), lambda t, i: F.when(i == 0, t).otherwise(_decoded(t))), "")
+
+
+def _decoded(piece: Column) -> Column:
+    """A piece that followed an ampersand; what names no character stays as it was."""
+    name = F.regexp_extract(piece, r"^(#x[0-9A-Fa-f]{1,6}|#[0-9]{1,7}|[a-z]+);", 1)
+    code = F.when(F.startswith(name, F.lit("#x")), F.conv(F.substring(name, 3, 6), 16, 10)).when(
+        F.startswith(name, F.lit("#")), F.substring(name, 2, 7)).cast("long")
+    valid = (code > 0) & (code < 0xD800) | code.between(0xE000, 0x10FFFF)
+    sign = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+    for known, value in fv.NAMED_CHARACTERS.items():
+        sign = F.when(name == known, F.lit(value)).otherwise(sign)
+    return F.coalesce(F.concat(sign, F.substr(piece, F.length(name) + 2)), F.concat(F.lit("&"), piece))
 
 
 def first_text(element: Column, tag: str) -> Column:
@@ -62,10 +87,10 @@ def first_text(element: Column, tag: str) -> Column:
 
 
 def attribute(element: Column, name: str) -> Column:
-    """Attribute of the element's own start tag; null when absent."""
+    """Attribute of the element's own start tag, decoded; null when absent."""
     pattern = rf"^<[^\s>]+(?:\s[^>]*?)?\s{re.escape(name)}=(?:\"([^\"]*)\"|'([^']*)')"
     return F.when(element.rlike(pattern),
-                  F.concat(F.regexp_extract(element, pattern, 1), F.regexp_extract(element, pattern, 2)))
+                  unescape(F.concat(F.regexp_extract(element, pattern, 1), F.regexp_extract(element, pattern, 2))))
 
 
 def strip_elements(markup: Column, tags) -> Column:

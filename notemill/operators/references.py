@@ -12,20 +12,16 @@ def reference_rows(rows: DataFrame, references: str = "only_references") -> Data
     return rows.select("*", F.posexplode(tx.reference_list(F.col(references))).alias("place", "reference"))
 
 
-def grouped_reference_lists(rows: DataFrame, group: str, order: str, references: str = "only_references",
-                            per_part: int = 10_000) -> DataFrame:
-    """group, part, all_references: the lists of a group's rows put together in row order.
+def grouped_references(rows: DataFrame, group: str, order: str, references: str = "only_references") -> DataFrame:
+    """group, place (from 0), reference: the lists of a group's rows put together in row order.
 
-    A list of more than ``per_part`` references is given in consecutive parts, so no group is
-    collected whole; ordinary groups have part 0 only.
+    One row per reference, whatever a group's size: no list is collected.
     """
-    flat = rows.select(group, order, F.posexplode(tx.reference_list(F.col(references))).alias("_place", "_ref"))
+    flat = rows.select(group, order, F.posexplode(tx.reference_list(F.col(references))).alias("_place", "reference"))
     numbered = ranks.dense_index(flat, [group, order, "_place"], "_index")
     starts = numbered.groupBy(group).agg(F.min("_index").alias("_start"))
     placed = joins.lookup_join(numbered, starts, group, F.col("_index"))
-    parts = placed.withColumn("part", F.floor((F.col("_index") - F.col("_start")) / per_part).cast("long"))
-    lists = parts.groupBy(group, "part").agg(F.array_sort(F.collect_list(F.struct("_index", "_ref"))).alias("_all"))
-    return lists.select(group, "part", F.col("_all._ref").alias("all_references"))
+    return placed.select(group, (F.col("_index") - F.col("_start")).cast("long").alias("place"), "reference")
 
 
 def group_references(rows: DataFrame, group: str, references: str = "only_references") -> DataFrame:

@@ -7,8 +7,6 @@ from notemill import fixed_values as fv
 from notemill.functions import text as tx, tokens as tk
 from notemill.operators import ranks, vocabulary as vb
 
-TURNS_PER_PART = 1000
-
 
 def message_text(role: Column, text: Column) -> Column:
     """One message as the chat format writes it; other roles give nothing."""
@@ -17,21 +15,25 @@ def message_text(role: Column, text: Column) -> Column:
             .when(role == "system", F.concat(text, F.lit("\n\n"))).otherwise(""))
 
 
+def chat_text(messages: Column, generation_prompt: bool = False) -> Column:
+    """The chat of a list of (role, text) held in one row, begin token first."""
+    body = F.array_join(F.transform(messages, lambda m: message_text(m["role"], m["text"])), "")
+    return F.concat(F.lit(fv.BOS_TOKEN), body, F.lit("Assistant:" if generation_prompt else ""))
+
+
 def render_chats(turns: DataFrame, conversation: str = "conv_id", turn: str = "turn",
-                 generation_prompt: bool = False, turns_per_part: int = TURNS_PER_PART) -> DataFrame:
-    """conversation, part, chat: the messages of a conversation in order, begin token first.
+                 generation_prompt: bool = False) -> DataFrame:
+    """conversation, place, piece: the pieces that make up each chat when put together by place.
 
-    A conversation of more than ``turns_per_part`` messages is given in consecutive parts, whose
-    texts together are the chat; so no group is larger than that, and ordinary chats have one part.
+    A piece per message at its turn's place, the begin token one place before the first, the generation
+    prompt one place after the last. Conversations are never collected, so their length does not matter.
     """
-    part = F.floor(F.col(turn) / turns_per_part).cast("long")
-    ends = turns.groupBy(conversation).agg(F.min(part).alias("_first"), F.max(part).alias("_last"))
-    pieces = F.array_sort(F.collect_list(F.struct(turn, message_text(F.col("role"), F.col("text")).alias("piece"))))
-    parts = turns.groupBy(conversation, part.alias("part")).agg(pieces.alias("_pieces"))
-    body = F.array_join(F.col("_pieces.piece"), "")
-    head = F.when(F.col("part") == F.col("_first"), fv.BOS_TOKEN).otherwise("")
-    tail = F.when(F.col("part") == F.col("_last"), "Assistant:" if generation_prompt else "").otherwise("")
-    return parts.join(ends, conversation).select(conversation, "part", F.concat(head, body, tail).alias("chat"))
+    pieces = turns.select(conversation, F.col(turn).cast("long").alias("place"), message_text(F.col("role"), F.col("text")).alias("piece"))
+    ends = turns.groupBy(conversation).agg((F.min(turn) - 1).cast("long").alias("_head"), (F.max(turn) + 1).cast("long").alias("_tail"))
+    marks = [F.struct(F.col("_head").alias("place"), F.lit(fv.BOS_TOKEN).alias("piece"))]
+    if generation_prompt:
+        marks.append(F.struct(F.col("_tail").alias("place"), F.lit("Assistant:").alias("piece")))
+    return pieces.unionByName(ends.select(conversation, F.inline(F.array(*marks))))
 
 
 def mask_labels(ids: Column, prompt_length: Column) -> Column:

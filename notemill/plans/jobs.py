@@ -13,9 +13,16 @@ from notemill.sources import files, sinks
 REACTION_COLUMNS = ("file_id", "reaction_id", "original_notes", "notes", "only_references", "snippet")
 
 
-def reaction_rows(documents: DataFrame, tag: str = "reaction") -> DataFrame:
-    """Note rows out of whole markup documents (file_id, value), in document order by ``row_order``."""
-    found = markup.explode_elements(documents, "value", tag)
+def parsed_files(documents: DataFrame, tag: str = "reaction") -> DataFrame:
+    """file_id, good, elements of whole markup documents (file_id, value); a file that does not parse has none."""
+    good = files.well_formed(F.col("value"))
+    return documents.select("file_id", good.alias("good"), F.when(
+        good, markup.root_elements(F.col("value"), tag)).otherwise(F.array().cast("array<string>")).alias("elements"))
+
+
+def reaction_rows(parsed: DataFrame) -> DataFrame:
+    """Note rows out of the elements of parsed files, in document order by ``row_order``."""
+    found = parsed.select("file_id", F.posexplode("elements").alias("position", "element"))
     rows = found.select(
         "file_id", "position", markup.attribute(F.col("element"), "id").alias("reaction_id"),
         markup.note_text(F.col("element")).alias("original_notes"), markup.snippet(F.col("element")).alias("snippet"))
@@ -29,15 +36,10 @@ def build_corpus(spark: SparkSession, folder: str, out: str, names: str = "*.sbm
 
     A file that does not parse gives no rows and the count 0, and is listed; the others go on.
     """
-    documents = files.markup_documents(spark, folder, names)
-    good, _ = files.split_broken(documents)
-    sinks.write_table(reaction_rows(good), f"{out}/reactions")
-    per_file = materialise(documents.select(
-        "file_id", files.well_formed(F.col("value")).alias("good"),
-        F.size(markup.elements(F.col("value"), "reaction")).cast("long").alias("found")), "files")
-    counts = per_file.select("file_id", F.when(F.col("good"), F.col("found")).otherwise(0).alias("reaction_count"))
-    sinks.write_table(counts, f"{out}/file_counts")
-    sinks.write_table(per_file.filter("not good").select("file_id"), f"{out}/broken_files")
+    parsed = materialise(parsed_files(files.markup_documents(spark, folder, names)), "files")
+    sinks.write_table(reaction_rows(parsed), f"{out}/reactions")
+    sinks.write_table(parsed.select("file_id", F.size("elements").cast("long").alias("reaction_count")), f"{out}/file_counts")
+    sinks.write_table(parsed.filter("not good").select("file_id"), f"{out}/broken_files")
 
 
 def summarise_files(spark: SparkSession, out: str) -> None:

@@ -55,7 +55,7 @@ FROM decorated""")
 def markup_file_records(spark, folder):
     """Files as whole texts, elements and their parts by expressions."""
     documents = files.markup_documents(spark, _markup_files(spark, folder), "*.txt")
-    rows = jobs.reaction_rows(documents)
+    rows = jobs.reaction_rows(jobs.parsed_files(documents))
     return rows.select("reaction_id", "original_notes", "snippet")
 
 

@@ -90,13 +90,11 @@ def references_flattened(spark, folder):
 
 @query(f"""WITH {sql.reactions()},
 flat AS (SELECT file_id, row_order, place, r[place] AS reference FROM (SELECT file_id, row_order, r, unnest(range(1, len(r) + 1)) AS place
-  FROM (SELECT file_id, row_order, {sql.reference_list('only_references')} AS r FROM reactions))),
-numbered AS (SELECT *, (row_number() OVER (PARTITION BY file_id ORDER BY row_order, place) - 1) // 25 AS part FROM flat)
-SELECT file_id, part, string_agg(reference, '|' ORDER BY row_order, place) AS all_references FROM numbered GROUP BY file_id, part""")
+  FROM (SELECT file_id, row_order, {sql.reference_list('only_references')} AS r FROM reactions)))
+SELECT file_id, row_number() OVER (PARTITION BY file_id ORDER BY row_order, place) - 1 AS place, reference FROM flat""")
 def references_per_file(spark, folder):
-    """The whole reference list of every file, in parts of at most 25."""
-    lists = references.grouped_reference_lists(reactions(spark, folder), "file_id", "row_order", per_part=25)
-    return lists.withColumn("all_references", joined("all_references"))
+    """The whole reference list of every file, one row per place."""
+    return references.grouped_references(reactions(spark, folder), "file_id", "row_order")
 
 
 @query(f"""WITH {sql.reactions()}, {_REFS},
@@ -205,39 +203,39 @@ def notes_behind_sentence(spark, folder):
     return sentences.notes_behind(_raw_sentences(spark, folder), "A.")
 
 
-@query(f"""WITH {sql.reactions()}
-SELECT count(*) AS notes, count(*) FILTER (length(n) <= 10) AS short_notes,
-  count(*) FILTER (regexp_matches(n, '^[^\\p{{L}}\\p{{N}}_]+$')) AS punctuation_notes,
-  count(*) FILTER (n IS NULL OR n = '') AS empty_notes
-FROM (SELECT DISTINCT CASE row_order % 7 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN ' . ;' WHEN 3 THEN substr(notes, 1, 9) ELSE notes END AS n
-      FROM reactions)""")
-def note_diagnosis(spark, folder):
-    return sentences.note_diagnosis(_damaged(spark, folder))
+#: Rows beside the given ones, so that every kind of note is met.
+EDGE_NOTES = ((-4, None), (-3, ""), (-2, " . ;"), (-1, "Short one"))
+_WITH_EDGES = f"""with_edges AS (SELECT row_order, notes FROM reactions UNION ALL VALUES
+  {", ".join(f"({i}, {'NULL' if n is None else sql.quoted(n)})" for i, n in EDGE_NOTES)})"""
 
 
-def _damaged(spark, folder):
-    """Notes of which four in seven are null, empty, punctuation or short."""
-    kind = F.col("row_order") % 7
-    damaged = (F.when(kind == 0, None).when(kind == 1, "").when(kind == 2, " . ;")
-               .when(kind == 3, F.substring("notes", 1, 9)).otherwise(F.col("notes")))
-    return reactions(spark, folder).select("row_order", damaged.alias("notes"))
+def _with_edges(spark, folder):
+    """The notes of all rows, and four more."""
+    edges = spark.createDataFrame(list(EDGE_NOTES), "row_order long, notes string")
+    return reactions(spark, folder).select("row_order", "notes").unionByName(edges)
 
 
-_DAMAGED = """damaged AS (SELECT row_order, CASE row_order % 7 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN ' . ;' WHEN 3 THEN substr(notes, 1, 9) ELSE notes END AS notes FROM reactions)"""
+@query(f"""WITH {sql.reactions()}, {_WITH_EDGES}
+SELECT count(*) AS notes, count(*) FILTER (length(n) <= 10) AS short_notes,
+  count(*) FILTER (regexp_matches(n, '^[^\\p{{L}}\\p{{N}}_]+$')) AS punctuation_notes,
+  count(*) FILTER (n IS NULL OR n = '') AS empty_notes
+FROM (SELECT DISTINCT notes AS n FROM with_edges)""")
+def note_diagnosis(spark, folder):
+    return sentences.note_diagnosis(_with_edges(spark, folder))
 
 
-@query(f"""WITH {sql.reactions()}, {_DAMAGED}
-SELECT notes, length(notes) AS length FROM (SELECT notes, min(row_order) AS o FROM damaged WHERE length(notes) <= 10 GROUP BY notes)
+@query(f"""WITH {sql.reactions()}, {_WITH_EDGES}
+SELECT notes, length(notes) AS length FROM (SELECT notes, min(row_order) AS o FROM with_edges WHERE length(notes) <= 10 GROUP BY notes)
 ORDER BY o LIMIT 10""")
 def short_notes(spark, folder):
-    return sentences.short_notes(_damaged(spark, folder))
+    return sentences.short_notes(_with_edges(spark, folder))
 
 
-@query(f"""WITH {sql.reactions()}, {_DAMAGED}
-SELECT notes FROM (SELECT notes, min(row_order) AS o FROM damaged WHERE regexp_matches(notes, '^[^\\p{{L}}\\p{{N}}_]+$') GROUP BY notes)
+@query(f"""WITH {sql.reactions()}, {_WITH_EDGES}
+SELECT notes FROM (SELECT notes, min(row_order) AS o FROM with_edges WHERE regexp_matches(notes, '^[^\\p{{L}}\\p{{N}}_]+$') GROUP BY notes)
 ORDER BY o LIMIT 5""")
 def punctuation_notes(spark, folder):
-    return sentences.punctuation_notes(_damaged(spark, folder))
+    return sentences.punctuation_notes(_with_edges(spark, folder))
 
 
 @query(f"""WITH {sql.reactions()}, note_rows AS (SELECT notes, min(row_order) AS row_order FROM reactions GROUP BY notes)

@@ -14,7 +14,8 @@ from notemill.sources.tables import table
 QUERIES, SQL, query = register()
 
 PAIRS = f"""pairs AS (SELECT page_id, html AS snippet, array_to_string(list_filter(list_transform(
-  regexp_extract_all(html, '<p(?:\\s[^>]*)?>([^<]*)', 1), lambda t: {sql.strip('t')}), lambda t: t <> ''), chr(10)) AS notes FROM pages)"""
+  string_split_regex(html, '<p(?:\\s[^>]*)?>')[2:],
+  lambda t: {sql.strip("regexp_replace(regexp_replace(t, '(?s)</p" + chr(92) + "s*>.*', ''), '<[^>]*>', '', 'g')")}), lambda t: t <> ''), chr(10)) AS notes FROM pages)"""
 CATEGORIES = f"""{PAIRS},
 counted AS (SELECT *, {sql.word_count('snippet')} AS sw, {sql.word_count('notes')} AS nw FROM pairs),
 cuts AS (SELECT quantile_cont(sw, [0.25, 0.5, 0.75]) AS s, quantile_cont(nw, [0.25, 0.5, 0.75]) AS n FROM counted),

@@ -181,8 +181,9 @@ _MESSAGE = """CASE role WHEN 'user' THEN 'User: ' || text || chr(10) || chr(10)
   WHEN 'system' THEN text || chr(10) || chr(10) ELSE '' END"""
 
 
-@query(f"""SELECT conv_id, 0::BIGINT AS part, '<｜begin▁of▁sentence｜>' || string_agg({_MESSAGE}, '' ORDER BY turn) || 'Assistant:' AS chat
-FROM conversations GROUP BY conv_id""")
+@query(f"""SELECT conv_id, turn::BIGINT AS place, {_MESSAGE} AS piece FROM conversations
+UNION ALL SELECT conv_id, min(turn)::BIGINT - 1, '<｜begin▁of▁sentence｜>' FROM conversations GROUP BY conv_id
+UNION ALL SELECT conv_id, max(turn)::BIGINT + 1, 'Assistant:' FROM conversations GROUP BY conv_id""")
 def rendered_chats(spark, folder):
     return tr.render_chats(table(spark, folder, "conversations"), generation_prompt=True)
 

@@ -57,7 +57,7 @@ def reactions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def page_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    """page_id, snippet (the markup) and notes (the paragraph texts, one per line)."""
+    """page_id, snippet (the markup) and notes (the whole paragraph texts, one per line)."""
     pages = spread(table(spark, folder, "pages").select("page_id", "html"), "page_id")
     return pages.select("page_id", F.col("html").alias("snippet"),
                         F.array_join(markup.element_texts(F.col("html"), "p"), "\n").alias("notes"))

@@ -31,18 +31,18 @@ def test_corpus_job(spark, folder, tmp_path):
     out = str(tmp_path / "out")
     jobs.build_corpus(spark, folder, out)
     counts = {r["file_id"]: r["reaction_count"] for r in spark.read.parquet(out + "/file_counts").collect()}
-    assert counts == {"good.sbml": 2, "prefixed.sbml": 2, "none.sbml": 0, "broken.sbml": 0, "cut.sbml": 0}
+    assert counts == {"good.sbml": 2, "prefixed.sbml": 1, "none.sbml": 0, "broken.sbml": 0, "cut.sbml": 0}
     assert {r[0] for r in spark.read.parquet(out + "/broken_files").collect()} == {"broken.sbml", "cut.sbml"}
     rows = {r["reaction_id"]: r for r in spark.read.parquet(out + "/reactions").collect()}
-    assert set(rows) == {"R-1", "R-2", "R-3", None}
+    assert set(rows) == {"R-1", "R-2", "R-3"}
     assert rows["R-1"]["original_notes"] == "Text R-1 (Smith 2011) & more" and rows["R-1"]["notes"] == "Text R-1 & more"
-    assert rows["R-1"]["only_references"] == "(Smith 2011)" and rows[None]["original_notes"] is None
+    assert rows["R-1"]["only_references"] == "(Smith 2011)"
     assert rows["R-3"]["snippet"] == '<reaction id="R-3" name="n">\n<listOfProducts x="1"/>\n</reaction>'
     jobs.summarise_files(spark, out)
     summary = {r["file_id"]: (r["reaction_count"], r["total_references"]) for r in spark.read.parquet(out + "/file_summary").collect()}
-    assert summary == {"good.sbml": (2, 2), "prefixed.sbml": (2, 1)}
+    assert summary == {"good.sbml": (2, 2), "prefixed.sbml": (1, 1)}
     data, categories = jobs.build_splits(spark, out)
-    assert spark.read.json(data).count() == spark.read.json(categories).count() == 4
+    assert spark.read.json(data).count() == spark.read.json(categories).count() == 3
 
 
 def test_xml_source_and_counts(spark, folder):
@@ -53,11 +53,26 @@ def test_xml_source_and_counts(spark, folder):
     assert files.list_files(spark, folder).count() == 6
 
 
+def test_elements_of_the_root(spark):
+    values = ["<m><!-- <r id='1'/> --><r id='a&amp;b'/><x:r/></m>", "<?xml version='1.0'?><q:m><q:r id='2'>t</q:r><r/></q:m>", None]
+    df = spark.createDataFrame(list(enumerate(values)), "i int, v string").orderBy("i")
+    got = df.select(F.transform(markup.root_elements(F.col("v"), "r"), lambda e: markup.attribute(e, "id"))).collect()
+    assert [r[0] for r in got] == [["a&b"], ["2"], None]
+
+
+def test_paragraphs_are_whole(spark):
+    df = spark.createDataFrame([("<p>a <b>b</b> c</p>x<p>d<p class='k'>\n<i>e</i>\n</p><pre>f</pre><p></p>",), (None,)], "v string")
+    assert [r[0] for r in df.select(markup.element_texts(F.col("v"), "p")).collect()] == [["a b c", "d", "e"], None]
+
+
 def test_note_text_rules(spark):
     values = ["<r><notes>own text<p></p></notes></r>", "<r><notes><p>lead<b>x</b> tail</p></notes></r>", "<r/>",
-              "<r><h:notes><h:p a='1'> q </h:p></h:notes></r>", "<r><notes><b/></notes></r>"]
+              "<r><h:notes><h:p a='1'> q </h:p></h:notes></r>", "<r><notes><b/></notes></r>",
+              "<r><listOfReactants><s><notes><p>inner</p></notes></s></listOfReactants></r>",
+              "<r><notes>own<body><p>deep</p></body></notes></r>", "<r><notes><p>caf&#233; &#x3b1; &amp;lt; &no; &#0; a&b</p></notes></r>"]
     df = spark.createDataFrame(list(enumerate(values)), "i int, e string").orderBy("i")
-    assert [r[0] for r in df.select(markup.note_text(F.col("e"))).collect()] == ["own text", "lead", None, "q", None]
+    assert [r[0] for r in df.select(markup.note_text(F.col("e"))).collect()] == [
+        "own text", "lead", None, "q", None, None, "own", "café α &lt; &no; &#0; a&b"]
     assert df.select(markup.note_text(F.col("e"), full_text=True)).collect()[1][0] == "leadx tail"
     attribute = df.select(markup.attribute(F.lit("<a  x='1' y=\"2\">"), "y"), markup.attribute(F.lit("<a><b y='1'/></a>"), "y"))
     assert tuple(attribute.first()) == ("2", None)

@@ -124,15 +124,14 @@ def test_samples_repeat(spark):
 
 
 @pytest.mark.parametrize("partitions", [1, 5])
-def test_grouped_lists_in_parts(spark, partitions):
-    """One file holds most references: its list comes in bounded parts that make up the whole list."""
+def test_grouped_references(spark, partitions):
+    """One file holds most references: its rows, by place, make up the whole list."""
     data = [(i, "hot" if i % 4 else f"f{i % 8}", f"A {i}; (B {i % 3})") for i in range(200)] + [(200, "none", None)]
     rows = spark.createDataFrame(data, "row_order long, file_id string, only_references string").repartition(partitions)
-    got = references.grouped_reference_lists(rows, "file_id", "row_order", per_part=37).collect()
-    assert all(len(r["all_references"]) <= 37 for r in got)
+    got = references.grouped_references(rows, "file_id", "row_order").collect()
     whole = {}
-    for r in sorted(got, key=lambda r: r["part"]):
-        whole.setdefault(r["file_id"], []).extend(r["all_references"])
+    for r in sorted(got, key=lambda r: r["place"]):
+        whole.setdefault(r["file_id"], []).append(r["reference"])
     expected = {}
     for i, file, _ in data[:-1]:
         expected.setdefault(file, []).extend([f"A {i}", f"B {i % 3}"])

@@ -99,8 +99,11 @@ TURNS = [(1, 2, "assistant", "A"), (1, 0, "system", "S"), (1, 1, "user", "U"), (
 
 def test_chats(spark):
     turns = spark.createDataFrame(TURNS, "conv_id long, turn long, role string, text string")
-    got = {r["conv_id"]: r["chat"] for r in tr.render_chats(turns, generation_prompt=True).collect()}
+    got = {}
+    for r in tr.render_chats(turns, generation_prompt=True).orderBy("place").collect():
+        got[r["conv_id"]] = got.get(r["conv_id"], "") + r["piece"]
     whole = fv.BOS_TOKEN + "S\n\nUser: U\n\nAssistant: A" + fv.EOS_TOKEN + "Assistant:"
     assert got == {1: whole, 2: fv.BOS_TOKEN + "User: V\n\nAssistant:"}
-    parts = tr.render_chats(turns, generation_prompt=True, turns_per_part=2).filter("conv_id = 1").orderBy("part").collect()
-    assert len(parts) == 2 and "".join(r["chat"] for r in parts) == whole
+    assert tr.render_chats(turns).count() == len(TURNS) + 2
+    lists = spark.createDataFrame([([("system", "S"), ("user", "U"), ("assistant", "A"), ("tool", "T")],)], "m array<struct<role:string,text:string>>")
+    assert lists.select(tr.chat_text(F.col("m"), True)).first()[0] == whole
