@@ -58,11 +58,11 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, the text's token ids, and whether they decode to the text again. A null text has no ids."""
     bounded_batches(spark)
-    path = public_tokenizers.path(VOCABULARY)
-    encode, decode = bpe.encoder(spark, path, public_tokenizers.PATTERN), bpe.decoder(spark, path)
-    coded = evaluate_once(docs.select("doc_id", "lang", "source", F.coalesce("text", F.lit("")).alias("text")), {"ids": encode("text")})
-    return coded.select("doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"),
-                        (decode("ids") == F.col("text")).alias("round_trip"))
+    coder = bpe.round_trip(spark, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+    texts = docs.select("doc_id", "lang", "source", F.coalesce("text", F.lit("")).alias("text"))
+    coded = evaluate_once(texts, {"_coded": coder("text")})
+    return coded.select("doc_id", "lang", "source", "_coded.ids", F.size("_coded.ids").cast("long").alias("n_tokens"),
+                        (F.col("_coded.decoded") == F.col("text")).alias("round_trip"))
 
 
 STAGES = [

@@ -245,6 +245,21 @@ def _machine(kind, *parts):
     return _machines[key]
 
 
+def _encoded(machine: Transducer, texts: pa.Array) -> pa.Array:
+    packed = [None if t is None else machine.text_ids(t) for t in (v.as_py() for v in texts)]
+    offsets = np.zeros(len(packed) + 1, dtype=np.int32)
+    np.cumsum([len(p or b"") // 4 for p in packed], out=offsets[1:])
+    values = pa.array(np.frombuffer(b"".join(p for p in packed if p), dtype=np.int32))
+    mask = pa.array([p is None for p in packed], type=pa.bool_())
+    return pa.ListArray.from_arrays(pa.array(offsets), values, mask=mask)
+
+
+def _decoded(machine: Utf8Stream, ids: pa.Array) -> pa.Array:
+    flat, ends = pc.fill_null(ids.flatten(), -1).to_numpy(), np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy())
+    rows = (flat[a:b].tolist() for a, b in zip([0, *ends[:-1].tolist()], ends.tolist()))
+    return pa.array([machine.text(row) if valid else None for row, valid in zip(rows, ids.is_valid().to_pylist())], type=pa.string())
+
+
 def encoder(spark: SparkSession, path: str, pattern: str):
     """A function from a text column to its ids (array of int). A null text gives null ids, an empty one no ids.
 
@@ -254,13 +269,7 @@ def encoder(spark: SparkSession, path: str, pattern: str):
 
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
-        machine = _machine(Transducer, shared.value, pattern)
-        packed = [None if t is None else machine.text_ids(t) for t in (v.as_py() for v in texts)]
-        offsets = np.zeros(len(packed) + 1, dtype=np.int32)
-        np.cumsum([len(p or b"") // 4 for p in packed], out=offsets[1:])
-        values = pa.array(np.frombuffer(b"".join(p for p in packed if p), dtype=np.int32))
-        mask = pa.array([p is None for p in packed], type=pa.bool_())
-        return pa.ListArray.from_arrays(pa.array(offsets), values, mask=mask)
+        return _encoded(_machine(Transducer, shared.value, pattern), texts)
 
     return ids
 
@@ -271,14 +280,24 @@ def decoder(spark: SparkSession, path: str):
 
     @F.arrow_udf("string")
     def text(ids: pa.Array) -> pa.Array:
-        machine = _machine(Utf8Stream, shared.value)
-        flat, ends = pc.fill_null(ids.flatten(), -1).to_numpy(), np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy())
-        rows = (flat[a:b].tolist() for a, b in zip([0, *ends[:-1].tolist()], ends.tolist()))
-        return pa.array([machine.text(row) if valid else None for row, valid in zip(rows, ids.is_valid().to_pylist())], type=pa.string())
+        return _decoded(_machine(Utf8Stream, shared.value), ids)
 
     return text
 
 
+def round_trip(spark: SparkSession, path: str, pattern: str):
+    """A function from a text column to (ids, decoded): the encoder and the decoder one after the other in the same
+    Python worker, so that a task needs one worker and one copy of the vocabulary. A null text gives nulls."""
+    shared = spark.sparkContext.broadcast(read_ranks(path))
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:string>")
+    def both(texts: pa.Array) -> pa.Array:
+        ids = _encoded(_machine(Transducer, shared.value, pattern), texts)
+        return pa.StructArray.from_arrays([ids, _decoded(_machine(Utf8Stream, shared.value), ids)], names=["ids", "decoded"])
+
+    return both
+
+
 def id_digest(ids: Column) -> Column:
     """SHA-256 of the decimal ids, one space between them."""
     return F.sha2(F.array_join(ids.cast("array<string>"), " "), 256)
