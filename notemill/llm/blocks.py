@@ -8,17 +8,22 @@ import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
 PIECE_BYTES = 1 << 18
-BATCH_ROWS = 1000
+BATCH_ROWS = 250
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Texts are long rows: hand them to Python in batches of 1,000 at most, so that JVM and worker hold few at a time."""
+    """Texts are long rows: hand them to Python in batches of 250 at most, so that JVM and worker hold few at a time."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(name, "10000"))
     if not 0 < now <= BATCH_ROWS:
         spark.conf.set(name, str(BATCH_ROWS))
 
 
+def given_back() -> None:
+    """Return memory of past batches to the system; workers live on and would keep it beside the next stage's."""
+    pa.default_memory_pool().release_unused()
+
+
 #: The white space that ends a word is space and code points 9 to 13.
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -49,6 +54,7 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES, rows: i
         held += size
     if start < len(sizes):
         yield batch.slice(start)
+    given_back()
 
 
 def text_bytes(column: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:

@@ -20,6 +20,8 @@ import regex
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from notemill.llm.blocks import given_back
+
 PIECES, PAIRS, MOVES = 200_000, 300_000, 200_000
 CERTAIN_EVERY = 4096
 LONG_TEXT = 1 << 20
@@ -246,6 +248,7 @@ def _machine(kind, *parts):
 
 
 def _encoded(machine: Transducer, texts: pa.Array) -> pa.Array:
+    given_back()
     packed = [None if t is None else machine.text_ids(t) for t in (v.as_py() for v in texts)]
     offsets = np.zeros(len(packed) + 1, dtype=np.int32)
     np.cumsum([len(p or b"") // 4 for p in packed], out=offsets[1:])
