@@ -24,10 +24,11 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """
     bounded_batches(spark)
     model = language.learn(docs)
-    found = docs.withColumn("_found", language.identifier(model)("text"))
     if not model.languages:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
-    return found.filter((F.col("_found.lang") != language.UNKNOWN) & (F.col("_found.fit") > 0)).select(*docs.columns)
+    name = filters.free_name(docs, "found")
+    found = docs.withColumn(name, language.identifier(model)("text"))
+    return found.filter((F.col(name)["lang"] != language.UNKNOWN) & (F.col(name)["fit"] > 0)).select(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,12 +48,11 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; each secret is replaced by its kind in brackets."""
     bounded_batches(spark)
-    found = evaluate_once(docs.withColumn("_text", F.col("text")), {"_spans": secrets.finder()("_text")})
-    held = F.size("_spans") > 0
-    clean = evaluate_once(found, {"_clean": secrets.redacted(F.col("text"), F.col("_spans"))})
-    new = {"text": F.when(held, F.col("_clean")).otherwise(F.col("text")),
-           "n_chars": F.when(held, F.length("_clean").cast("long")).otherwise(F.col("n_chars"))}
-    return clean.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
+    name = filters.free_name(docs, "cleaned")
+    cleaned = docs.withColumn(name, secrets.cleaner()("text"))
+    held, clean = F.col(name)["n_spans"] > 0, F.col(name)["clean"]
+    new = {"text": clean, "n_chars": F.when(held, F.length(clean).cast("long")).otherwise(F.col("n_chars"))}
+    return cleaned.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

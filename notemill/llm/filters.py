@@ -48,9 +48,18 @@ def without(rows: DataFrame, gone: DataFrame, key: str) -> DataFrame:
     spark = rows.sparkSession
     gone = materialise(gone.select(key).dropna().distinct(), "gone")
     shared = spark.sparkContext.broadcast(hash_set(gone.select(id_hash(F.col(key)).alias("h")), "h"))
-    flagged = rows.withColumn("_may", may_hold(shared, id_hash(F.col(key))))
-    moved = flagged.filter("_may").drop("_may").join(gone, key, "left_anti").select(*rows.columns)
-    return flagged.filter("not _may").drop("_may").unionByName(moved)
+    name = free_name(rows, "may")
+    flagged = rows.withColumn(name, may_hold(shared, id_hash(F.col(key))))
+    moved = flagged.filter(F.col(name)).drop(name).join(gone, key, "left_anti").select(*rows.columns)
+    return flagged.filter(~F.col(name)).drop(name).unionByName(moved)
+
+
+def free_name(rows: DataFrame, name: str) -> str:
+    """A column name that ``rows`` does not have yet."""
+    taken = {c.lower() for c in rows.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 def id_hash(ids: Column) -> Column:

@@ -195,24 +195,28 @@ class Scanner:
 _scanners: dict[tuple, Scanner] = {}
 
 
+def _found(rules: tuple[Rule, ...], texts: pa.Array) -> pa.Array:
+    """The spans of each text; one scanner per worker and set of rules."""
+    kinds = tuple((r.kind, r.pattern) for r in rules)
+    scanner = _scanners.get(kinds)
+    if scanner is None:
+        scanner = _scanners[kinds] = Scanner(rules)
+    rows = []
+    for piece in pieces(pa.RecordBatch.from_arrays([texts], ["text"]), "text"):
+        for spans in scanner.spans(piece.column(0)):
+            rows.append([{"kind": kinds[place][0], "start": start, "end": end} for start, place, end in spans])
+    return pa.array(rows, type=pa.list_(_SPAN))
+
+
 def finder(rules: tuple[Rule, ...] = RULES):
     """A function from a text column to its spans (kind, start, end), by start and then by the rules' order.
 
     Every rule's matches are leftmost and do not overlap each other; those of different rules may. A null text
     has no spans.
     """
-    kinds = tuple((r.kind, r.pattern) for r in rules)
-
     @F.arrow_udf(SPAN)
     def find(texts: pa.Array) -> pa.Array:
-        scanner = _scanners.get(kinds)
-        if scanner is None:
-            scanner = _scanners[kinds] = Scanner(rules)
-        rows = []
-        for piece in pieces(pa.RecordBatch.from_arrays([texts], ["text"]), "text"):
-            for spans in scanner.spans(piece.column(0)):
-                rows.append([{"kind": kinds[place][0], "start": start, "end": end} for start, place, end in spans])
-        return pa.array(rows, type=pa.list_(_SPAN))
+        return _found(rules, texts)
 
     return find
 
@@ -242,6 +246,17 @@ def redacted(text: Column, spans: Column) -> Column:
     return F.arrow_udf(_redact, "string")(text, spans)
 
 
+def cleaner(rules: tuple[Rule, ...] = RULES):
+    """A function from a text column to (n_spans, clean): finding and replacing one after the other in the same Python
+    worker. A null text has no spans and stays null."""
+    @F.arrow_udf("struct<n_spans:int,clean:string>")
+    def both(texts: pa.Array) -> pa.Array:
+        spans = _found(rules, texts)
+        return pa.StructArray.from_arrays([spans.value_lengths(), _redact(texts, spans)], names=["n_spans", "clean"])
+
+    return both
+
+
 def joined(spans: Column) -> Column:
     """``kind:start:end`` of all spans, with commas."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")

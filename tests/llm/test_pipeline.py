@@ -37,3 +37,18 @@ def test_stages_of_an_empty_table(spark, tmp_path):
 def test_names():
     assert sorted(name.split("_")[0] for name in registry.all_queries()) == sorted(f"op{i}" for i in range(1, 11))
     assert set(registry.all_sql()) <= set(registry.all_queries())
+
+
+def test_extra_columns_keep_their_values(spark, tmp_path):
+    names = ["found", "cleaned", "may", "_may", "_found", "_text", "_spans", "_clean", "_hash", "key", "rep"]
+    rows = [(1, prose(1, 80), "xx"), (2, prose(1, 80), "xx"), (3, prose(3, 50) + " password=abcdefgh99", "xx"), (4, None, None)]
+    docs = spark.createDataFrame([(i, t, lang, "s", len(t or ""), *[f"{n}{i}" for n in names]) for i, t, lang in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} string" for n in names))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    now = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, now, str(tmp_path))
+    left = now.orderBy("doc_id").collect()
+    assert [r["doc_id"] for r in left] == [1, 3] and now.columns == docs.columns
+    assert all(r[n] == f"{n}{r['doc_id']}" for r in left for n in names)
+    assert left[1]["text"].endswith(" [ASSIGN]")
