@@ -1,26 +1,35 @@
 """Duplicates. Copies meet only after each task has kept one of its own."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from notemill.operators import joins
 
+_MARK = "_fingerprint"
+
+
+def fingerprint(columns) -> Column:
+    """A SHA-256 of the columns that takes a text's place as a key; nulls are equal to each other and to nothing else."""
+    parts = [F.coalesce(F.concat(F.char_length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")), F.lit("-"))
+             for c in columns]
+    return F.sha2(F.concat(*parts), 256)
+
 
 def keep_first(df: DataFrame, subset, order: str) -> DataFrame:
-    """One row per value of ``subset`` (nulls are equal): the one that is first by ``order``.
+    """One row per value of ``subset`` (nulls are equal): the one that is first by ``order``, which is unique and not null.
 
-    An aggregate with map-side combining, not a window: a text copied into a third of all rows
-    leaves every task as one row. Grouping starts with a hash, so long texts are rarely compared.
+    The smallest place per fingerprint is a hash aggregate on a short key, combined on the map side. The rows are then
+    met by fingerprint and place, so a text copied into a third of all rows does not meet in one task. ``df`` is
+    read twice; write it before if it is costly.
     """
-    rest = [c for c in df.columns if c not in subset and c != order]
-    first = F.min_by(F.struct(order, *rest), F.col(order)).alias("_first")
-    kept = df.groupBy(F.xxhash64(*subset).alias("_hash"), *subset).agg(first)
-    return kept.select(*[F.col("_first")[c].alias(c) if c not in subset else F.col(c) for c in df.columns])
+    marked = df.withColumn(_MARK, fingerprint(subset))
+    first = marked.groupBy(_MARK).agg(F.min(order).alias(order))
+    return marked.join(first, [_MARK, order], "left_semi").select(*df.columns)
 
 
 def duplicate_report(df: DataFrame, subset) -> DataFrame:
     """Rows before and after removing duplicates, and how many go."""
-    groups = df.groupBy(*subset).agg(F.count("*").alias("_n"))
+    groups = df.groupBy(fingerprint(subset).alias(_MARK)).agg(F.count("*").alias("_n"))
     return groups.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows_before"), F.count("*").alias("rows_after")) \
         .withColumn("removed", F.col("rows_before") - F.col("rows_after"))
 
@@ -38,7 +47,8 @@ def group_distinct(df: DataFrame, group: str, value: str, name: str) -> DataFram
 
 def shared_rows(df: DataFrame, value: str, group: str) -> DataFrame:
     """Rows whose ``value`` belongs to more than one ``group``; a value may be on any share of the rows."""
-    pairs = df.filter(F.col(value).isNotNull()).groupBy(value, group).agg(F.count("*").alias("_n"))
-    sizes = pairs.groupBy(value).agg(F.sum("_n").alias("_rows"), F.count(group).alias("_groups"))
+    marked = df.withColumn(_MARK, F.when(F.col(value).isNotNull(), fingerprint([value])))
+    pairs = marked.filter(F.col(_MARK).isNotNull()).groupBy(_MARK, group).agg(F.count("*").alias("_n"))
+    sizes = pairs.groupBy(_MARK).agg(F.sum("_n").alias("_rows"), F.count(group).alias("_groups"))
     shared = sizes.filter("_groups > 1")
-    return joins.attach(df, shared, value, "_rows", F.col(group)).filter("_groups > 1").drop("_groups")
+    return joins.attach(marked, shared, _MARK, "_rows", F.col(group)).filter("_groups > 1").drop("_groups", _MARK)

@@ -9,29 +9,53 @@ BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64 << 20
 
 
 def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """Whether a frame is small enough to broadcast: its rows and the bytes of its strings are measured.
+    """Whether a written table is small enough to broadcast: all its rows are counted and their bytes summed.
 
-    At most ``rows + 1`` rows of it are read.
+    Numbers count 16 bytes, strings and binaries their own, lists, maps and structs those of their JSON form.
+    Every task sends one row of sums.
     """
-    strings = [F.coalesce(F.octet_length(F.col(name)), F.lit(0)) for name, kind in df.dtypes if kind == "string"]
-    width = sum(strings, F.lit(16 * len(df.columns)).cast("long"))
-    found = df.limit(rows + 1).agg(F.count("*").alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    def width(name: str, kind: str) -> Column:
+        if kind.startswith(("array", "map", "struct")):
+            return F.octet_length(F.to_json(F.struct(name)))
+        return F.octet_length(F.col(name)) if kind in ("string", "binary") else F.lit(0)
+
+    widths = [F.coalesce(width(name, kind), F.lit(0)) for name, kind in df.dtypes]
+    total = sum(widths, F.lit(16 * len(df.columns)).cast("long"))
+    found = df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(total), F.lit(0)).alias("bytes")).first()
     return found["rows"] <= rows and found["bytes"] <= size
 
 
 def lookup_join(rows: DataFrame, table: DataFrame, key: str, spread_by: Column, how: str = "left",
-                small: bool | None = None, salts: int = 16) -> DataFrame:
-    """Join rows to a table with unique keys.
+                small: bool | None = None, parts: int | None = None) -> DataFrame:
+    """Join rows to a table with unique keys (``how``: left or inner).
 
-    A small table (checked) is broadcast. Beyond that the table is repeated ``salts`` times and the
-    rows of every key are dealt over the copies, so that a key holding a third of all rows is
-    processed by many tasks. ``spread_by`` must differ between rows of one key.
+    The table is written, measured and broadcast if it is small. Beyond that the rows are counted per key, and
+    ``attach`` keeps the keys that hold many rows, known to the table or not, from meeting in one task.
+    ``spread_by`` must differ between rows of one key.
     """
-    if small_enough(table) if small is None else small:
+    if small is None:
+        table = materialise(table, "lookup")
+        small = small_enough(table)
+    if small:
         return rows.join(F.broadcast(table), key, how)
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
-    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [key, "_salt"], how).drop("_salt")
+    counts = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
+    weighted = counts.join(table.withColumn("_match", F.lit(True)), key, "left")
+    found = attach(rows, weighted, key, "_n", spread_by, parts)
+    return (found.filter("_match") if how == "inner" else found).drop("_match")
+
+
+def _hot_join(rows: DataFrame, hot: DataFrame, key: str, spread_by: Column, parts: int) -> DataFrame:
+    """Left join to the few hot keys: by broadcast, or with ``parts`` copies of them if their values are too long for that."""
+    if small_enough(hot):
+        return rows.join(F.broadcast(hot), key, "left")
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(parts)).cast("int"))
+    copies = hot.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    return salted.join(copies, [key, "_salt"], "left").drop("_salt")
+
+
+def _own(key: str) -> Column:
+    """The key as text, set apart from chance keys."""
+    return F.concat(F.lit("k"), F.col(key).cast("string"))
 
 
 def attach(rows: DataFrame, table: DataFrame, key: str, weight: str, spread_by: Column,
@@ -49,19 +73,18 @@ def attach(rows: DataFrame, table: DataFrame, key: str, weight: str, spread_by:
     total = table.agg(F.sum(weight).alias("total")).scalar()
     is_hot = F.col(weight) * parts > total
     hot = table.filter(is_hot).select(key, F.lit(True).alias("_hot"), *[F.col(c).alias(f"_hot_{c}") for c in values])
-    cold = table.filter(~is_hot).select(F.concat(F.lit("k"), F.col(key).cast("string")).alias("_key"),
+    cold = table.filter(~is_hot).select(_own(key).alias("_key"),
                                         *[F.col(c).alias(f"_cold_{c}") for c in values])
-    flagged = lookup_join(rows, hot, key, spread_by)
+    flagged = _hot_join(rows, hot, key, spread_by, parts)
     chance = F.concat(F.lit("n"), F.xxhash64(spread_by).cast("string"))
-    own = F.concat(F.lit("k"), F.col(key).cast("string"))
-    keyed = flagged.withColumn("_key", F.when(F.col("_hot").isNull() & F.col(key).isNotNull(), own).otherwise(chance))
+    keyed = flagged.withColumn("_key", F.when(F.col("_hot").isNull() & F.col(key).isNotNull(), _own(key)).otherwise(chance))
     return keyed.join(cold, "_key", "left").select(
         *rows.columns, *[F.coalesce(f"_hot_{c}", f"_cold_{c}").alias(c) for c in values])
 
 
 def count_back(rows: DataFrame, key: str, spread_by: Column, name: str = "count",
                parts: int | None = None) -> DataFrame:
-    """Occurrences of ``key`` on every row; null keys keep a null count."""
+    """Occurrences of ``key`` on every row; null keys keep a null count. For long texts give their fingerprint as key."""
     counts = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
     return attach(rows, counts.withColumn(name, F.col("_n")), key, "_n", spread_by, parts)
 

@@ -27,17 +27,19 @@ def note_sentences(notes: DataFrame, filtered: bool = False) -> DataFrame:
 
 
 def _with_counts(notes: DataFrame, keep=None) -> DataFrame:
-    """One row per sentence of numbered notes (note_index, sentences, ...), with its occurrences.
+    """One row per sentence of numbered and written notes (note_index, sentences, ...), with its occurrences.
 
-    Only (note_index, place, sentence) is joined by sentence; the counts return to the note as one
-    list. So the note's own texts are shuffled once per note and not once per sentence.
+    Only (note_index, place, sentence) is joined by sentence; places and counts return to the note as one list and
+    take the sentences from the note's own array. So texts are shuffled once per note, a sentence once.
     """
     placed = notes.select("note_index", F.posexplode("sentences").alias("place", "sentence"))
     if keep is not None:
         placed = placed.filter(keep)
-    counted = joins.count_back(placed, "sentence", F.struct("note_index", "place"))
-    lists = counted.groupBy("note_index").agg(F.array_sort(F.collect_list(F.struct("place", "sentence", "count"))).alias("_all"))
-    return (notes.drop("sentences").join(lists, "note_index", "left" if keep is None else "inner")
+    counted = joins.count_back(placed, "sentence", F.struct("note_index", "place")).select("note_index", "place", "count")
+    lists = counted.groupBy("note_index").agg(F.array_sort(F.collect_list(F.struct("place", "count"))).alias("_all"))
+    named = F.transform("_all", lambda one: F.struct(F.get("sentences", one["place"]).alias("sentence"), one["count"].alias("count")))
+    return (notes.join(lists, "note_index", "left" if keep is None else "inner")
+            .withColumn("_all", named).drop("sentences")
             .withColumn("_one", F.explode_outer("_all"))
             .select("*", "_one.sentence", "_one.count").drop("_all", "_one"))
 
@@ -45,10 +47,10 @@ def _with_counts(notes: DataFrame, keep=None) -> DataFrame:
 def sentence_table(rows: DataFrame, order: str = "row_order") -> DataFrame:
     """One row per sentence of every distinct note, with how often the sentence occurs.
 
-    Notes without a sentence keep one row with a null sentence and a null count.
+    Notes without a sentence keep one row with a null sentence and a null count. Sentences are split once.
     """
     notes = ranks.dense_index(distinct_notes(rows, order=order), [order], "note_index").drop(order)
-    return _with_counts(note_sentences(notes))
+    return _with_counts(materialise(note_sentences(notes), "note_sentences"))
 
 
 def filtered_sentence_table(rows: DataFrame, order: str = "row_order") -> DataFrame:

@@ -57,8 +57,8 @@ def notes_per_reaction(spark, folder):
 
 @query("SELECT md5(text) AS text_md5, count(DISTINCT doc_id) AS n FROM documents GROUP BY text HAVING count(DISTINCT doc_id) > 1")
 def texts_shared(spark, folder):
-    per = dedup.group_distinct(table(spark, folder, "documents"), "text", "doc_id", "n").filter("n > 1")
-    return per.select(F.md5("text").alias("text_md5"), "n")
+    docs = table(spark, folder, "documents").select(F.md5("text").alias("text_md5"), "doc_id")
+    return dedup.group_distinct(docs, "text_md5", "doc_id", "n").filter("n > 1")
 
 
 @query("""SELECT doc_id, source, lang, text FROM documents
@@ -399,5 +399,6 @@ def reference_set_sizes(spark, folder):
 @query("""WITH c AS (SELECT text, count(*) AS count FROM documents GROUP BY text)
 SELECT doc_id, count FROM documents JOIN c USING (text)""")
 def copies_per_row(spark, folder):
-    docs = table(spark, folder, "documents").select("doc_id", "text")
-    return joins.count_back(docs, "text", F.col("doc_id")).select("doc_id", "count")
+    key = F.when(F.col("text").isNotNull(), dedup.fingerprint(["text"]))
+    docs = table(spark, folder, "documents").select("doc_id", key.alias("text_key"))
+    return joins.count_back(docs, "text_key", F.col("doc_id")).select("doc_id", "count")

@@ -30,6 +30,36 @@ def test_lookup_join_both_ways(spark, small):
     assert inner.count() == sum(k in ("hot", "k1") for _, k in HOT)
 
 
+def test_a_hot_key_the_table_lacks_beyond_the_broadcast(spark):
+    table = spark.createDataFrame([(f"k{i}", i) for i in range(40)], "k string, v int")
+    left = joins.lookup_join(hot(spark, 5), table, "k", F.col("id"), small=False, parts=4)
+    known = {f"k{i}": i for i in range(40)}
+    assert {r["id"]: r["v"] for r in left.collect()} == {i: known.get(k) for i, k in HOT}
+    assert left.columns == ["id", "k", "v"]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_texts_are_no_keys_of_sorted_aggregates(spark):
+    df = hot(spark, 3).withColumn("g", F.col("id") % 5)
+    for made in (dedup.keep_first(df, ["k"], "id"), dedup.shared_rows(df, "k", "g"), dedup.duplicate_report(df, ["k"])):
+        assert "SortAggregate" not in plan_of(made)
+
+
+def test_fingerprints_tell_nulls_and_borders_apart(spark):
+    rows = [("a", "b"), ("ab", ""), ("", "ab"), (None, "ab"), ("ab", None), ("-", "ab"), (None, None), ("1:a", "b")]
+    df = spark.createDataFrame(rows, "x string, y string").select(dedup.fingerprint(["x", "y"]).alias("f"))
+    assert df.distinct().count() == len(rows)
+
+
+def test_small_enough_measures_lists(spark):
+    df = spark.range(10).select(F.array_repeat(F.lit("abcdefghij"), 1000).alias("l"))
+    assert not joins.small_enough(df, size=50_000)
+    assert joins.small_enough(df)
+
+
 def test_small_enough_measures_rows_and_bytes(spark):
     df = spark.range(100).select(F.repeat(F.lit("x"), 100).alias("s"))
     assert joins.small_enough(df) and not joins.small_enough(df, rows=99) and not joins.small_enough(df, size=5000)
