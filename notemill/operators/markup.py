@@ -27,12 +27,27 @@ def elements(markup: Column, tag: str) -> Column:
 
 
 def root_elements(document: Column, tag: str) -> Column:
-    """Elements with the prefix of the document's root; comments are no markup."""
-    plain = F.regexp_replace(document, "(?s)<!--.*?-->", "")
+    """Elements with the prefix of the document's root; comments are no markup, CDATA sections are text."""
+    plain = F.regexp_replace(without_cdata(document), "(?s)<!--.*?-->", "")
     opening = F.concat(F.lit("<"), F.regexp_extract(plain, r"<([\w.-]+:)?[\w.-]+", 1), F.lit(tag))
     return F.filter(elements(plain, tag), lambda e: F.startswith(e, opening))
 
 
+def without_cdata(document: Column) -> Column:
+    """The document with the text of its CDATA sections written with named characters instead. A section that is not
+    closed stays as it was."""
+    def plain(piece: Column) -> Column:
+        end = F.instr(piece, "]]>")
+        text = F.substring(piece, F.lit(1), end - 1)
+        for sign, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+            text = F.replace(text, F.lit(sign), F.lit(name))
+        return F.when(end > 0, F.concat(text, F.substring(piece, end + 3, F.length(piece)))).otherwise(
+            F.concat(F.lit("<![CDATA["), piece))
+
+    pieces = F.transform(F.split(document, r"<!\[CDATA\["), lambda t, i: F.when(i == 0, t).otherwise(plain(t)))
+    return F.when(F.contains(document, F.lit("<![CDATA[")), F.array_join(pieces, "")).otherwise(document)
+
+
 def element_texts(markup: Column, tag: str) -> Column:
     """Whole text of every element, inline tags taken out and their text kept, stripped; empty ones are left out.
 

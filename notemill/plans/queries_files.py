@@ -68,29 +68,37 @@ def markup_file_elements(spark, folder):
                        F.col("listOfReactants._lang").alias("lang"))
 
 
-@query("SELECT count(*)::BIGINT AS reactions, true AS all_counted FROM documents")
+def _file_numbers(spark, path):
+    """file_id and the number of each written file, out of the first id that its text holds."""
+    documents = files.markup_documents(spark, path, "*.txt")
+    first = F.regexp_extract("value", r' id="R-(\d+)"', 1).cast("long")
+    return documents.select("file_id", F.floor(first / RECORDS_PER_FILE).alias("file"))
+
+
+@query(f"""SELECT doc_id // {RECORDS_PER_FILE} AS file, count(*) AS reaction_count, count(*) OVER () AS listed
+FROM documents GROUP BY 1""")
 def markup_file_counts(spark, folder):
-    """Elements per file, 0 included, against the folder's list of files."""
+    """Elements per file, 0 included, beside the number of files in the folder's list."""
     path = _markup_files(spark, folder)
     records = files.markup_records(spark, path, "reaction", "_id string", "*.txt").filter("_id is not null")
     counts = files.record_counts(spark, path, records, "*.txt")
     listed = files.list_files(spark, path, "*.txt").agg(F.count("*").alias("n")).scalar()
-    return counts.agg(F.sum("reaction_count").alias("reactions"), F.count("*").alias("_files")).select(
-        "reactions", (F.col("_files") == listed).alias("all_counted"))
+    return _file_numbers(spark, path).join(counts, "file_id").select("file", "reaction_count", listed.alias("listed"))
 
 
-@query(f"""SELECT count(DISTINCT doc_id // {RECORDS_PER_FILE}) FILTER ((doc_id // {RECORDS_PER_FILE}) % 3 = 0) AS broken,
-  count(DISTINCT doc_id // {RECORDS_PER_FILE}) FILTER ((doc_id // {RECORDS_PER_FILE}) % 3 <> 0) AS good,
-  count(*) FILTER ((doc_id // {RECORDS_PER_FILE}) % 3 <> 0) AS reactions FROM documents""")
+@query(f"""SELECT file, file % 3 = 0 AS broken, CASE WHEN file % 3 = 0 THEN 0 ELSE n END AS reaction_count,
+  CASE WHEN file % 3 = 0 THEN 0 ELSE n END AS reactions
+FROM (SELECT doc_id // {RECORDS_PER_FILE} AS file, count(*) AS n FROM documents GROUP BY 1)""")
 def broken_files(spark, folder):
-    """Every third file is cut off: it gives no rows and is listed, the others are read."""
-    out = scratch_path(spark, "corpus")
-    jobs.build_corpus(spark, _markup_files(spark, folder, 3), out, "*.txt")
-    counts = spark.read.parquet(f"{out}/file_counts")
-    broken = spark.read.parquet(f"{out}/broken_files").agg(F.count("*").alias("n")).scalar()
-    rows = spark.read.parquet(f"{out}/reactions").agg(F.count("*").alias("n")).scalar()
-    return counts.agg(F.count_if(F.col("reaction_count") > 0).alias("good")).select(
-        broken.alias("broken"), "good", rows.alias("reactions"))
+    """Every third file is cut off: it gives no rows and is listed, the others are read. One row per file."""
+    out, path = scratch_path(spark, "corpus"), _markup_files(spark, folder, 3)
+    jobs.build_corpus(spark, path, out, "*.txt")
+    broken = spark.read.parquet(f"{out}/broken_files").withColumn("broken", F.lit(True))
+    rows = spark.read.parquet(f"{out}/reactions").groupBy("file_id").agg(F.count("*").alias("reactions"))
+    found = (_file_numbers(spark, path).join(spark.read.parquet(f"{out}/file_counts"), "file_id")
+             .join(broken, "file_id", "left").join(rows, "file_id", "left"))
+    return found.select("file", F.coalesce("broken", F.lit(False)).alias("broken"), "reaction_count",
+                        F.coalesce("reactions", F.lit(0)).alias("reactions"))
 
 
 @query("SELECT p_partkey AS id, p_name AS name FROM part WHERE p_type = 'ECONOMY'")
@@ -170,13 +178,15 @@ def retry_list(spark, folder):
 
 
 @query(f"""WITH {sql.reactions()},
-refs AS (SELECT file_id, unnest({sql.reference_list('only_references')}) AS reference FROM reactions)
-SELECT (SELECT count(*) FROM reactions) AS reaction_count, (SELECT count(notes) FROM reactions) AS notes_count,
-  (SELECT count(*) FROM refs) AS total_references""")
+refs AS (SELECT row_order // {RECORDS_PER_FILE} AS file, unnest({sql.reference_list('only_references')}) AS reference FROM reactions),
+cited AS (SELECT file, count(*) AS total_references, count(DISTINCT reference) AS unique_references FROM refs GROUP BY file),
+files AS (SELECT row_order // {RECORDS_PER_FILE} AS file, count(*) AS reaction_count, count(notes) AS notes_count FROM reactions GROUP BY 1)
+SELECT file, reaction_count, notes_count, coalesce(total_references, 0) AS total_references,
+  coalesce(unique_references, 0) AS unique_references FROM files LEFT JOIN cited USING (file)""")
 def corpus_job(spark, folder):
-    """Files to reaction and count tables to the file summary, all written; totals of the last table."""
-    out = scratch_path(spark, "corpus")
-    jobs.build_corpus(spark, _markup_files(spark, folder), out, "*.txt")
+    """Files to reaction and count tables to the file summary, all written; one row per file."""
+    out, path = scratch_path(spark, "corpus"), _markup_files(spark, folder)
+    jobs.build_corpus(spark, path, out, "*.txt")
     jobs.summarise_files(spark, out)
     summary = files.read_if_there(spark, f"{out}/file_summary")
-    return summary.agg(*[F.sum(c).alias(c) for c in ("reaction_count", "notes_count", "total_references")])
+    return _file_numbers(spark, path).join(summary, "file_id").drop("file_id")

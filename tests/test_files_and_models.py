@@ -60,6 +60,14 @@ def test_elements_of_the_root(spark):
     assert [r[0] for r in got] == [["a&b"], ["2"], None]
 
 
+def test_cdata_is_text(spark):
+    values = ["<m><r><notes><p><![CDATA[a < b & <!-- c --> <r/>]]> tail</p></notes></r></m>", "<m><r><notes><p>x<![CDATA[]]>y</p></notes></r><r/></m>",
+              "<m><r><notes><p>cut <![CDATA[ here</p></notes></r></m>", None]
+    df = spark.createDataFrame(list(enumerate(values)), "i int, v string").orderBy("i")
+    got = df.select(F.transform(markup.root_elements(F.col("v"), "r"), lambda e: markup.note_text(e))).collect()
+    assert [r[0] for r in got[:2]] == [["a < b & <!-- c --> <r/> tail"], ["xy", None]] and got[3][0] is None
+
+
 def test_paragraphs_are_whole(spark):
     df = spark.createDataFrame([("<p>a <b>b</b> c</p>x<p>d<p class='k'>\n<i>e</i>\n</p><pre>f</pre><p></p>",), (None,)], "v string")
     assert [r[0] for r in df.select(markup.element_texts(F.col("v"), "p")).collect()] == [["a b c", "d", "e"], None]
