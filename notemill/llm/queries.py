@@ -66,7 +66,7 @@ def op7_personal_data(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
-    return near_duplicates.groups(documents(spark, folder))
+    return near_duplicates.groups(documents(spark, folder), 85)
 
 
 @query()

@@ -52,3 +52,15 @@ def test_extra_columns_keep_their_values(spark, tmp_path):
     assert [r["doc_id"] for r in left] == [1, 3] and now.columns == docs.columns
     assert all(r[n] == f"{n}{r['doc_id']}" for r in left for n in names)
     assert left[1]["text"].endswith(" [ASSIGN]")
+
+
+def test_copies_between_the_thresholds_go(spark):
+    """Four changed words among 200: 176 of 216 shingles shared, 81 %."""
+    base = prose(1, 200).split()
+    near = ["changed" if i in (20, 70, 120, 170) else w for i, w in enumerate(base)]
+    far = ["changed" if i in (20, 60, 90, 120, 170) else w for i, w in enumerate(base)]
+    rows = [(1, " ".join(base)), (2, " ".join(near)), (3, prose(2, 200))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"] for r in corpus_pipeline.one_of_each_group(spark, docs, "").collect()} == {1, 3}
+    apart = spark.createDataFrame([rows[0], (2, " ".join(far))], "doc_id long, text string")
+    assert corpus_pipeline.one_of_each_group(spark, apart, "").count() == 2
