@@ -1,10 +1,11 @@
 """Benchmark passages in training texts, found by spaced seeds.
 
-A seed is a run of ``SPAN`` tokens hashed at the places that a fixed mask keeps; tokens at the places it ignores may
+A seed is a run of at most ``SPAN`` tokens hashed at the places that a fixed mask keeps; tokens at the places it ignores may
 differ. Seeds of test items meet seeds of documents in a join. Around a hit the two texts are laid side by side: a
 document is contaminated where ``WINDOW`` neighbouring tokens agree with an item in at least ``AGREE`` places. Items shorter than a
-window are compared whole; items shorter than a span are found by their whole run of tokens; items of fewer than
-``LEAST`` tokens are too common as words and take no part.
+window are compared whole, and a quarter of their tokens may differ. Every length of item has masks that leave a seed
+whichever tokens differ, as long as the comparison would accept them. Items of fewer than ``LEAST`` tokens are too common as
+words and take no part.
 """
 
 import numpy as np
@@ -13,12 +14,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from notemill.llm import filters
-from notemill.llm.blocks import ALNUM, list_column, mixed, pieces, text_bytes, window_hashes, word_hashes, word_spans
+from notemill.llm.blocks import ALNUM, list_column, mixed, pieces, text_bytes, word_hashes, word_spans
 from notemill.session import materialise
 
 SPAN = 12
-#: Masks of eight kept places out of twelve. Whichever two of sixteen neighbouring tokens differ, one of them fits.
-MASKS = ("111110000111", "110101011011", "111001110101", "111011101100", "100111100111", "101001101111")
+#: Masks of six kept places. Whichever four of sixteen neighbouring tokens differ, or three of fourteen, one of them fits.
+MASKS = ("111010110000", "110100001110", "100110111000", "111000101001", "111000100110", "110011001001")
+#: From which number of tokens an item has which masks: three of twelve, two of eight, one of five may differ.
+SHORTER = {
+    12: ("1110111", "110010111", "111101001", "101001111", "11011010001", "11010001101", "11100000111", "1011111", "10110111"),
+    8: ("111011", "11111", "101111", "11001011", "1110011", "11010101", "10100111"),
+    5: ("1111", "11101", "10111", "11011"),
+}
 WINDOW, AGREE, LEAST = 16, 12, 5
 CONTEXT = WINDOW
 
@@ -46,8 +53,13 @@ def seeds(hashes: np.ndarray, place: np.ndarray, mask: str) -> np.ndarray:
     return out
 
 
-def _whole(hashes: np.ndarray, place: np.ndarray, width: int) -> np.ndarray:
-    return window_hashes(hashes, width, seed=100 + width)[place] if len(place) else np.zeros(0, np.uint64)
+def masks_of(count: int) -> tuple[str, ...]:
+    """The masks for an item of so many tokens; ignored places at the end are no part of the span."""
+    if count < LEAST:
+        return ()
+    if count >= 14:
+        return tuple(mask.rstrip("0") for mask in MASKS)
+    return SHORTER[max(least for least in SHORTER if least <= count)]
 
 
 def _item_seeds(batches):
@@ -57,11 +69,11 @@ def _item_seeds(batches):
             ids = piece.column("item").to_numpy()
             counts = np.diff(first)
             found = []
-            place, owner = _places(first, SPAN)
-            found += [(seeds(hashes, place, mask), place, owner) for mask in MASKS]
-            for width in range(LEAST, SPAN):
-                short = np.flatnonzero(counts == width)
-                found.append((_whole(hashes, first[:-1][short], width), first[:-1][short], short))
+            masks = [masks_of(count) for count in counts.tolist()]
+            for mask in sorted(set().union(*masks)):
+                place, owner = _places(first, len(mask))
+                own = np.array([mask in m for m in masks], dtype=bool)[owner]
+                found.append((seeds(hashes, place[own], mask), place[own], owner[own]))
             for seed, at, of in found:
                 yield pa.RecordBatch.from_arrays([pa.array(seed.view(np.int64)), pa.array(ids[of], pa.int64()),
                                                   pa.array((at - first[:-1][of]).astype(np.int32))], ["seed", "item", "item_at"])
@@ -78,18 +90,18 @@ _HITS = "doc_id long, part int, part_at int, tokens array<long>, hits array<stru
 _HIT = pa.struct([("seed", pa.int64()), ("at", pa.int32())])
 
 
-def _hits(wanted, widths):
+def _hits(wanted, masks):
     """Per document, the stretches of tokens around seeds that some item may have."""
     def read(batches):
         for batch in batches:
             for piece in pieces(batch, "text"):
                 hashes, first = tokens(piece.column("text"))
                 found = []
-                for width, masks in ((SPAN, MASKS), *((w, None) for w in widths)):
-                    place, owner = _places(first, width)
-                    for seed in ([seeds(hashes, place, m) for m in masks] if masks else [_whole(hashes, place, width)]):
-                        held = np.flatnonzero(wanted.value.holds(seed))
-                        found.append((owner[held], place[held], seed[held]))
+                for mask in masks:
+                    place, owner = _places(first, len(mask))
+                    seed = seeds(hashes, place, mask)
+                    held = np.flatnonzero(wanted.value.holds(seed))
+                    found.append((owner[held], place[held], seed[held]))
                 owner, place, seed = (np.concatenate(parts) for parts in zip(*found))
                 order = np.lexsort((place, owner))
                 owner, place, seed = owner[order], place[order], seed[order].view(np.int64)
@@ -149,11 +161,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     distinct = items.select("item", "text").distinct()
     seeded = materialise(distinct.mapInArrow(_item_seeds, "seed long, item long, item_at int"), "seeds")
     spread = distinct.mapInArrow(_item_tokens, "item long, tokens array<long>").select("item", F.col("tokens").alias("item_tokens"))
-    sizes = spread.filter(F.size("item_tokens").between(LEAST, SPAN - 1)).select(F.size("item_tokens").alias("n")).distinct()
-    widths = sorted(r["n"] for r in sizes.collect())          # seven widths at most
+    sizes = spread.select(F.least(F.size("item_tokens"), F.lit(WINDOW)).alias("n")).distinct()
+    masks = sorted(set(masks_of(WINDOW)).union(*[masks_of(r["n"]) for r in sizes.collect()]))          # 17 sizes at most
     wanted = spark.sparkContext.broadcast(filters.hash_set(seeded, "seed"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").dropna()
-    parts = materialise(texts.mapInArrow(_hits(wanted, widths), _HITS).withColumn("part", F.xxhash64("tokens", "part_at")), "hits")
+    parts = materialise(texts.mapInArrow(_hits(wanted, masks), _HITS).withColumn("part", F.xxhash64("tokens", "part_at")), "hits")
     hits = parts.select("doc_id", "part", "part_at", F.inline("hits").alias("seed", "at"))
     sides = hits.join(seeded, "seed").select("doc_id", "part", "part_at", "item", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
     beside = (sides.join(parts.select("doc_id", "part", "part_at", "tokens").dropDuplicates(["doc_id", "part", "part_at"]), ["doc_id", "part", "part_at"])

@@ -1,6 +1,7 @@
 """The operators against plain versions, and their edge rows."""
 
 import base64
+import itertools
 import math
 import random
 import re
@@ -212,6 +213,30 @@ def test_every_pair_of_substitutions_leaves_a_seed():
             assert any(all(mask[p - at] == "0" for p in (a, b) if at <= p < at + 12) for at in range(5) for mask in contamination.MASKS)
 
 
+def test_every_accepted_pattern_of_substitutions_leaves_a_seed():
+    """For items of 5 to 16 tokens, whichever tokens differ that best_window accepts."""
+    for width in range(contamination.LEAST, contamination.WINDOW + 1):
+        item = np.arange(width)
+        kept = [{at + i for i, k in enumerate(mask) if k == "1"} for mask in contamination.masks_of(width) for at in range(width - len(mask) + 1)]
+        for changed in itertools.combinations(range(width), width // 4):
+            text = item.copy()
+            text[list(changed)] = -1
+            assert contamination.best_window(item, text, 0) and any(k.isdisjoint(changed) for k in kept), (width, changed)
+
+
+def test_contamination_of_short_and_much_changed_items(spark):
+    items = {n: prose(600 + n, n).split() for n in range(5, 17)}
+    rows = []
+    for n, words in items.items():
+        for number, changed in enumerate((range(n // 4), range(n - n // 4, n), range(1, n, 4), range(0, n, 4), range(n // 4 + 1))):
+            changed = set(list(changed)[:n // 4]) if number < 4 else set(changed)
+            text = " ".join("other" if i in changed else w for i, w in enumerate(words))
+            rows.append((100 * n + number, f"{prose(n, 30)} {text} {prose(800 + n, 30)}"))
+    bench = spark.createDataFrame([(n, " ".join(words)) for n, words in items.items()], "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in contamination.overlaps(docs_of(spark, rows), bench).collect()}
+    assert found == {(100 * n + number, n) for n in items for number in range(4)}
+
+
 def test_trigram_queries():
     assert secrets.trigram_query("[0-9a-f]+") is secrets.ANY
     assert secrets.trigram_query("AKIA[A-Z0-9]+") == ("and", ("aki", "kia"))
