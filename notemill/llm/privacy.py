@@ -1,15 +1,18 @@
 """Personal data, and the words that would give it away: information-theoretic sanitisation.
 
-Patterns find the protected values. A word beside a value is dangerous when seeing it leaves less than
+Patterns find the protected values. A word in a document with a value is dangerous when seeing it leaves less than
 ``LEFT_BITS`` bits of doubt about the value: pointwise mutual information of word and value within that distance of the
-value's own information, that is P(value | word) >= 2 ** -LEFT_BITS over the documents of the corpus. Words that stood beside the value in
-one wording only prove nothing and are left. Dangerous words are marked wherever they stand in documents with that value.
+value's own information, that is P(value | word) >= 2 ** -LEFT_BITS over the documents of the corpus, whole texts on both sides. Words that
+stood with the value in one wording only prove nothing and are left. Documents whose distinct words differ are wordings of their own;
+within a document so are places of the value whose words within ``REACH`` characters differ. Letters of values are no words of the
+document. Dangerous words are marked wherever they stand in documents with that value.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from notemill.llm.native import match_spans
+from notemill.operators.once import evaluate_once
 from notemill.session import materialise
 
 KINDS = ("email", "ip", "card", "phone")
@@ -71,8 +74,23 @@ def _beside(text: Column, start: Column, end: Column) -> Column:
     return F.array_sort(F.array_distinct(F.concat(whole_left, whole_right)))
 
 
+def _words_outside(text: Column, spans: Column) -> Column:
+    """The distinct lower-case words of a text without its values."""
+    def step(done, span):
+        gap = F.substring(text, done["at"] + 1, span["start"] - done["at"])
+        return F.struct(F.greatest(done["at"], span["end"]).alias("at"),
+                        F.when(span["start"] > done["at"], F.concat(done["gaps"], F.array(gap))).otherwise(done["gaps"]).alias("gaps"))
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("gaps"))
+    rest = F.aggregate(spans, start, step, lambda done: F.concat(done["gaps"], F.array(F.substring(text, done["at"] + 1, F.length(text)))))
+    return F.array_sort(F.array_distinct(F.regexp_extract_all(F.lower(F.array_join(rest, " ")), F.lit(LETTERS), F.lit(0))))
+
+
 def dangerous_words(docs: DataFrame, holders: DataFrame) -> DataFrame:
-    """(entity, word): the words that give a value away. ``holders`` are the rows of ``docs`` with spans."""
+    """(entity, word): the words that give a value away. ``holders`` are the rows of ``docs`` with spans.
+
+    Documents of one content and their values are one row with a count. Only values in two wordings can have a dangerous word.
+    """
     spans = holders.select("doc_id", "text", F.explode("spans").alias("span"))
     beside = spans.select("doc_id", F.concat_ws(":", "span.kind", F.lower("span.value")).alias("entity"),
                           _beside(F.col("text"), F.col("span.start"), F.col("span.end")).alias("words"))
@@ -80,14 +98,47 @@ def dangerous_words(docs: DataFrame, holders: DataFrame) -> DataFrame:
         "entity", "doc_id", F.xxhash64("words").alias("wording"), F.explode("words").alias("word"))
     wordings = once.groupBy("entity", "word", "wording").agg(F.count("*").alias("_n"))
     several = wordings.groupBy("entity", "word").agg(F.count("*").alias("wordings")).filter(F.col("wordings") >= LEAST_WORDINGS)
-    together = (once.select("entity", "word", "doc_id").distinct().groupBy("entity", "word").agg(F.count("*").alias("together"))
-                .join(several, ["entity", "word"]).drop("wordings"))
+    near = materialise(once.select("entity", "word", "doc_id").distinct().groupBy("entity", "word").agg(F.count("*").alias("near"))
+                       .join(several, ["entity", "word"]).drop("wordings"), "near")
+
+    values = F.array_sort(F.array_distinct(F.transform("spans", lambda s: F.concat_ws(":", s["kind"], F.lower(s["value"])))))
+    contents = holders.select(values.alias("entities"), _words_outside(F.col("text"), F.col("spans")).alias("words"))
+    keyed = contents.withColumn("wording", F.xxhash64("words")).withColumn("values", F.xxhash64("entities"))
+    whole = materialise(keyed.groupBy("wording", "values").agg(F.count("*").alias("n"), F.first("entities").alias("entities"),
+                                                               F.first("words").alias("words")), "contents")
+    held = whole.select("wording", "values", F.explode("entities").alias("entity"))
+    apart = held.groupBy("entity").agg(F.min("wording").alias("_least"), F.max("wording").alias("_most")).filter("_least < _most").select("entity")
+    wanted = apart.union(near.select("entity")).distinct()
+    kept = held.join(wanted, "entity").groupBy("wording", "values").agg(F.collect_list("entity").alias("entities"))
+    pairs = (whole.drop("entities").join(kept, ["wording", "values"]).select("wording", "n", "entities", F.explode("words").alias("word"))
+             .select("wording", "n", "word", F.explode("entities").alias("entity")))
+    far = pairs.groupBy("entity", "word").agg(F.sum("n").alias("far"), (F.min("wording") < F.max("wording")).alias("_apart"))
+    together = far.join(near, ["entity", "word"], "full").filter(F.col("_apart") | F.col("near").isNotNull()).select(
+        "entity", "word", F.greatest("far", "near").alias("together"))
     everywhere = (docs.select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(LETTERS), F.lit(0)))).alias("word"))
                   .groupBy("word").agg(F.count("*").alias("documents")))
     return (together.join(everywhere, "word").filter(F.col("together") * 2 ** LEFT_BITS >= F.col("documents"))
             .select("entity", "word"))
 
 
+def with_terms(rows: DataFrame) -> DataFrame:
+    """``rows`` with the spans of ``_pattern`` in ``text`` as ``_terms``. A document may have hundreds: each step is a column
+    of its own, as what a lambda names is evaluated for every element."""
+    matched = evaluate_once(rows, {"_matches": F.regexp_extract_all("text", F.col("_pattern"), F.lit(0)),
+                                   "_pieces": F.split("text", F.col("_pattern"), -1)})
+    stepped = evaluate_once(matched, {"_steps": F.filter(F.zip_with("_matches", "_pieces", lambda m, p: F.struct(
+        m.alias("value"), F.length(p).alias("gap"), F.length(m).alias("size"))), lambda s: s["value"].isNotNull())})
+
+    def add(done, step):
+        span = F.struct(F.lit(TERM).alias("kind"), (done["at"] + step["gap"]).alias("start"),
+                        (done["at"] + step["gap"] + step["size"]).alias("end"), step["value"].alias("value"))
+        return F.struct((done["at"] + step["gap"] + step["size"]).alias("at"), F.concat(done["spans"], F.array(span).cast(_SPANS)).alias("spans"))
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("spans"))
+    terms = F.aggregate("_steps", start, add, lambda done: done["spans"])
+    return evaluate_once(stepped, {"_terms": F.coalesce(terms, F.array().cast(_SPANS))})
+
+
 def find(docs: DataFrame) -> DataFrame:
     """The rows (doc_id, text) with ``spans``: base values and the words that give them away.
 
@@ -102,10 +153,8 @@ def find(docs: DataFrame) -> DataFrame:
         "doc_id", F.concat_ws(":", "span.kind", F.lower("span.value")).alias("entity")).distinct()
     per_doc = entities.join(words, "entity").groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("word").alias("_words"))
     pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join(F.array_sort("_words"), "|"), F.lit(r")(?!\p{L})"))
-    terms = F.when(F.col("_words").isNotNull(), match_spans(F.col("text"), pattern, TERM, lambda v: F.lit(True))
-                   ).otherwise(F.array().cast(_SPANS))
     joined = holders.join(per_doc, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
-    both = joined.select("doc_id", "text", ordered(F.concat("spans", terms)).alias("spans"))
+    both = with_terms(joined.withColumn("_pattern", pattern)).select("doc_id", "text", ordered(F.concat("spans", "_terms")).alias("spans"))
     return marked.filter(F.size("spans") == 0).unionByName(both)
 
 

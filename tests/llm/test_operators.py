@@ -279,6 +279,15 @@ def test_dangerous_words(spark):
     assert "[EMAIL]" in clean and "Quentin" not in clean and "surgeon" in clean
 
 
+def test_dangerous_words_of_whole_documents(spark):
+    """The word stands far from the value, and in no document without it; one content in copies proves nothing."""
+    rows = [(i, f"Rothschild {prose(i, 40)} q@hosp.org {prose(40 + i, 12)}") for i in range(3)]
+    rows += [(10 + i, f"Solitary {prose(9, 40)} s@hosp.org") for i in range(3)] + [(20, f"about q@hosp.orgy {prose(70, 20)}")]
+    found = {r["doc_id"]: {s["value"] for s in r["spans"] if s["kind"] == "term"} for r in privacy.find(docs_of(spark, rows)).collect()}
+    assert all("Rothschild" in found[i] for i in range(3)) and not {"hosp", "hosp.org"} & set().union(*found.values())
+    assert all(not found[10 + i] for i in range(3)) and not found[20]
+
+
 def test_many_spans_keep_their_places(spark):
     text = "é " + "a@b.cc, " * 1500
     spans = privacy.find(docs_of(spark, [(1, text)])).first()["spans"]
