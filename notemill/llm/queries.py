@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from notemill.llm import bpe, contamination, language, licences, near_duplicates, neighbours, passages, privacy, quality, secrets
+from notemill.llm import bpe, contamination, language, licences, merges, near_duplicates, neighbours, passages, privacy, quality, secrets
 from notemill.llm.blocks import bounded_batches
 from notemill.operators.once import evaluate_once
 from notemill.plans.registering import register
@@ -15,6 +15,7 @@ from notemill.sources.tables import table
 QUERIES, SQL, query = register()
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
+RULES = "byte_bpe_50k.json"
 
 
 def documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
@@ -93,3 +94,13 @@ def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
     model = quality.learn(docs.filter("not held_out").join(labels, "doc_id"))
     score = model.score(F.col("statistics"))
     return docs.select("doc_id", "held_out", score.alias("score"), (score >= 0.3).cast("int").alias("predicted"))
+
+
+@query()
+def op13_merge_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of every whole text by merge rules and the text they decode to, as digests; a null text counts as empty."""
+    coder = merges.round_trip(spark, public_tokenizers.path(RULES), public_tokenizers.PATTERN)
+    coded = evaluate_once(documents(spark, folder), {"coded": coder(F.coalesce("text", F.lit("")))})
+    ids = F.array_join(F.col("coded.ids").cast("array<string>"), ",")
+    return coded.select("doc_id", F.size("coded.ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
+                        F.sha2("coded.decoded", 256).alias("decoded_sha256"))

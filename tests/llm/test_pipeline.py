@@ -35,7 +35,7 @@ def test_stages_of_an_empty_table(spark, tmp_path):
 
 
 def test_names():
-    assert sorted(name.split("_")[0] for name in registry.all_queries()) == sorted(f"op{i}" for i in range(1, 11))
+    assert sorted(name.split("_")[0] for name in registry.all_queries()) == sorted(f"op{i}" for i in range(1, 14))
     assert set(registry.all_sql()) <= set(registry.all_queries())
 
 
