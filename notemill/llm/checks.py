@@ -158,3 +158,58 @@ scored as (select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v) /
     from vectors q join vectors c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id and len(q.v) = len(c.v))
 select query_id, rank::INT as rank, vec_id, score from
     (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored) where rank <= 5"""
+
+
+def centroid_query(k: int = 40, rounds: int = 5, dim: int = 64) -> str:
+    """Plain k-means, one assignment and one mean after the other."""
+    apart = "list_sum(list_transform(range(1, len(v) + 1), lambda i: (v[i] - c[i]) * (v[i] - c[i])))::BIGINT"
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} as materialized (select row, vec_id, v, best.j as j, best.d as d from (select row, any_value(vec_id) as vec_id, any_value(v) as v,
+    min({{'d': {apart}, 'j': j}}) as best from kept, c{r} group by row))""")
+        if r < rounds:
+            steps.append(f"""
+m{r} as (select j, list(((total - ((total % n) + n) % n) // n)::BIGINT order by place) as c from (
+    select j, place, sum(value) as total, count(*) as n from (
+        select j, unnest(range(1, {dim} + 1)) as place, unnest(v) as value from a{r}) group by j, place) group by j)""")
+            steps.append(f"""
+c{r + 1} as materialized (select j, coalesce(m{r}.c, c{r}.c) as c from c{r} left join m{r} using (j))""")
+    return f"""
+with kept as materialized (select row_number() over () as row, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) as v
+    from embeddings where len(embedding) = {dim} and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+c0 as materialized (select row_number() over (order by sha256('2:' || coalesce(vec_id::VARCHAR, '')), v) - 1 as j, v as c from kept
+    order by sha256('2:' || coalesce(vec_id::VARCHAR, '')), v limit {k}), {','.join(steps)},
+sums as (select j, sum(d)::BIGINT as one from a{rounds} group by j)
+select vec_id, j::INTEGER as cluster, d as distance, one as cluster_inertia, (select sum(d)::BIGINT from a{rounds}) as inertia,
+       sha256(array_to_string(c, ',')) as centroid_sha256
+from a{rounds} join sums using (j) join c{rounds} using (j)"""
+
+
+SQL["op12_centroids"] = centroid_query()
+
+
+SQL["op11_divergence"] = r"""
+with docs as (select row_number() over () as row, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as terms from documents),
+words as (select row, lang, source, unnest(terms) as term from docs),
+counts as materialized (select lang, source, term, count(*) as n from words group by all),
+kept as materialized (select lang, term, count(*) as total from words group by lang, term having count(distinct row) >= 3),
+per_lang as (select lang, count(*) as v, sum(total)::BIGINT as size from kept group by lang),
+groups as materialized (select distinct lang, source from docs),
+sizes as (select lang, source, coalesce(sum(n) filter (kept.term is not null), 0)::BIGINT as size
+    from groups left join counts using (lang, source) left join kept using (lang, term) group by lang, source),
+shares as materialized (select lang, source, term, coalesce(n, 0) as n,
+    (1 + (1000000000::HUGEINT * (coalesce(n, 0) + 1)) // (sizes.size + v))::HUGEINT as p,
+    (1 + (1000000000::HUGEINT * (total + 1)) // (per_lang.size + v))::HUGEINT as whole
+    from sizes join per_lang using (lang) join kept using (lang) left join counts using (lang, source, term)),
+pairs as (select a.lang, a.source, b.source as item, coalesce(s.value, 0)::BIGINT as value
+    from groups a join groups b on a.lang = b.lang and a.source <> b.source left join (
+        select p.lang, p.source, q.source as item, sum(((p.p - q.p) * (p.p - q.p)) // q.p) as value
+        from shares p join shares q on p.lang = q.lang and p.term = q.term and p.source <> q.source group by all) s
+    on s.lang = a.lang and s.source = a.source and s.item = b.source),
+terms as (select lang, source, term as item, (((p - whole) * (p - whole)) // whole)::BIGINT as value from shares where n > 0 and p > whole),
+ranked as (select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from
+    (select lang, source, 'pair' as part, item, value from pairs union all select lang, source, 'term', item, value from terms))
+select lang, source, part, item, value, rank::INTEGER as rank from ranked where part = 'pair' or rank <= 200"""

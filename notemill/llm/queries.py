@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from notemill.llm import bpe, contamination, language, licences, merges, near_duplicates, neighbours, passages, privacy, quality, secrets
+from notemill.llm import bpe, centroids, contamination, divergence, language, licences, merges, near_duplicates, neighbours, passages, privacy, quality, secrets
 from notemill.llm.blocks import bounded_batches
 from notemill.operators.once import evaluate_once
 from notemill.plans.registering import register
@@ -104,3 +104,15 @@ def op13_merge_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ids = F.array_join(F.col("coded.ids").cast("array<string>"), ",")
     return coded.select("doc_id", F.size("coded.ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
                         F.sha2("coded.decoded", 256).alias("decoded_sha256"))
+
+
+@query()
+def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    """Clusters of all vectors with 64 finite components, and how far each is from its centroid."""
+    return centroids.clusters(table(spark, folder, "embeddings"))
+
+
+@query()
+def op11_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    """How far the term shares of every (lang, source) group are from those of other sources and of its lang."""
+    return divergence.audit(table(spark, folder, "documents"))
