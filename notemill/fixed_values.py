@@ -42,6 +42,7 @@ REFERENCE_SEPARATOR = "; "
 # --- fixed values: markup ---------------------------------------------------------------------
 DROPPED_ELEMENTS = ("notes", "annotation")
 DROPPED_ATTRIBUTE = "metaid"
+PARAGRAPH_ADDRESS = "http://www.w3.org/1999/xhtml"
 
 # --- fixed values: sentence filter ------------------------------------------------------------
 ONLY_PUNCTUATION = r'^\W+$'          # whitespace is a non-word character too

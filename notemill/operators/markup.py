@@ -1,7 +1,7 @@
-"""Records out of markup held in a string column.
+"""Records out of markup held in a string column, which need not parse.
 
-The expressions are for flat (not self-nested) elements of possibly broken markup. Well-formed files
-are read by ``notemill.sources.files.markup_records``.
+The expressions are for flat elements, ``nested_elements`` for those that hold others of their name. Whole
+well-formed documents are read by ``notemill.operators.parsing``.
 """
 
 import re
@@ -26,11 +26,51 @@ def elements(markup: Column, tag: str) -> Column:
     return F.regexp_extract_all(markup, F.lit(rf"(?s){_start(tag)}(?:/>|>.*?</{_PREFIX}{tag}>)"), F.lit(0))
 
 
+def nested_elements(markup: Column, tag: str) -> Column:
+    """(depth, element) of every ``<tag ...>...</tag>`` or ``<tag .../>``, those within others of the name too, in
+    document order; depth counts from 1.
+
+    One pass over the tags of that name. The open ones are a stack; an end tag closes the last of them. A tag that is
+    never closed gives no element, an end tag without a beginning is passed over. Comments are no markup.
+    """
+    plain = F.regexp_replace(markup, "(?s)<!--.*?-->", "")
+    pattern = rf"(?s)</?{_PREFIX}{tag}(?:\s[^>]*)?/?>"
+    tags, between = F.regexp_extract_all(plain, F.lit(pattern), F.lit(0)), F.split(plain, pattern, -1)
+    numbers = "array<struct<first:int,last:int,depth:int>>"
+
+    def step(state: Column, at: Column, sign: Column) -> Column:
+        stack, found = state["stack"], state["found"]
+        here = F.array(F.struct(at.alias("first"), at.alias("last"), (F.size(stack) + 1).alias("depth")))
+        top = F.array(F.struct(F.element_at(stack, -1).alias("first"), at.alias("last"), F.size(stack).alias("depth")))
+        ends, alone = F.startswith(sign, F.lit("</")), F.endswith(sign, F.lit("/>"))
+        return F.struct(
+            F.when(ends, F.slice(stack, F.lit(1), F.greatest(F.size(stack) - 1, F.lit(0)))).when(alone, stack)
+            .otherwise(F.concat(stack, F.array(at))).alias("stack"),
+            F.when(ends & (F.size(stack) > 0), F.concat(found, top)).when(~ends & alone, F.concat(found, here))
+            .otherwise(found).alias("found"))
+
+    begin = F.struct(F.array().cast("array<int>").alias("stack"), F.array().cast(numbers).alias("found"))
+    pairs = F.transform(tags, lambda t, i: F.struct(i.cast("int").alias("at"), t.alias("tag"), F.get(between, i + 1).alias("after")))
+
+    def written(held: Column) -> Column:
+        """Elements out of the tags and the text after each, both taken once."""
+        found = F.aggregate(held, begin, lambda s, x: step(s, x["at"], x["tag"]), lambda s: F.array_sort(s["found"]))
+        return F.transform(found, lambda f: F.struct(f["depth"].alias("depth"), F.concat(
+            F.array_join(F.transform(F.slice(held, f["first"] + 1, f["last"] - f["first"]), lambda x: F.concat(x["tag"], x["after"])), ""),
+            F.get(held, f["last"])["tag"]).alias("element")))
+
+    return F.element_at(F.transform(F.array(pairs), written), 1)
+
+
 def root_elements(document: Column, tag: str) -> Column:
     """Elements with the prefix of the document's root; comments are no markup, CDATA sections are text."""
+    def of_root(plain: Column) -> Column:
+        opening = F.concat(F.lit("<"), F.regexp_extract(plain, r"<([\w.-]+:)?[\w.-]+", 1), F.lit(tag))
+        both = F.array(F.struct(opening.alias("opening"), elements(plain, tag).alias("all")))
+        return F.element_at(F.transform(both, lambda b: F.filter(b["all"], lambda e: F.startswith(e, b["opening"]))), 1)
+
     plain = F.regexp_replace(without_cdata(document), "(?s)<!--.*?-->", "")
-    opening = F.concat(F.lit("<"), F.regexp_extract(plain, r"<([\w.-]+:)?[\w.-]+", 1), F.lit(tag))
-    return F.filter(elements(plain, tag), lambda e: F.startswith(e, opening))
+    return F.element_at(F.transform(F.array(plain), of_root), 1)
 
 
 def without_cdata(document: Column) -> Column:

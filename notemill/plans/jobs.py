@@ -6,26 +6,26 @@ Each job reads what the one before it wrote, so a lost executor repeats one stag
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notemill.operators import cleaning, dedup, markup, references, splits
+from notemill import fixed_values as fv
+from notemill.functions import text as tx
+from notemill.operators import cleaning, dedup, parsing, references, splits
 from notemill.session import materialise
 from notemill.sources import files, sinks
 
 REACTION_COLUMNS = ("file_id", "reaction_id", "original_notes", "notes", "only_references", "snippet")
 
 
-def parsed_files(documents: DataFrame, tag: str = "reaction") -> DataFrame:
-    """file_id, good, elements of whole markup documents (file_id, value); a file that does not parse has none."""
-    good = files.well_formed(F.col("value"))
-    return documents.select("file_id", good.alias("good"), F.when(
-        good, markup.root_elements(F.col("value"), tag)).otherwise(F.array().cast("array<string>")).alias("elements"))
+def parsed_files(documents: DataFrame, tag: str = "reaction", paragraph: str | None = fv.PARAGRAPH_ADDRESS) -> DataFrame:
+    """file_id, and what ``parsing.parsed`` says of whole markup documents (file_id, value)."""
+    read = documents.select("file_id", parsing.parsed(F.col("value"), tag, paragraph).alias("_read"))
+    return read.select("file_id", "_read.*")
 
 
 def reaction_rows(parsed: DataFrame) -> DataFrame:
     """Note rows out of the elements of parsed files, in document order by ``row_order``."""
-    found = parsed.select("file_id", F.posexplode("elements").alias("position", "element"))
-    rows = found.select(
-        "file_id", "position", markup.attribute(F.col("element"), "id").alias("reaction_id"),
-        markup.note_text(F.col("element")).alias("original_notes"), markup.snippet(F.col("element")).alias("snippet"))
+    rows = parsed.select("file_id", F.inline("elements")).select(
+        "file_id", "position", F.col("id").alias("reaction_id"), F.col("note").alias("original_notes"),
+        tx.normalise_lines(F.col("element")).alias("snippet"))
     cleaned = cleaning.clean_notes(rows)
     order = F.concat_ws(":", "file_id", F.lpad(F.col("position").cast("string"), 9, "0"))
     return cleaned.select(*REACTION_COLUMNS, order.alias("row_order"))
@@ -34,12 +34,13 @@ def reaction_rows(parsed: DataFrame) -> DataFrame:
 def build_corpus(spark: SparkSession, folder: str, out: str, names: str = "*.sbml") -> None:
     """Markup files to ``reactions``, ``file_counts`` and ``broken_files``.
 
-    A file that does not parse gives no rows and the count 0, and is listed; the others go on.
+    A file that does not parse gives no rows and the count 0, and is listed with the parser's message and the line
+    and column it stopped at; the others go on.
     """
     parsed = materialise(parsed_files(files.markup_documents(spark, folder, names)), "files")
     sinks.write_table(reaction_rows(parsed), f"{out}/reactions")
     sinks.write_table(parsed.select("file_id", F.size("elements").cast("long").alias("reaction_count")), f"{out}/file_counts")
-    sinks.write_table(parsed.filter("not good").select("file_id"), f"{out}/broken_files")
+    sinks.write_table(parsed.filter("message is not null").select("file_id", "message", "line", "column"), f"{out}/broken_files")
 
 
 def summarise_files(spark: SparkSession, out: str) -> None:

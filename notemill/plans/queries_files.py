@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from notemill import fixed_values as fv
 from notemill.operators import dedup, splits
 from notemill.plans import jobs, sql
 from notemill.plans.queries_splits import CATEGORIES, split_sql
@@ -31,8 +32,8 @@ def _markup_files(spark, folder, break_every: int = 0):
     path = scratch_path(spark, "markup")
     element = F.concat(
         F.lit('<sbml:reaction sbml:metaid="m'), F.col("doc_id"), F.lit('" id="R-'), F.col("doc_id"),
-        F.lit('" name="'), F.col("source"), F.lit('"><notes><p xmlns="urn:p">'), _escaped("original_notes"),
-        F.lit('<b>bold</b></p></notes><annotation>a</annotation><sbml:listOfReactants lang="'), F.col("lang"),
+        F.lit('" name="'), F.col("source"), F.lit('"><sbml:notes><p xmlns="http://www.w3.org/1999/xhtml">'), _escaped("original_notes"),
+        F.lit('<b>bold</b></p></sbml:notes><annotation>a</annotation><sbml:listOfReactants lang="'), F.col("lang"),
         F.lit('"></sbml:listOfReactants></sbml:reaction>'))
     number = F.floor(F.col("doc_id") / RECORDS_PER_FILE)
     file = decorated(spark, folder).groupBy(number.alias("file")).agg(
@@ -101,6 +102,35 @@ def broken_files(spark, folder):
                         F.coalesce("reactions", F.lit(0)).alias("reactions"))
 
 
+@query(f"""WITH {sql.decorated()},
+bodies AS (SELECT doc_id // {RECORDS_PER_FILE} AS file, string_agg('<sbml:reaction sbml:metaid="m' || doc_id || '" id="R-' || doc_id || '" name="' || source ||
+  '"><sbml:notes><p xmlns="http://www.w3.org/1999/xhtml">' || replace(replace(replace({_PLAIN}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') ||
+  '<b>bold</b></p></sbml:notes><annotation>a</annotation><sbml:listOfReactants lang="' || lang || '"></sbml:listOfReactants></sbml:reaction>',
+  chr(10) ORDER BY doc_id) AS body FROM decorated GROUP BY 1),
+texts AS (SELECT file, string_split('<sbml:sbml xmlns:sbml="urn:sbml"><sbml:model>' || body || '</sbml:model>' || chr(10), chr(10)) AS lines FROM bodies WHERE file % 3 = 0)
+SELECT file, 'no element found' AS message, len(lines)::INTEGER AS line, length(lines[-1])::INTEGER AS "column" FROM texts""")
+def broken_file_messages(spark, folder):
+    """What the parser says of every third file, which is cut off, and where it stopped."""
+    out, path = scratch_path(spark, "corpus"), _markup_files(spark, folder, 3)
+    jobs.build_corpus(spark, path, out, "*.txt")
+    broken = spark.read.parquet(f"{out}/broken_files")
+    return _file_numbers(spark, path).join(broken, "file_id").select("file", "message", "line", "column")
+
+
+@query(f"""WITH {sql.decorated()}, texts AS (SELECT doc_id, nullif({sql.strip(_PLAIN)}, '') AS note FROM decorated)
+SELECT 'R-' || doc_id AS id, 1 AS depth, note FROM texts UNION ALL SELECT 'S-' || doc_id, 3, nullif('own', '') FROM texts""")
+def nested_file_records(spark, folder):
+    """One file per row: a reaction within a reaction, its prefix bound anew to the same address, and a paragraph that
+    follows a division with one of its own."""
+    address = fv.PARAGRAPH_ADDRESS
+    text = F.concat(
+        F.lit('<model xmlns="urn:sbml"><t:reaction xmlns:t="urn:sbml" id="R-'), F.col("doc_id"), F.lit('"><list><reaction id="S-'), F.col("doc_id"),
+        F.lit(f'"><notes><div>a<div>b</div><p xmlns="{address}">inner</p></div><h:p xmlns:h="{address}">own</h:p></notes></reaction></list><t:notes><p xmlns="{address}">'),
+        _escaped("original_notes"), F.lit("</p></t:notes></t:reaction><reaction xmlns='urn:other'/></model>"))
+    documents = decorated(spark, folder).select(F.col("doc_id").cast("string").alias("file_id"), text.alias("value"))
+    return jobs.parsed_files(documents).select(F.inline("elements")).select("id", "depth", F.nullif("note", F.lit("")).alias("note"))
+
+
 @query("SELECT p_partkey AS id, p_name AS name FROM part WHERE p_type = 'ECONOMY'")
 def tab_separated(spark, folder):
     path = scratch_path(spark, "tsv")

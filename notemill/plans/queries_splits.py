@@ -120,6 +120,23 @@ def link_elements(spark, folder):
     return rows.select("page_id", F.col("position").cast("long").alias("position"), "element")
 
 
+@query(r"""WITH tags AS (SELECT page_id, unnest(range(len(t))) AS place, unnest(t) AS tag, p FROM (
+  SELECT page_id, regexp_extract_all(h, '</?div(?:\s[^>]*)?/?>') AS t, regexp_split_to_array(h, '</?div(?:\s[^>]*)?/?>') AS p
+  FROM (SELECT page_id, regexp_replace('<div>' || html || '<div/></div>', '(?s)<!--.*?-->', '', 'g') AS h FROM pages))),
+depths AS (SELECT *, starts_with(tag, '</') AS ends, sum(CASE WHEN starts_with(tag, '</') THEN -1 WHEN ends_with(tag, '/>') THEN 0 ELSE 1 END)
+  OVER (PARTITION BY page_id ORDER BY place) AS running FROM tags),
+levels AS (SELECT *, CASE WHEN ends OR ends_with(tag, '/>') THEN running + 1 ELSE running END AS depth FROM depths),
+closed AS (SELECT page_id, place, depth, CASE WHEN ends_with(tag, '/>') THEN place ELSE lead(place) OVER (PARTITION BY page_id, depth ORDER BY place) END AS last, ends, p FROM levels),
+texts AS (SELECT c.page_id, c.place, c.depth, string_agg(t.tag || CASE WHEN t.place < c.last THEN t.p[t.place + 2] ELSE '' END, '' ORDER BY t.place) AS element
+  FROM closed c JOIN tags t ON c.page_id = t.page_id AND t.place BETWEEN c.place AND c.last WHERE NOT ends GROUP BY 1, 2, 3)
+SELECT page_id, depth::INTEGER AS depth, element FROM texts""")
+def nested_elements(spark, folder):
+    """Every ``div`` of the pages, each put into one more, whole: those within others too."""
+    whole = F.concat(F.lit("<div>"), F.col("html"), F.lit("<div/></div>"))
+    found = _pages(spark, folder).select("page_id", F.explode(markup.nested_elements(whole, "div")).alias("e"))
+    return found.select("page_id", "e.depth", "e.element")
+
+
 @query("SELECT page_id, len(regexp_extract_all(html, '(?s)<(?:[\\w.-]+:)?li(?:\\s[^>]*?)?(?:/>|>.*?</(?:[\\w.-]+:)?li>)', 0)) AS element_count FROM pages")
 def element_counts(spark, folder):
     return markup.element_counts(_pages(spark, folder), "page_id", "html", "li")

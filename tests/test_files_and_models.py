@@ -1,13 +1,14 @@
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from notemill.operators import evaluation as ev, markup, python_functions as pf
+from notemill.operators import evaluation as ev, markup, parsing, python_functions as pf
 from notemill.plans import jobs
 from notemill.sources import files, sinks
 
-REACTION = ('<reaction metaid="m" id="{i}" name="n">\n  <notes><p xmlns="urn:h">Text {i} (Smith 2011) &amp; more <b>x</b> tail</p></notes>\n'
+REACTION = ('<reaction metaid="m" id="{i}" name="n">\n  <notes><p xmlns="http://www.w3.org/1999/xhtml">Text {i} (Smith 2011) &amp; more <b>x</b> tail</p></notes>\n'
             '  <annotation><a/></annotation>\n  <listOfProducts s:x="1"/>\n</reaction>')
 
 
@@ -18,7 +19,7 @@ def folder(tmp_path):
         (tmp_path / name).write_text(text, encoding="utf-8")
     body = REACTION.format(i="R-1") + REACTION.format(i="R-2")
     write("good.sbml", f'<sbml xmlns="urn:s" xmlns:s="urn:t"><model>{body}</model></sbml>')
-    prefixed = REACTION.format(i="R-3").replace("<reaction", "<q:reaction").replace("</reaction", "</q:reaction")
+    prefixed = REACTION.format(i="R-3").replace("<reaction", "<q:reaction").replace("</reaction", "</q:reaction").replace("notes>", "q:notes>")
     write("prefixed.sbml", f'<q:sbml xmlns:q="urn:s" xmlns:s="urn:t"><q:model>{prefixed}<reaction/></q:model></q:sbml>')
     write("none.sbml", '<sbml xmlns="urn:s"><model/></sbml>')
     write("broken.sbml", f"<sbml>{body}<b></sbml>")
@@ -32,7 +33,8 @@ def test_corpus_job(spark, folder, tmp_path):
     jobs.build_corpus(spark, folder, out)
     counts = {r["file_id"]: r["reaction_count"] for r in spark.read.parquet(out + "/file_counts").collect()}
     assert counts == {"good.sbml": 2, "prefixed.sbml": 1, "none.sbml": 0, "broken.sbml": 0, "cut.sbml": 0}
-    assert {r[0] for r in spark.read.parquet(out + "/broken_files").collect()} == {"broken.sbml", "cut.sbml"}
+    broken = {r["file_id"]: (r["message"], r["line"]) for r in spark.read.parquet(out + "/broken_files").collect()}
+    assert broken == {"broken.sbml": ("unbound prefix", 4), "cut.sbml": ("unbound prefix", 4)}
     rows = {r["reaction_id"]: r for r in spark.read.parquet(out + "/reactions").collect()}
     assert set(rows) == {"R-1", "R-2", "R-3"}
     assert rows["R-1"]["original_notes"] == "Text R-1 (Smith 2011) & more" and rows["R-1"]["notes"] == "Text R-1 & more"
@@ -45,6 +47,52 @@ def test_corpus_job(spark, folder, tmp_path):
     assert spark.read.json(data).count() == spark.read.json(categories).count() == 3
 
 
+def elements_of(spark, *documents, **options):
+    df = spark.createDataFrame(list(enumerate(documents)), "i int, v string").orderBy("i")
+    return [r[0] for r in df.select(parsing.parsed(F.col("v"), "reaction", **options)).collect()]
+
+
+def test_nested_notes_and_elements(spark):
+    page = "<p xmlns='http://www.w3.org/1999/xhtml'>%s</p>"
+    found = elements_of(
+        spark,
+        f"<s xmlns='u'><reaction id='1'><notes><div>a<div>b</div>{page % 'inner'}</div>{page % 'own'}</notes></reaction></s>",
+        f"<s xmlns='u'><t:reaction xmlns:t='u' t:id='no' id='2'><t:notes>lead{page % ''}</t:notes></t:reaction><reaction xmlns='v' id='3'/></s>",
+        f"<s><reaction id='4'><list><reaction id='5'><notes>{page % 'x<b>y</b>z'}</notes></reaction></list></reaction></s>",
+        "<s><reaction id='6'><list><x><notes>of x</notes></x></list><notes><p>other address</p></notes><notes>second</notes></reaction></s>",
+        "<reaction><reaction id='7'/></reaction>", None)
+    notes = [[(e["id"], e["note"]) for e in r["elements"]] for r in found[:-1]]
+    assert notes == [[("1", "own")], [("2", "lead")], [("4", None), ("5", "x")], [("6", None)], [("7", None)]]
+    assert found[-1] is None and [e["depth"] for e in found[2]["elements"]] == [1, 3]
+    assert [e["element"] for e in found[2]["elements"]] == ["<reaction id='4'><list><reaction id='5'></reaction></list></reaction>", "<reaction id='5'></reaction>"]
+    whole = elements_of(spark, f"<s><reaction><notes>{page % 'x<b>y<i>!</i></b>z'}</notes></reaction></s>",
+                        "<s><reaction><notes><p>any<b>y</b></p></notes></reaction></s>", full_text=True, paragraph=None)
+    assert [r["elements"][0]["note"] for r in whole] == ["xy!z", "anyy"]
+
+
+def test_elements_are_written_plainly(spark):
+    found = elements_of(
+        spark, "<s xmlns='u' xmlns:z='q'><reaction id='é' z:k=\" a:b='x' > \" z:metaid='9'><!-- <notes> --><z:a xmlns:y='w' y:l='1'/><?go on?>"
+        "<![CDATA[<notes>&]]> a:b='c'<annotation><annotation>x</annotation>y</annotation>é</reaction></s>")
+    assert found[0]["elements"][0]["element"] == "<reaction id='é' k=\" a:b='x' > \"><a l='1'/>&lt;notes&gt;&amp; a:b='c'é</reaction>"
+
+
+def test_where_a_document_breaks(spark):
+    found = elements_of(spark, "<s><reaction></s>", "", "<s>\n\né<reaction>", "<s>&no;</s>", "<a:s/>", "<s/>x")
+    assert [(r["message"], r["line"], r["column"]) for r in found] == [
+        ("mismatched tag", 1, 15), ("no element found", 1, 0), ("no element found", 3, 11), ("undefined entity", 1, 3), ("unbound prefix", 1, 0),
+        ("junk after document element", 1, 4)]
+    assert all(r["elements"] == [] for r in found)
+
+
+def test_many_elements_cost_no_more_each(spark):
+    """Twice the elements, about twice the work: nothing is looked at again for every element."""
+    document = "<s>" + "<reaction id='x'><notes>n</notes><l a='1'><m/></l></reaction>" * 30_000 + "</s>"
+    began = time.time()
+    found = elements_of(spark, document)[0]["elements"]
+    assert len(found) == 30_000 and found[-1]["element"] == "<reaction id='x'><l a='1'><m/></l></reaction>" and time.time() - began < 30
+
+
 def test_xml_source_and_counts(spark, folder):
     records = files.markup_records(spark, folder, "reaction", "_id string")
     good = records.filter(F.col(files.BROKEN).isNull() & F.col("_id").isNotNull())
@@ -60,6 +108,14 @@ def test_elements_of_the_root(spark):
     assert [r[0] for r in got] == [["a&b"], ["2"], None]
 
 
+def test_nested_elements_of_broken_markup(spark):
+    values = ["<d>a<d k='1' />b<d>c</d></d><d>", "</d><x:d>1</x:d><!-- <d> --><dd></dd><d\n>2</d>", "no tags", "", None, "<d/><d></d>"]
+    df = spark.createDataFrame(list(enumerate(values)), "i int, v string").orderBy("i")
+    got = [None if r[0] is None else [tuple(e) for e in r[0]] for r in df.select(markup.nested_elements(F.col("v"), "d")).collect()]
+    assert got == [[(1, "<d>a<d k='1' />b<d>c</d></d>"), (2, "<d k='1' />"), (2, "<d>c</d>")], [(1, "<x:d>1</x:d>"), (1, "<d\n>2</d>")], [], [], None,
+                   [(1, "<d/>"), (1, "<d></d>")]]
+
+
 def test_cdata_is_text(spark):
     values = ["<m><r><notes><p><![CDATA[a < b & <!-- c --> <r/>]]> tail</p></notes></r></m>", "<m><r><notes><p>x<![CDATA[]]>y</p></notes></r><r/></m>",
               "<m><r><notes><p>cut <![CDATA[ here</p></notes></r></m>", None]
