@@ -1,17 +1,14 @@
-"""Token tables, vocabularies and tokenizers that look words up.
-
-A lookup is: words of a row exploded with their place, joined to the table, collected again per row.
-Nothing but the row key travels with the words, and a row's words are combined before the shuffle, so
-what is moved is one list per row.
-"""
+"""Token tables, vocabularies and tokenizers that look words up (see ``lookups``)."""
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from notemill import fixed_values as fv
 from notemill.functions import tokens as tk
-from notemill.operators import joins, ranks
+from notemill.operators import joins, lookups, ranks
 from notemill.operators.statistics import describe
+from notemill.session import materialise
 
 UNKNOWN = "<unk>"
 
@@ -33,24 +30,27 @@ def top_tokens(df: DataFrame, tokens: Column, top: int) -> DataFrame:
     return token_frequency(df, tokens).orderBy(F.desc("n"), "token").limit(top)
 
 
-def _placed(df: DataFrame, key: str, tokens: Column) -> DataFrame:
-    return df.select(key, F.posexplode_outer(tokens).alias("_place", "token"))
-
-
-def _collected(placed: DataFrame, key: str, value: Column, name: str) -> DataFrame:
-    """Values in the order of their places, one array per key; null values are left out."""
-    kept = F.when(value.isNotNull(), F.struct(F.col("_place"), value.alias("v")))
-    grouped = placed.groupBy(key).agg(F.array_sort(F.collect_list(kept)).alias("_all"))
-    return grouped.select(key, F.col("_all.v").alias(name))
+def _cut(known: set[str], words: list[str]) -> list[str]:
+    """Known words whole, all others in pieces."""
+    size, out = tk.PIECE_LENGTH, []
+    for word in words:
+        if word in known:
+            out.append(word)
+        else:
+            out += [word[i:i + size] for i in range(0, len(word), size)]
+    return out
 
 
 def subword_tokens(df: DataFrame, key: str, column: str, whole_words: DataFrame, small: bool | None = None) -> DataFrame:
     """key, tokens: words of the table stay whole, all others are cut into short pieces."""
-    known = whole_words.select("token", F.lit(True).alias("_known"))
-    placed = joins.lookup_join(_placed(df, key, tk.words(F.col(column))), known, "token",
-                               F.struct(key, "_place"), small=small)
+    table, small = lookups.measured(whole_words.select("token"), small)
+    words = tk.words(F.col(column))
+    if small:
+        cut = lookups.in_place(table, lambda t: frozenset(t.column("token").to_pylist()), _cut, "string")
+        return df.select(key, cut(words).alias("tokens"))
+    found = lookups.by_dictionary(df, key, words, table.withColumn("_known", F.lit(True)))
     parts = F.when(F.col("_known"), F.array("token")).otherwise(tk.pieces(F.col("token")))
-    return _collected(placed, key, parts, "_parts").select(key, F.flatten("_parts").alias("tokens"))
+    return lookups.in_order(found, key, parts, "_parts").select(key, F.flatten("_parts").alias("tokens"))
 
 
 def term_keys(terms: DataFrame, column: str = "term") -> DataFrame:
@@ -60,19 +60,57 @@ def term_keys(terms: DataFrame, column: str = "term") -> DataFrame:
     return words.filter(F.size("_w") > 1).select(F.array_join("_w", " ").alias("gram"), F.size("_w").alias("_n")).distinct()
 
 
-def term_tokens(df: DataFrame, key: str, column: str, terms: DataFrame) -> DataFrame:
+def _trie(terms: pa.Table) -> dict:
+    """Terms as nested dictionaries by word; a term's end holds the whole term under the empty word."""
+    root: dict = {}
+    for gram in terms.column("gram").to_pylist():
+        node = root
+        for word in gram.split(" "):
+            node = node.setdefault(word, {})
+        node[""] = gram
+    return root
+
+
+def _folded(root: dict, words: list[str]) -> list[str]:
+    """One walk: from each place the longest path of the trie that ends a term."""
+    out, at, count = [], 0, len(words)
+    while at < count:
+        node, place, term, after = root.get(words[at]), at + 1, words[at], at + 1
+        while node is not None:
+            if "" in node:
+                term, after = node[""], place
+            if place == count:
+                break
+            node, place = node.get(words[place]), place + 1
+        out.append(term)
+        at = after
+    return out
+
+
+def term_tokens(df: DataFrame, key: str, column: str, terms: DataFrame, small: bool | None = None) -> DataFrame:
     """key, tokens: words, but the words of a listed term make one token; leftmost first, then longest.
 
-    Only the word counts that terms have are tried. The non-overlapping choice runs over the places
-    where a term was found, not over all words.
+    ``terms`` are those of ``term_keys``, of any number of words. A table that is small enough is a trie which is walked
+    along every text in place. Beyond that the neighbouring word pairs of a text, each once with its places, meet
+    the pairs that terms begin with; only where one does are the longer terms of that beginning tried, so that no
+    word run is moved at places where no term can start.
     """
-    lengths = terms.agg(F.sort_array(F.collect_set("_n")).alias("l")).scalar()
+    terms, small = lookups.measured(terms.select("gram", "_n"), small)
     words = df.select(key, tk.words(F.col(column)).alias("_words"))
-    tries = words.select(key, "_words", F.explode(lengths).alias("_n"))
-    grams = tries.filter(F.size("_words") >= F.col("_n")).select(key, "_n", F.posexplode(F.transform(
-        F.sequence(F.lit(1), F.size("_words") - F.col("_n") + 1),
-        lambda i: F.array_join(F.slice("_words", i, F.col("_n")), " "))).alias("_place", "gram"))
-    found = joins.lookup_join(grams, terms.select("gram"), "gram", F.struct(key, "_place"), how="inner")
+    if small:
+        fold = lookups.in_place(terms.select("gram"), _trie, _folded, "string")
+        return words.select(key, fold("_words").alias("tokens"))
+    pair = F.array_join(F.slice(F.split("gram", " "), 1, 2), " ")
+    begins = terms.groupBy(pair.alias("token")).agg(F.sort_array(F.collect_set("_n")).alias("_lengths"))
+    pairs = F.transform(F.slice("_words", F.lit(1), F.greatest(F.size("_words") - 1, F.lit(0))),
+                        lambda w, i: F.concat(w, F.lit(" "), F.get("_words", i + 1)))
+    starts = lookups.by_dictionary(words, key, pairs, begins).filter(F.col("_lengths").isNotNull())
+    tried = starts.groupBy(key).agg(F.collect_list(F.struct("places", "_lengths")).alias("_starts"))
+    rows = words.join(tried, key)
+    rows = (rows.select(key, "_words", F.inline("_starts")).withColumn("_place", F.explode("places"))
+            .withColumn("_n", F.explode("_lengths")).filter(F.col("_place") + F.col("_n") <= F.size("_words")))
+    grams = rows.select(key, "_n", "_place", F.array_join(F.slice("_words", F.col("_place") + 1, F.col("_n")), " ").alias("gram"))
+    found = joins.lookup_join(grams, terms.select("gram"), "gram", F.struct(key, "_place"), how="inner", small=False)
     spans = found.groupBy(key).agg(F.array_sort(F.collect_list(
         F.struct(F.col("_place").alias("at"), (-F.col("_n")).alias("minus_n")))).alias("_spans"))
     return words.join(spans, key, "left").select(key, _fold_spans("_words", "_spans").alias("tokens"))
@@ -102,8 +140,8 @@ def new_tokens(tokens: DataFrame, existing: DataFrame) -> DataFrame:
 
 
 def numbered(tokens: DataFrame, start: int = 0) -> DataFrame:
-    """token, id: consecutive ids in the order of the tokens."""
-    return ranks.dense_index(tokens, ["token"], "id", start)
+    """token, id: consecutive ids in the order of the tokens. They are written first, as sorting by range reads them twice."""
+    return ranks.dense_index(materialise(tokens, "tokens"), ["token"], "id", start)
 
 
 def extend_vocabulary(vocabulary: DataFrame, tokens: DataFrame) -> DataFrame:
@@ -143,10 +181,13 @@ def id_of(vocabulary: DataFrame, token: str) -> int:
 def encode(df: DataFrame, key: str, tokens: Column, vocabulary: DataFrame, unknown_id: int, name: str,
            small: bool | None = None) -> DataFrame:
     """key, ids of the tokens in order; tokens outside the vocabulary get ``unknown_id``."""
-    placed = joins.lookup_join(_placed(df, key, tokens), vocabulary.select("token", "id"), "token",
-                               F.struct(key, "_place"), small=small)
-    ids = F.when(F.col("token").isNotNull(), F.coalesce("id", F.lit(unknown_id)).cast("int"))
-    return _collected(placed, key, ids, name)
+    table, small = lookups.measured(vocabulary.select("token", F.col("id").alias("_id")), small)
+    if small:
+        ids = lookups.in_place(table, lambda t: dict(zip(t.column("token").to_pylist(), t.column("_id").to_pylist())),
+                               lambda known, row: [known.get(t, unknown_id) for t in row], "int")
+        return df.select(key, ids(tokens).alias(name))
+    found = lookups.by_dictionary(df, key, tokens, table)
+    return lookups.in_order(found, key, F.coalesce("_id", F.lit(unknown_id)).cast("int"), name)
 
 
 def tokenisation_statistics(df: DataFrame, columns, tokens=tk.words) -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from notemill import fixed_values as fv
 from notemill.functions import tokens as tk
-from notemill.operators import training_rows as tr, vocabulary as vb
+from notemill.operators import lookups, training_rows as tr, vocabulary as vb
 
 
 def brute_terms(words, terms):
@@ -18,18 +18,46 @@ def brute_terms(words, terms):
     return out
 
 
-@pytest.mark.parametrize("partitions", [1, 5])
-def test_terms_equal_brute_force(spark, partitions):
+@pytest.mark.parametrize("partitions, small", [(1, True), (5, False), (2, None)])
+def test_terms_equal_brute_force(spark, partitions, small):
     rng = random.Random(5)
     rows = [(i, " ".join(rng.choices("abcd", k=rng.randint(0, 40)))) for i in range(60)] + [(60, None), (61, "a")]
     terms = ["a b", "b c d", "a b c d", "d d", "c", "a b"]
     table = vb.term_keys(spark.createDataFrame([(t,) for t in terms], "term string"))
     df = spark.createDataFrame(rows, "id long, text string").repartition(partitions)
-    got = {r["id"]: r["tokens"] for r in vb.term_tokens(df, "id", "text", table).collect()}
+    got = {r["id"]: r["tokens"] for r in vb.term_tokens(df, "id", "text", table, small).collect()}
     known = {tuple(t.split()) for t in terms}
     assert got == {i: brute_terms((text or "").split(), known) for i, text in rows}
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_long_terms_and_those_cut_off_by_the_end(spark, small):
+    terms = ["a b c d e f g", "a b", "b c d", "g a", "x x x x x x"]
+    texts = ["a b c d e f g a b", "a b c d e f", "x x x x x x x x x x x x x", "g a b c", "b c", "a", ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    table = vb.term_keys(spark.createDataFrame([(t,) for t in terms], "term string"))
+    got = [r["tokens"] for r in vb.term_tokens(df, "id", "text", table, small).orderBy("id").collect()]
+    assert got == [["a b c d e f g", "a b"], ["a b", "c", "d", "e", "f"], ["x x x x x x"] * 2 + ["x"], ["g a", "b", "c"], ["b", "c"], ["a"], []]
+
+
+def test_one_row_per_distinct_token(spark):
+    rng = random.Random(8)
+    rows = [(i, [rng.choice(["a", "b", "é", "", "longer"]) for _ in range(rng.randint(0, 30))]) for i in range(40)] + [(40, None), (41, ["z"] * 5000)]
+    df = spark.createDataFrame(rows, "id long, t array<string>")
+    placed = lookups.distinct_tokens(df, "id", F.col("t"))
+    assert placed.filter("places is not null").count() == sum(len(set(t or [])) for _, t in rows)
+    back = lookups.in_order(placed, "id", F.col("token"), "t")
+    assert {r["id"]: r["t"] for r in back.collect()} == {i: t or [] for i, t in rows}
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_encoding_in_place_and_by_dictionary(spark, small):
+    df = spark.createDataFrame([(1, ["b", "a", "b", "zz"]), (2, []), (3, ["a"])], "id long, t array<string>")
+    vocabulary = spark.createDataFrame([("a", 7), ("b", 9)], "token string, id long")
+    got = {r["id"]: r["ids"] for r in vb.encode(df, "id", F.col("t"), vocabulary, 0, "ids", small).collect()}
+    assert got == {1: [9, 7, 9, 0], 2: [], 3: [7]}
+
+
 @pytest.mark.parametrize("small", [True, False])
 def test_subwords(spark, small):
     df = spark.createDataFrame([(1, "whole broken whole"), (2, None), (3, "")], "id long, text string")
