@@ -1,8 +1,9 @@
 """Looking up the tokens of texts in a table, in place or by a dictionary per text.
 
-A table of measured, small size goes to every task and texts stay where they are: nothing is shuffled. A larger one is
-met by the distinct tokens of each text, each of which carries the places where it stands: one row per text and
-distinct token, not one per occurrence. The places put the answers in order again, so that no text is moved.
+A table of measured, small size goes to every Python worker and texts stay where they are: nothing is shuffled. A larger
+one is met by the distinct tokens of each text, each of which carries the places where it stands: one row per text and
+distinct token, not one per occurrence. It is broadcast to the executors or joined by token, hot tokens apart, as its
+measured size says (``joins.lookup_join``). The places put the answers in order again, so that no text is moved.
 """
 
 from collections.abc import Callable
@@ -16,15 +17,17 @@ from notemill.operators.once import evaluate_once
 from notemill.session import materialise
 
 #: Rows and bytes of a table that every Python worker may hold.
-IN_PLACE_ROWS, IN_PLACE_BYTES = 500_000, 16 << 20
+IN_PLACE_ROWS, IN_PLACE_BYTES = 50_000, 4 << 20
 
 
-def measured(table: DataFrame, small: bool | None) -> tuple[DataFrame, bool]:
-    """The table, written if it has to be measured, and whether it may go to every task."""
+def measured(table: DataFrame, small: bool | None) -> tuple[DataFrame, bool, bool | None]:
+    """The table, written if it has to be measured; whether it may go to every Python worker, or at least be broadcast."""
     if small is not None:
-        return table, small
+        return table, small, small
     table = materialise(table, "lookup")
-    return table, joins.small_enough(table, IN_PLACE_ROWS, IN_PLACE_BYTES)
+    if joins.small_enough(table, IN_PLACE_ROWS, IN_PLACE_BYTES):
+        return table, True, True
+    return table, False, joins.small_enough(table)
 
 
 def in_place(table: DataFrame, make: Callable[[pa.Table], object], answer: Callable[[object, list], list], kind: str) -> Callable:
@@ -64,6 +67,6 @@ def in_order(found: DataFrame, key: str, value: Column, name: str) -> DataFrame:
     return grouped.select(key, F.transform(F.array_sort(flat), lambda x: x["v"]).alias(name))
 
 
-def by_dictionary(df: DataFrame, key: str, tokens: Column, table: DataFrame) -> DataFrame:
+def by_dictionary(df: DataFrame, key: str, tokens: Column, table: DataFrame, broadcast: bool | None = None) -> DataFrame:
     """key, token, places and the columns of ``table`` (unique by ``token``; nulls where it lacks the token)."""
-    return joins.lookup_join(distinct_tokens(df, key, tokens), table, "token", F.struct(key, "token"), small=False)
+    return joins.lookup_join(distinct_tokens(df, key, tokens), table, "token", F.struct(key, "token"), small=broadcast)

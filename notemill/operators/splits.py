@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from notemill import fixed_values as fv
 from notemill.functions import text as tx
-from notemill.operators import joins
+from notemill.operators import joins, ranks
 from notemill.operators.once import evaluate_once
 from notemill.operators.sampling import hash_order
 from notemill.session import materialise
 
 BUCKET_DIGITS = 4       # 65,536 hash buckets per stratum
+REMAINDERS = 4096       # classes of remainders
 
 
 def length_cuts(df: DataFrame, columns=("snippet", "notes"), null_as_word: bool = False) -> DataFrame:
@@ -47,33 +48,50 @@ def balance(df: DataFrame, column: str) -> DataFrame:
         (-F.col("m.col1") / F.col("l.n")).alias("ratio"))
 
 
-def _largest_remainder(counts: Column, total: Column, share: Column, stratum: str, name: str, df: DataFrame) -> DataFrame:
-    """Deal ``share`` out of ``total`` over the strata in proportion to ``counts``; ties by name.
+def _largest_remainder(strata: DataFrame, stratum: str, count: str, total: int, share: int, name: str) -> DataFrame:
+    """Deal ``share`` out of ``total`` over the strata in proportion to their ``count``; ties by name.
 
-    The window runs over one row per stratum. Products of row counts outgrow 64 bits, hence decimals.
+    Every stratum gets its whole part. Which ones get one more is a selection: strata are counted by the size of their
+    remainder in ``REMAINDERS`` classes, those above the class where the share ends get one, and only the strata of that
+    class are put in order, over all tasks. Products of row counts outgrow 64 bits, hence decimals.
     """
-    product = share.cast("decimal(19,0)") * counts.cast("decimal(19,0)")
-    rest = product % total.cast("decimal(19,0)")
-    df = df.withColumn("_rest", rest).withColumn(
-        "_whole", ((product - F.col("_rest")) / total.cast("decimal(19,0)")).cast("long"))
-    everything = Window.partitionBy(F.lit(0))
-    left = share - F.sum("_whole").over(everything)
-    place = F.row_number().over(everything.orderBy(F.desc("_rest"), stratum))
-    return df.withColumn(name, F.col("_whole") + F.when(place <= left, 1).otherwise(0)).drop("_whole", "_rest")
+    wide = [F.lit(v).cast("decimal(19,0)") for v in (share, total)]
+    product = wide[0] * F.col(count).cast("decimal(19,0)")
+    rest = (product % wide[1]).cast("decimal(19,0)")
+    dealt = strata.withColumns({"_rest": rest, "_whole": ((product - rest) / wide[1]).cast("long")})
+    size = F.floor(F.col("_rest") * F.lit(REMAINDERS).cast("decimal(19,0)") / wide[1])
+    dealt = materialise(dealt.withColumn("_class", F.least(size, F.lit(REMAINDERS - 1)).cast("int")), "dealt")
+    left, last = share - dealt.agg(F.sum("_whole").alias("n")).first()["n"], REMAINDERS
+    for row in sorted(dealt.groupBy("_class").agg(F.count("*").alias("n")).collect(), reverse=True):
+        last = row["_class"]
+        if row["n"] >= left:
+            break
+        left -= row["n"]
+    one = (F.col("_class") > last).cast("long")
+    if left:
+        inside = dealt.filter(F.col("_class") == last).select(stratum, "_rest")
+        placed = ranks.dense_index(inside, [F.desc("_rest"), stratum], "_place")
+        dealt = dealt.join(placed.filter(F.col("_place") < left).select(stratum, F.lit(1).cast("long").alias("_one")), stratum, "left")
+        one = F.coalesce("_one", one)
+    return dealt.withColumn(name, F.col("_whole") + one).select(*strata.columns, name)
 
 
 def allocate(counts: DataFrame, stratum: str, val: float, test: float) -> DataFrame:
-    """Rows of each stratum for train, val and test; the three totals are exact.
+    """Rows of each stratum (not null) for train, val and test; the three totals are exact.
 
-    First all held-out rows are dealt out, then the test rows among them.
+    First all held-out rows are dealt out, then the test rows among them. Only totals and class counts come to the driver.
     """
-    everything = Window.partitionBy(F.lit(0))
-    n = F.sum("n").over(everything)
-    held = F.ceil(F.lit(val + test) * F.col("_rows")).cast("long")
-    df = counts.withColumn("_rows", n).withColumn("_held", held)
-    df = df.withColumn("_tests", F.col("_held") - F.bround(F.lit(val) * F.col("_rows")).cast("long"))
-    df = _largest_remainder(F.col("n"), F.col("_rows"), F.col("_held"), stratum, "_held_here", df)
-    df = _largest_remainder(F.col("_held_here"), F.col("_held"), F.col("_tests"), stratum, "test", df)
+    counts = materialise(counts.select(stratum, "n"), "strata")
+    rows = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
+    sizes = rows.select("rows", F.ceil(F.lit(val + test) * F.col("rows")).cast("long").alias("held"),
+                        F.bround(F.lit(val) * F.col("rows")).cast("long").alias("vals")).first()
+    if not sizes["rows"]:
+        return counts.select(stratum, "n", *[F.lit(0).cast("long").alias(c) for c in ("train", "val", "test")])
+    df = _largest_remainder(counts, stratum, "n", sizes["rows"], sizes["held"], "_held_here")
+    if sizes["held"]:
+        df = _largest_remainder(df, stratum, "_held_here", sizes["held"], sizes["held"] - sizes["vals"], "test")
+    else:
+        df = df.withColumn("test", F.lit(0).cast("long"))
     return df.select(stratum, "n", (F.col("n") - F.col("_held_here")).alias("train"),
                      (F.col("_held_here") - F.col("test")).alias("val"), "test")
 

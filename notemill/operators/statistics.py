@@ -5,10 +5,12 @@ All aggregate value counts map-side. Lengths and counts have few distinct values
 ``exact_quantiles`` and ``describe_spread``, which never bring the values into one task.
 """
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from notemill.operators import ranks
+from notemill.operators import selection
 from notemill.session import materialise
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -45,46 +47,36 @@ def describe(df: DataFrame, column, *groups: str, population: bool = False) -> D
 
 
 def exact_quantiles(df: DataFrame, column: str, probabilities) -> DataFrame:
-    """One row with ``q`` = array of linearly interpolated quantiles, and ``n``.
-
-    Distinct values are sorted by range over all tasks; each quantile lies between two ranks, and the
-    rows that hold those ranks are found with a running total.
-    """
-    counts = value_counts(df, column)
-    running = ranks.running_total(counts, ["value"], "n", "before")
-    return _quantiles_of(running, probabilities)
+    """One row with ``q`` = array of linearly interpolated quantiles, and ``n``; see ``selection``."""
+    return selection.quantiles(df, column, probabilities)
 
 
-def _quantiles_of(running: DataFrame, probabilities) -> DataFrame:
-    total = running.agg(F.sum("n").alias("total")).scalar()
-    places = running.withColumn("_total", total)
-
-    def at(rank):
-        return F.max(F.when((rank >= F.col("before")) & (rank < F.col("before") + F.col("n")),
-                            F.col("value").cast("double")))
+def describe_spread(df: DataFrame, column: str, population: bool = False) -> DataFrame:
+    """``describe`` for a column of many distinct values."""
+    return describe_columns(df, [column], population=population).drop("column")
 
-    picked = [F.max("_total").alias("n")]
-    for i, probability in enumerate(probabilities):
-        rank = (F.col("_total") - 1) * F.lit(float(probability))
-        picked += [at(F.floor(rank)).alias(f"lo{i}"), at(F.ceil(rank)).alias(f"hi{i}")]
-    quantiles = []
-    for i, probability in enumerate(probabilities):
-        rank = (F.col("n") - 1) * F.lit(float(probability))
-        quantiles.append(F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * (rank - F.floor(rank)))
-    return places.agg(*picked).select(F.array(*quantiles).alias("q"), "n")
 
+def describe_columns(df: DataFrame, columns, *groups: str, population: bool = False) -> DataFrame:
+    """column, groups and the figures of ``describe`` for several columns of many distinct values at once.
 
-def describe_spread(df: DataFrame, column: str, population: bool = False) -> DataFrame:
-    """``describe`` for a column of many distinct values."""
-    running = ranks.running_total(value_counts(df, column), ["value"], "n", "before")
-    q = _quantiles_of(running, CUTS).select("q").scalar()
+    The columns are one long table, and all quantiles of all groups and columns are closed in on together. A column
+    without a value in a group gives no row there.
+    """
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]))
+    long = df.select(*groups, pairs.alias("_pair")).select(*groups, "_pair.*").filter(F.col("value").isNotNull())
     deviation = F.stddev_pop if population else F.stddev_samp
-    base = df.agg(F.count(column).alias("count"), F.sum(column).alias("total"), F.avg(column).alias("mean"),
-                  deviation(column).alias("std"), F.min(column).alias("minimum"), F.max(column).alias("maximum"))
-    return base.withColumn("_q", q).select(
-        "count", "total", "mean", F.col("_q")[2].alias("median"), "std", "minimum", "maximum",
-        F.col("_q")[0].alias("p5"), F.col("_q")[1].alias("p25"), F.col("_q")[3].alias("p75"),
-        F.col("_q")[4].alias("p95"), (F.col("_q")[3] - F.col("_q")[1]).alias("iqr"))
+    base = long.groupBy("column", *groups).agg(
+        F.count("*").alias("count"), F.sum("value").alias("total"), F.avg("value").alias("mean"),
+        deviation("value").alias("std"), F.min("value").alias("minimum"), F.max("value").alias("maximum"))
+    found = selection.quantiles(long, "value", CUTS, "column", *groups).withColumnRenamed("n", "_n")
+    for name in ("column", *groups):
+        found = found.withColumnRenamed(name, f"_of_{name}")
+    same = [F.col(name).eqNullSafe(F.col(f"_of_{name}")) for name in ("column", *groups)]
+    rows = base.join(found, reduce(lambda a, b: a & b, same), "left")
+    q = F.col("q")
+    return rows.select(
+        "column", *groups, "count", "total", "mean", q[2].alias("median"), "std", "minimum", "maximum",
+        q[0].alias("p5"), q[1].alias("p25"), q[3].alias("p75"), q[4].alias("p95"), (q[3] - q[1]).alias("iqr"))
 
 
 def within_percentiles(df: DataFrame, column: str, low: float, high: float) -> DataFrame:

@@ -1,5 +1,8 @@
 """Chat text, and masked and padded id rows for instruction tuning."""
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +25,41 @@ def chat_text(messages: Column, generation_prompt: bool = False) -> Column:
     return F.concat(F.lit(fv.BOS_TOKEN), body, F.lit("Assistant:" if generation_prompt else ""))
 
 
+def _folded(conversation: str, head: str, tail: str):
+    """Pieces that come in the order of their conversations to one text each; one conversation is held at a time."""
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, parts, some, names = None, [], False, [conversation, "chat"]
+
+        def chat() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([now, pa.array(["".join([head, *parts, tail])])], names=names)
+
+        for batch in batches:
+            keys, pieces = batch.column(0), batch.column(1).to_pylist()
+            for i, piece in enumerate(pieces):
+                if not some or keys[i].as_py() != now[0].as_py():
+                    if some:
+                        yield chat()
+                    now, parts, some = keys.slice(i, 1), [], True
+                parts.append(piece)
+        if some:
+            yield chat()
+
+    return fold
+
+
+def chats(turns: DataFrame, conversation: str = "conv_id", turn: str = "turn", generation_prompt: bool = False) -> DataFrame:
+    """conversation, chat: the whole text of each conversation, its turns in order (equal ones by their text).
+
+    Turns are dealt out by conversation and sorted within the tasks, which then write one text after the other. A null
+    text is empty, a null conversation is one like the others. A task holds one conversation at a time, as it is one
+    row of the result; for chats too long for a row there is ``render_chats``.
+    """
+    pieces = turns.select(conversation, turn, F.coalesce(message_text(F.col("role"), F.col("text")), F.lit("")).alias("_piece"))
+    dealt = pieces.repartition(conversation).sortWithinPartitions(conversation, turn, "_piece").select(conversation, "_piece")
+    kind = dealt.schema[0].dataType.simpleString()
+    return dealt.mapInArrow(_folded(conversation, fv.BOS_TOKEN, "Assistant:" if generation_prompt else ""), f"`{conversation}` {kind}, chat string")
+
+
 def render_chats(turns: DataFrame, conversation: str = "conv_id", turn: str = "turn",
                  generation_prompt: bool = False) -> DataFrame:
     """conversation, place, piece: the pieces that make up each chat when put together by place.
@@ -63,11 +101,11 @@ def training_rows(pairs: DataFrame, key: str, vocabulary: DataFrame, unknown_id:
     tokens = texts.select(key, F.size("_source").alias("_prompt"),
                           F.slice(F.concat("_source", "_target"), 1, max_length).alias("_tokens"))
     # the prompt length rides in the key column, so that collecting needs no second join
-    packed = tokens.select(F.struct(F.col(key).alias("key"), "_prompt").alias("_key"), "_tokens")
-    encoded = vb.encode(packed, "_key", F.col("_tokens"), vocabulary, unknown_id, "input_ids", small)
-    prompt_ids = F.slice("input_ids", F.lit(1), F.col("_key._prompt"))
+    packed = tokens.select(F.struct(F.col(key).alias("key"), "_prompt").alias("_pair"), "_tokens")
+    encoded = vb.encode(packed, "_pair", F.col("_tokens"), vocabulary, unknown_id, "input_ids", small)
+    prompt_ids = F.slice("input_ids", F.lit(1), F.col("_pair._prompt"))
     rows = encoded.withColumn("_masked", non_pad_length(prompt_ids, pad_id))
-    return rows.select(F.col("_key.key").alias(key), "input_ids",
+    return rows.select(F.col("_pair.key").alias(key), "input_ids",
                        mask_labels(F.col("input_ids"), F.col("_masked")).alias("labels"),
                        (F.col("_masked") >= F.size("input_ids")).alias("fully_masked"))
 

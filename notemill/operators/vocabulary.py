@@ -43,12 +43,12 @@ def _cut(known: set[str], words: list[str]) -> list[str]:
 
 def subword_tokens(df: DataFrame, key: str, column: str, whole_words: DataFrame, small: bool | None = None) -> DataFrame:
     """key, tokens: words of the table stay whole, all others are cut into short pieces."""
-    table, small = lookups.measured(whole_words.select("token"), small)
+    table, small, broadcast = lookups.measured(whole_words.select("token"), small)
     words = tk.words(F.col(column))
     if small:
         cut = lookups.in_place(table, lambda t: frozenset(t.column("token").to_pylist()), _cut, "string")
         return df.select(key, cut(words).alias("tokens"))
-    found = lookups.by_dictionary(df, key, words, table.withColumn("_known", F.lit(True)))
+    found = lookups.by_dictionary(df, key, words, table.withColumn("_known", F.lit(True)), broadcast)
     parts = F.when(F.col("_known"), F.array("token")).otherwise(tk.pieces(F.col("token")))
     return lookups.in_order(found, key, parts, "_parts").select(key, F.flatten("_parts").alias("tokens"))
 
@@ -95,7 +95,7 @@ def term_tokens(df: DataFrame, key: str, column: str, terms: DataFrame, small: b
     the pairs that terms begin with; only where one does are the longer terms of that beginning tried, so that no
     word run is moved at places where no term can start.
     """
-    terms, small = lookups.measured(terms.select("gram", "_n"), small)
+    terms, small, broadcast = lookups.measured(terms.select("gram", "_n"), small)
     words = df.select(key, tk.words(F.col(column)).alias("_words"))
     if small:
         fold = lookups.in_place(terms.select("gram"), _trie, _folded, "string")
@@ -104,13 +104,13 @@ def term_tokens(df: DataFrame, key: str, column: str, terms: DataFrame, small: b
     begins = terms.groupBy(pair.alias("token")).agg(F.sort_array(F.collect_set("_n")).alias("_lengths"))
     pairs = F.transform(F.slice("_words", F.lit(1), F.greatest(F.size("_words") - 1, F.lit(0))),
                         lambda w, i: F.concat(w, F.lit(" "), F.get("_words", i + 1)))
-    starts = lookups.by_dictionary(words, key, pairs, begins).filter(F.col("_lengths").isNotNull())
+    starts = lookups.by_dictionary(words, key, pairs, begins, broadcast).filter(F.col("_lengths").isNotNull())
     tried = starts.groupBy(key).agg(F.collect_list(F.struct("places", "_lengths")).alias("_starts"))
     rows = words.join(tried, key)
     rows = (rows.select(key, "_words", F.inline("_starts")).withColumn("_place", F.explode("places"))
             .withColumn("_n", F.explode("_lengths")).filter(F.col("_place") + F.col("_n") <= F.size("_words")))
     grams = rows.select(key, "_n", "_place", F.array_join(F.slice("_words", F.col("_place") + 1, F.col("_n")), " ").alias("gram"))
-    found = joins.lookup_join(grams, terms.select("gram"), "gram", F.struct(key, "_place"), how="inner", small=False)
+    found = joins.lookup_join(grams, terms.select("gram"), "gram", F.struct(key, "_place"), how="inner", small=broadcast)
     spans = found.groupBy(key).agg(F.array_sort(F.collect_list(
         F.struct(F.col("_place").alias("at"), (-F.col("_n")).alias("minus_n")))).alias("_spans"))
     return words.join(spans, key, "left").select(key, _fold_spans("_words", "_spans").alias("tokens"))
@@ -181,12 +181,12 @@ def id_of(vocabulary: DataFrame, token: str) -> int:
 def encode(df: DataFrame, key: str, tokens: Column, vocabulary: DataFrame, unknown_id: int, name: str,
            small: bool | None = None) -> DataFrame:
     """key, ids of the tokens in order; tokens outside the vocabulary get ``unknown_id``."""
-    table, small = lookups.measured(vocabulary.select("token", F.col("id").alias("_id")), small)
+    table, small, broadcast = lookups.measured(vocabulary.select("token", F.col("id").alias("_id")), small)
     if small:
         ids = lookups.in_place(table, lambda t: dict(zip(t.column("token").to_pylist(), t.column("_id").to_pylist())),
                                lambda known, row: [known.get(t, unknown_id) for t in row], "int")
         return df.select(key, ids(tokens).alias(name))
-    found = lookups.by_dictionary(df, key, tokens, table)
+    found = lookups.by_dictionary(df, key, tokens, table, broadcast)
     return lookups.in_order(found, key, F.coalesce("_id", F.lit(unknown_id)).cast("int"), name)
 
 

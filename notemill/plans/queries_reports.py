@@ -154,6 +154,17 @@ def price_statistics(spark, folder):
     return rounded(statistics.describe_spread(orders, "o_totalprice", population=True).drop("total"))
 
 
+_LINES = ("l_quantity", "l_extendedprice", "l_discount")
+
+
+@query("WITH long AS (" + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", l_returnflag, {c}::DOUBLE AS value FROM lineitem" for c in _LINES) + ") " +
+       sql.describe("long", "value", '"column"', "l_returnflag"))
+def line_statistics(spark, folder):
+    """Three columns per return flag, all quantiles in the same passes."""
+    out = statistics.describe_columns(table(spark, folder, "lineitem"), _LINES, "l_returnflag")
+    return rounded(out.drop("total"))
+
+
 @query("""SELECT min(length(html)) AS snippet_min, max(length(html)) AS snippet_max, round(avg(length(html)), 6) AS snippet_mean,
   min(length(url)) AS notes_min, max(length(url)) AS notes_max, round(avg(length(url)), 6) AS notes_mean FROM pages""")
 def column_lengths(spark, folder):

@@ -164,11 +164,20 @@ _SPECIAL = f"""{_VOCABULARY}, vocab AS (SELECT * FROM extended UNION ALL SELECT
 
 
 def _training_vocabulary(spark, folder):
-    extended = vb.extend_vocabulary(_base_vocabulary(spark, folder), word_set(documents(spark, folder), "text"))
+    extended = materialise(vb.extend_vocabulary(_base_vocabulary(spark, folder), word_set(documents(spark, folder), "text")), "extended")
     full, pad = vb.with_special_tokens(extended)
     return materialise(full, "vocabulary"), pad
 
 
+@query(f"""WITH {_WORD_SETS}, base AS (SELECT token, row_number() OVER (ORDER BY token) - 1 AS id FROM old_words)
+SELECT token, id FROM base UNION ALL SELECT '[PAD]', max(id) + 1 FROM base UNION ALL SELECT '<|EOT|>', max(id) + 2 FROM base""")
+def padded_vocabulary(spark, folder):
+    """A vocabulary without an end token gets a pad token of its own before the end-of-turn token."""
+    words = vb.numbered(word_set(table(spark, folder, "benchmark"), "text"))
+    full, pad = vb.with_special_tokens(words)
+    return full.filter(F.lit(pad == fv.PAD_TOKEN))
+
+
 @query(f"WITH {_SPECIAL} SELECT token, id FROM vocab WHERE id < 3 OR token = '<|EOT|>'")
 def special_tokens(spark, folder):
     vocabulary, _ = _training_vocabulary(spark, folder)
@@ -188,6 +197,12 @@ def rendered_chats(spark, folder):
     return tr.render_chats(table(spark, folder, "conversations"), generation_prompt=True)
 
 
+@query(f"""SELECT conv_id, '<｜begin▁of▁sentence｜>' || string_agg({_MESSAGE}, '' ORDER BY turn) || 'Assistant:' AS chat FROM conversations GROUP BY conv_id""")
+def chat_texts(spark, folder):
+    """One text per conversation."""
+    return tr.chats(table(spark, folder, "conversations"), generation_prompt=True)
+
+
 _PAIRS = f"""asked AS (SELECT u.conv_id, u.turn, lpad(u.conv_id::VARCHAR, 12, '0') || ':' || lpad(u.turn::VARCHAR, 6, '0') AS pair_id,
   '### Instruction:' || chr(10) || {sql.strip('u.text')} || chr(10) || '### Response:' || chr(10) AS prompt,
   a.text || chr(10) || '<|EOT|>' AS target, u.text AS instruction, a.text AS output

@@ -26,6 +26,34 @@ def test_sizes_are_exact_and_proportional(spark, n, partitions):
         assert abs(size - counts["train"] - held * size / n) < 1
 
 
+def dealt_plainly(sizes, total, share):
+    """Largest remainder by definition."""
+    whole = {s: share * n // total for s, n in sizes.items()}
+    order = sorted(sizes, key=lambda s: (-(share * sizes[s] % total), s))
+    for s in order[:share - sum(whole.values())]:
+        whole[s] += 1
+    return whole
+
+
+@pytest.mark.parametrize("classes", [4096, 3, 1])
+def test_shares_of_many_strata(spark, monkeypatch, classes):
+    """Equal, near and far remainders; a stratum of nearly everything; the same rows whatever the classes."""
+    monkeypatch.setattr(splits, "REMAINDERS", classes)
+    for sizes in ({f"s{i:03}": 7 for i in range(300)}, {f"s{i:03}": i * i % 50 + 1 for i in range(300)}, {"a": 10**15, "b": 3, "c": 4}, {"only": 9}):
+        n = sum(sizes.values())
+        held = math.ceil((0.15 + 0.05) * n)
+        tests = held - round(0.15 * n)
+        held_here = dealt_plainly(sizes, n, held)
+        test_here = dealt_plainly(held_here, held, tests)
+        got = splits.allocate(spark.createDataFrame(list(sizes.items()), "s string, n long").repartition(3), "s", 0.15, 0.05).collect()
+        assert {r["s"]: (r["train"], r["val"], r["test"]) for r in got} == {
+            s: (sizes[s] - held_here[s], held_here[s] - test_here[s], test_here[s]) for s in sizes}
+
+
+def test_no_strata(spark):
+    assert splits.allocate(spark.createDataFrame([], "s string, n long"), "s", 0.15, 0.05).collect() == []
+
+
 def test_split_does_not_depend_on_partitions(spark):
     def run(partitions):
         rows = spark.createDataFrame(strata(500), "key long, stratum string").repartition(partitions)

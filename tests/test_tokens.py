@@ -91,16 +91,17 @@ def test_special_tokens(spark):
     assert pad == fv.EOS_TOKEN and {r["token"]: r["id"] for r in table.collect()} == {fv.EOS_TOKEN: 3, "<|EOT|>": 4}
 
 
-def training(spark, max_length):
+def training(spark, max_length, small=None):
     pairs = spark.createDataFrame([("a", "hi hi", "yes"), ("b", "hi", "no " + fv.EOS_TOKEN), ("c", "x " * 50, "y")],
                                   "pair_id string, instruction string, output string")
     words = ["#", "Instruction", ":", "Response", "hi", "yes", fv.END_OF_TURN, fv.EOS_TOKEN]
     vocabulary = spark.createDataFrame([(w, i + 1) for i, w in enumerate(words)], "token string, id long")
-    return tr.training_rows(pairs, "pair_id", vocabulary, 0, 8, max_length)
+    return tr.training_rows(pairs, "pair_id", vocabulary, 0, 8, max_length, small)
 
 
-def test_training_rows_mask_the_prompt(spark):
-    rows = {r["pair_id"]: r for r in training(spark, 30).collect()}
+@pytest.mark.parametrize("small", [True, False, None])
+def test_training_rows_mask_the_prompt(spark, small):
+    rows = {r["pair_id"]: r for r in training(spark, 30, small).collect()}
     prompt = [1, 1, 1, 2, 3, 5, 5, 1, 1, 1, 4, 3]
     assert rows["a"]["input_ids"] == prompt + [6, 7] and rows["a"]["labels"] == [-100] * 12 + [6, 7]
     assert rows["b"]["input_ids"][-3:] == [0, 8, 7] and not rows["b"]["fully_masked"]
@@ -135,3 +136,15 @@ def test_chats(spark):
     assert tr.render_chats(turns).count() == len(TURNS) + 2
     lists = spark.createDataFrame([([("system", "S"), ("user", "U"), ("assistant", "A"), ("tool", "T")],)], "m array<struct<role:string,text:string>>")
     assert lists.select(tr.chat_text(F.col("m"), True)).first()[0] == whole
+
+
+def test_whole_chats(spark):
+    """Turns out of order, a hot conversation over many partitions, null texts and conversations."""
+    turns = [*TURNS, (None, 1, "user", "n"), (3, 1, "user", None), (3, 0, "system", "S")] + [(9, i, "user", f"t{i}") for i in range(400)]
+    random.Random(1).shuffle(turns)
+    frame = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").repartition(7)
+    got = {r["conv_id"]: r["chat"] for r in tr.chats(frame, generation_prompt=True).collect()}
+    assert got == {1: fv.BOS_TOKEN + "S\n\nUser: U\n\nAssistant: A" + fv.EOS_TOKEN + "Assistant:", 2: fv.BOS_TOKEN + "User: V\n\nAssistant:",
+                   3: fv.BOS_TOKEN + "S\n\nAssistant:", None: fv.BOS_TOKEN + "User: n\n\nAssistant:",
+                   9: fv.BOS_TOKEN + "".join(f"User: t{i}\n\n" for i in range(400)) + "Assistant:"}
+    assert tr.chats(frame.limit(0)).collect() == []
