@@ -6,12 +6,15 @@ piece byte by byte. Its state is the longest end of the bytes read that is a pat
 trie; each state lists the tokens that end there. The last tokens of the prefixes from which a token may
 still grow are its registers, at most as many as the longest token has bytes: of the listed tokens,
 the one that may stand behind its register is the next register. What all registers lead back to is
-certain and is emitted. States and moves are made when first met; the answers whether two tokens stay
-apart and the pieces seen are kept as long as there is room, which changes no result.
+certain and is emitted. States and moves are made when first met. Whether two tokens stay apart is seen by undoing
+their merges from the last to the first; these answers and the pieces seen are kept in two generations, of which
+the older is forgotten, which changes no result. Pieces are met in blocks of texts, each new one once.
 """
 
 import base64
+import itertools
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +27,9 @@ from notemill.llm.blocks import given_back
 
 PIECES, PAIRS, MOVES = 200_000, 300_000, 200_000
 CERTAIN_EVERY = 4096
-LONG_TEXT = 1 << 20
+#: Characters of a text from which its pieces are taken in parts, and pieces that are met together.
+LONG_TEXT, BLOCK = 1 << 20, 1 << 16
+LONGEST_KEPT = 64
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -53,15 +58,19 @@ class Transducer:
                 node = self.child.setdefault(node << 8 | byte, len(self.child) + 1)
             self.token_at[node] = i
         self.known: dict[str, bytes] = {}
+        self.once_known: dict[str, bytes] = {}
         self.stays: dict[int, bool] = {}
+        self.once_stays: dict[int, bool] = {}
+        self.made: dict[int, bool] = {}
+        self.halves: dict[int, tuple[int, int] | None] = {}
         self.moves: dict[int, tuple[int, int, tuple[tuple[int, int], ...]]] = {}
         self.paths: dict[int, bytes] = {0: b""}
 
-    def merged(self, piece: bytes) -> list[int]:
-        """The merges as defined: the adjacent pair of least rank first. Used on two tokens at most."""
+    def merged(self, piece: bytes, least: int = 1) -> list[int]:
+        """The merges as defined: the adjacent pair of least rank first, until ``least`` parts are left. For one token only."""
         parts = [piece[i:i + 1] for i in range(len(piece))]
         ranks = [self.ids.get(a + b, 1 << 62) for a, b in zip(parts, parts[1:])]
-        while ranks:
+        while len(ranks) >= least:
             best = min(ranks)
             if best == 1 << 62:
                 break
@@ -74,11 +83,42 @@ class Transducer:
                 ranks[at] = self.ids.get(parts[at] + parts[at + 1], 1 << 62)
         return [self.ids[p] for p in parts]
 
+    def half(self, token: int) -> tuple[int, int] | None:
+        """The two tokens whose merge makes a token; None for a single byte."""
+        if token not in self.halves:
+            data = self.tokens[token]
+            self.halves[token] = tuple(self.merged(data, 2)) if len(data) > 1 else None
+        return self.halves[token]
+
+    def stay(self, left: int, right: int) -> bool:
+        """Whether no merge ever takes place across the border of two tokens.
+
+        Backwards in time: of the tokens at the border the one made last is undone (of equal ones the right, as merges of
+        one rank go from left to right). In between stands a pair that would have merged if its rank came before the
+        merge just undone; left of that merge, an equal rank comes before it too.
+        """
+        limit, ids, tokens = 1 << 62, self.ids, self.tokens
+        while True:
+            rank = ids.get(tokens[left] + tokens[right])
+            if rank is not None and rank < limit:
+                return False
+            of_left, of_right = self.half(left), self.half(right)
+            if of_left is None and of_right is None:
+                return True
+            if of_right is None or (of_left is not None and left > right):
+                limit, left = left, of_left[1]
+            else:
+                limit, right = right + 1, of_right[0]
+
     def apart(self, left: int, right: int) -> bool:
         """Whether two neighbouring tokens stay as they are."""
+        key = left << 32 | right
+        found = self.once_stays.get(key)
+        if found is None:
+            found = self.stay(left, right)
         if len(self.stays) >= PAIRS:
-            self.stays.clear()
-        found = self.stays[left << 32 | right] = self.merged(self.tokens[left] + self.tokens[right]) == [left, right]
+            self.once_stays, self.stays = self.stays, {}
+        self.stays[key] = found
         return found
 
     def move(self, state: int, byte: int) -> tuple[int, int, tuple[tuple[int, int], ...]]:
@@ -100,11 +140,18 @@ class Transducer:
                 following, depth = node, len(path) - start
                 self.paths[node] = path[start:]
             token = self.token_at.get(node)
-            if token is not None and self.merged(path[start:]) == [token]:
+            if token is not None and self.is_made(token):
                 ends.append((token, len(path) - start))
         found = self.moves[state << 8 | byte] = (following, depth, tuple(ends))
         return found
 
+    def is_made(self, token: int) -> bool:
+        """Whether the merges make a token out of its bytes."""
+        found = self.made.get(token)
+        if found is None:
+            found = self.made[token] = self.merged(self.tokens[token]) == [token]
+        return found
+
     def certain(self, registers: list[tuple[int, int]], depth: int) -> int:
         """The last place that the encodings of all live prefixes share."""
         place = len(registers) - 1
@@ -147,6 +194,38 @@ class Transducer:
                     registers = [(registers[cut][0], 0), *registers[cut + 1:]]
         return out + self.behind(registers)
 
+    def ids_together(self, pieces: list[bytes]) -> Iterator[list[int]]:
+        """Ids of short pieces given in the order of their bytes: the states and registers of the beginning that a piece
+        shares with the one before it are gone on from."""
+        if len(self.moves) > MOVES:
+            self.moves.clear()
+            self.paths = {0: b""}
+        known, moves, stays = self.ids, self.moves, self.stays
+        before, states, registers = b"", [0], [(-1, 0)]
+        for piece in pieces:
+            if piece in known:
+                yield [known[piece]]
+                continue
+            shared, most = 0, min(len(before), len(piece))
+            while shared < most and before[shared] == piece[shared]:
+                shared += 1
+            del states[shared + 1:], registers[shared + 1:]
+            state = states[shared]
+            for byte in piece[shared:]:
+                state, _, ends = moves.get(state << 8 | byte) or self.move(state, byte)
+                here = len(registers)
+                for end in ends:
+                    left = registers[here - end[1]][0]
+                    if left < 0:
+                        break
+                    apart = stays.get(left << 32 | end[0])
+                    if self.apart(left, end[0]) if apart is None else apart:
+                        break
+                states.append(state)
+                registers.append(end)
+            before = piece
+            yield self.behind(registers)
+
     @staticmethod
     def behind(registers: list[tuple[int, int]]) -> list[int]:
         """The tokens that lead to the last register."""
@@ -157,24 +236,54 @@ class Transducer:
             place -= size
         return out[::-1]
 
-    def known_piece(self, piece: str) -> bytes:
+    def learn(self, pieces: set[str]) -> list[str]:
+        """Put the ids of these pieces among the known ones. The long pieces are returned, to be forgotten again."""
         if len(self.known) >= PIECES:
-            self.known.clear()
-        packed = array("i", self.piece_ids(piece.encode())).tobytes()
-        if len(piece) <= 64:
-            self.known[piece] = packed
-        return packed
+            self.once_known, self.known = self.known, {}
+        unknown = pieces.difference(self.known)
+        again = unknown & self.once_known.keys()
+        self.known.update((p, self.once_known[p]) for p in again)
+        unknown -= again
+        long = [p for p in unknown if len(p) > LONGEST_KEPT]
+        self.known.update((p, array("i", self.piece_ids(p.encode())).tobytes()) for p in long)
+        short = sorted((p.encode(), p) for p in unknown.difference(long))
+        for (_, piece), ids in zip(short, self.ids_together([data for data, _ in short])):
+            self.known[piece] = array("i", ids).tobytes()
+        return long
+
+    def pieces(self, text: str) -> Iterator[list[str]]:
+        """The pieces of a text in order, in lists of bounded size."""
+        if len(text) < LONG_TEXT:
+            yield self.split.findall(text)
+        else:
+            found = (match.group() for match in self.split.finditer(text))
+            while some := list(itertools.islice(found, BLOCK)):
+                yield some
+
+    def encode(self, texts: list[str | None]) -> list[bytes | None]:
+        """Ids of every text as packed 32-bit integers; None for None."""
+        out: list[list[bytes] | None] = [None if t is None else [] for t in texts]
+        held, size = [], 0
+        for row, text in enumerate(texts):
+            for some in self.pieces(text) if text else ():
+                held.append((row, some))
+                size += len(some)
+                if size >= BLOCK:
+                    self.settle(held, out)
+                    held, size = [], 0
+        self.settle(held, out)
+        return [None if parts is None else b"".join(parts) for parts in out]
+
+    def settle(self, held: list[tuple[int, list[str]]], out: list) -> None:
+        long = self.learn(set(itertools.chain.from_iterable(some for _, some in held)))
+        for row, some in held:
+            out[row].append(b"".join(map(self.known.__getitem__, some)))
+        for piece in long:
+            del self.known[piece]
 
     def text_ids(self, text: str) -> bytes:
-        """Ids of a text as packed 32-bit integers."""
-        get, make = self.known.get, self.known_piece
-        if len(text) < LONG_TEXT:
-            return b"".join([get(p) or make(p) for p in self.split.findall(text)])
-        packed = bytearray()
-        for match in self.split.finditer(text):
-            piece = match.group()
-            packed += get(piece) or make(piece)
-        return bytes(packed)
+        """Ids of one text as packed 32-bit integers."""
+        return self.encode([text])[0]
 
 
 class Utf8Stream:
@@ -249,7 +358,7 @@ def _machine(kind, *parts):
 
 def _encoded(machine: Transducer, texts: pa.Array) -> pa.Array:
     given_back()
-    packed = [None if t is None else machine.text_ids(t) for t in (v.as_py() for v in texts)]
+    packed = machine.encode(texts.to_pylist())
     offsets = np.zeros(len(packed) + 1, dtype=np.int32)
     np.cumsum([len(p or b"") // 4 for p in packed], out=offsets[1:])
     values = pa.array(np.frombuffer(b"".join(p for p in packed if p), dtype=np.int32))

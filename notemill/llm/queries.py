@@ -25,12 +25,11 @@ def documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
 
 @query()
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    path = public_tokenizers.path(VOCABULARY)
-    encode, decode = bpe.encoder(spark, path, public_tokenizers.PATTERN), bpe.decoder(spark, path)
-    coded = evaluate_once(documents(spark, folder), {"ids": encode(F.coalesce("text", F.lit("")))})
-    decoded = coded.withColumn("decoded", decode("ids"))
-    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), bpe.id_digest(F.col("ids")).alias("ids_sha256"),
-                          F.sha2("decoded", 256).alias("decoded_sha256"))
+    """Token ids of every whole text by ranks and the bytes they decode to, as digests; a null text counts as empty."""
+    coder = bpe.round_trip(spark, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+    coded = evaluate_once(documents(spark, folder), {"coded": coder(F.coalesce("text", F.lit("")))})
+    return coded.select("doc_id", F.size("coded.ids").cast("long").alias("n_tokens"), bpe.id_digest(F.col("coded.ids")).alias("ids_sha256"),
+                        F.sha2("coded.decoded", 256).alias("decoded_sha256"))
 
 
 @query()

@@ -60,6 +60,25 @@ def test_long_pieces_are_cut_where_they_are_certain(machine, model):
         assert ids_of(machine, text) == model.encode_ordinary(text)
 
 
+def test_tokens_stay_apart_as_the_merges_say(machine):
+    rng = random.Random(4)
+    real = [i for i, t in enumerate(machine.tokens) if t and machine.is_made(i)]
+    for _ in range(20_000):
+        left, right = rng.choice(real[:2000] if rng.random() < 0.5 else real), rng.choice(real[:2000] if rng.random() < 0.5 else real)
+        assert machine.stay(left, right) == (machine.merged(machine.tokens[left] + machine.tokens[right]) == [left, right])
+
+
+def test_pieces_met_together_and_forgotten_again(model, monkeypatch):
+    """Small generations and blocks: shared beginnings, pieces forgotten and met again, long ones not kept."""
+    for name, value in (("PIECES", 40), ("PAIRS", 30), ("MOVES", 50), ("BLOCK", 60), ("LONG_TEXT", 900)):
+        monkeypatch.setattr(bpe, name, value)
+    machine = bpe.Transducer(bpe.read_ranks(PATH), public_tokenizers.PATTERN)
+    texts = [prose(seed, 200) + " " + "xy" * 80 + prose(seed + 1, 5) for seed in range(12)] + [None, ""]
+    packed = machine.encode(texts)
+    assert [None if p is None else np.frombuffer(p, dtype=np.int32).tolist() for p in packed] == [None if t is None else model.encode_ordinary(t) for t in texts]
+    assert all(len(p) <= bpe.LONGEST_KEPT for p in machine.known)
+
+
 def test_decoding_is_incremental():
     tokens = bpe.read_ranks(PATH)
     stream, rng = bpe.Utf8Stream(tokens), random.Random(6)
