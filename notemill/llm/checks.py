@@ -44,6 +44,11 @@ SQL = {
 }
 
 
+def listed(words) -> str:
+    """The words as an SQL list; of none, one that no text holds."""
+    return ", ".join(f"'{w}'" for w in words) or "''"
+
+
 def licence_query() -> str:
     lower = "translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -51,14 +56,18 @@ def licence_query() -> str:
         f"select row, '{label}' as label, unnest(list_filter(range(len(w)), lambda i: w[i + 1:i + {len(phrase.split())}] = "
         f"{phrase.split()!r})) as place from words where len(w) > 0" for phrase, label in licences.PHRASES)
     held = " union all ".join(
-        f"select row, '{label}' as label, len(list_intersect(b, {words!r})) / {len(words)}.0::DOUBLE as share from blocks "
-        f"where len(list_intersect(b, {words!r})) >= {licences.needed(len(words), licences.CONTAINMENT)}"
-        for label, words in ((label, sorted(set(text.split()))) for label, text in licences.TEMPLATES))
+        f"""select row, '{t.label}' as label, max(held) / {len(t.words)}.0::DOUBLE as share from (
+        select s.row, s.place, count(distinct h.word) filter (h.word in ({listed(t.words)})) as held,
+               count(distinct h.word) filter (h.word in ({listed(t.must)})) as telling, count(*) filter (h.word in ({listed(t.never)})) as other
+        from hits s join hits h on s.row = h.row and h.place >= s.place and h.place < s.place + {t.block}
+        where s.word in ({listed(t.words)}) group by s.row, s.place)
+        where held >= {licences.needed(len(t.words), licences.CONTAINMENT)} and telling = {len(t.must)} and other = 0 group by row"""
+        for t in licences.TEMPLATES)
+    universe = listed(sorted({w for t in licences.TEMPLATES for w in t.words}))
     return rf"""
 with texts as (select row_number() over () as row, doc_id, coalesce(text, '') as t from documents),
-words as (select row, regexp_extract_all({lower}, '{word}') as w from texts),
-blocks as (select row, list_distinct(regexp_extract_all(line, '{word}')) as b from
-    (select row, unnest(string_split({lower}, chr(10))) as line from texts)),
+words as materialized (select row, regexp_extract_all({lower}, '{word}') as w from texts),
+hits as materialized (select row, place, word from (select row, unnest(range(len(w))) as place, unnest(w) as word from words) where word in ({universe})),
 places as ({places}), held as ({held}),
 base as (select row, count(*) as n, min(place) as first_word, max(place) as last_word,
     string_agg(distinct label, ',' order by label) as labels from places group by row),
