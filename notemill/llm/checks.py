@@ -63,7 +63,7 @@ def licence_query() -> str:
         where s.word in ({listed(t.words)}) group by s.row, s.place)
         where held >= {licences.needed(len(t.words), licences.CONTAINMENT)} and telling = {len(t.must)} and other = 0 group by row"""
         for t in licences.TEMPLATES)
-    universe = listed(sorted({w for t in licences.TEMPLATES for w in t.words}))
+    universe = listed(sorted({w for t in licences.TEMPLATES for w in t.marks}))
     return rf"""
 with texts as (select row_number() over () as row, doc_id, coalesce(text, '') as t from documents),
 words as materialized (select row, regexp_extract_all({lower}, '{word}') as w from texts),

@@ -50,6 +50,11 @@ class Template:
     def words(self) -> list[str]:
         return sorted(set(self.text.split()))
 
+    @property
+    def marks(self) -> set[str]:
+        """All words that matter to a block."""
+        return {*self.words, *self.must, *self.never}
+
     @property
     def block(self) -> int:
         return math.ceil(len(self.text.split()) * ROOM)
@@ -113,8 +118,9 @@ def _list(words) -> Column:
 
 def extracted(docs: DataFrame, templates, containment: float, key: str, text: str) -> DataFrame:
     """Of every row, written once: its key, n_words, the phrases' places, the distinct template words it has, and, where those
-    are enough for some template, every template word with its place (else null)."""
+    are enough for some template, every template or telling word with its place (else null)."""
     universe = _list(sorted({w for t in templates for w in t.words}))
+    marks = _list(sorted({w for t in templates for w in t.marks}))
     least = min(needed(len(t.words), containment) for t in templates)
     lowered = ascii_lower(F.coalesce(F.col(text), F.lit("")))
     rows = evaluate_once(docs.select(F.col(key).alias("_key"), lowered.alias("_text")), {
@@ -124,7 +130,7 @@ def extracted(docs: DataFrame, templates, containment: float, key: str, text: st
     phrases = F.when(F.col("_text").rlike(pattern), phrase_places(F.col("_words"))).otherwise(nothing)
     rows = evaluate_once(rows, {"n_words": F.size("_words").cast("long"), "_phrases": phrases, "_held": F.array_intersect("_words", universe)})
     enough = reduce(lambda a, b: a | b, [F.size(F.array_intersect("_held", _list(t.words))) >= needed(len(t.words), containment) for t in templates])
-    places = F.filter(F.transform("_words", lambda w, i: F.struct(i.alias("at"), w.alias("word"))), lambda x: F.array_contains(universe, x["word"]))
+    places = F.filter(F.transform("_words", lambda w, i: F.struct(i.alias("at"), w.alias("word"))), lambda x: F.array_contains(marks, x["word"]))
     rows = rows.select("_key", "n_words", "_phrases", "_held", F.when((F.size("_held") >= least) & enough, places).alias("_places"))
     return materialise(rows.withColumn("_row", F.monotonically_increasing_id()), "words")
 
