@@ -55,6 +55,6 @@ def build_splits(spark: SparkSession, out: str) -> tuple[str, str]:
         rows = files.read_if_there(spark, f"{out}/reactions")
         return None if rows is None else dedup.keep_first(rows, ["snippet", "notes"], "row_order")
 
-    train = sinks.load_or_build(spark, f"{out}/reactions_train", distinct)
+    train = sinks.load_or_build(spark, f"{out}/reactions_train", distinct, inputs=[f"{out}/reactions"])
     parted = splits.stratified_split(splits.categorise(train), "combined_category", "row_order")
     return sinks.write_splits(parted, f"{out}/splits")

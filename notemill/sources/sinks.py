@@ -1,9 +1,13 @@
 """Where results go. Every sink but ``write_json_array`` is written by the executors."""
 
-from collections.abc import Callable
+import json
+import uuid
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+from pyspark.sql.utils import AnalysisException
 
 from notemill.functions import text as tx
 from notemill.sources.files import read_if_there
@@ -50,14 +54,58 @@ def write_failed(results: DataFrame, path: str, column: str, status: str = "stat
     return True
 
 
-def load_or_build(spark, path: str, build: Callable[[], DataFrame | None], schema=None,
-                  again: bool = False) -> DataFrame | None:
-    """The table at ``path``, built and written first if it is not there, unfit, or asked for again."""
-    found = None if again else read_if_there(spark, path, schema)
+def _input_key(spark: SparkSession, inputs: Sequence[str]) -> str:
+    """Number of the input files and a mark of their names, lengths and times; contents are not read."""
+    if not inputs:
+        return ""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(inputs))
+    mark = F.coalesce(F.bit_xor(F.xxhash64("path", "length", "modificationTime")), F.lit(0))
+    found = files.agg(F.count("*").alias("n"), mark.alias("mark")).first()
+    return f"{found['n']}:{found['mark']}"
+
+
+def _manifest(spark: SparkSession, path: str) -> dict | None:
+    """What was published last: the data's folder and the key of its inputs; None when nothing was, or not to its end."""
+    try:
+        lines = spark.read.text(f"{path}/manifest").collect()
+        return json.loads(lines[0]["value"]) if len(lines) == 1 else None
+    except (AnalysisException, ValueError):
+        return None
+
+
+def publish(df: DataFrame, path: str, key: str = "") -> None:
+    """Write a table aside and then, in one small file, that it is whole. A write that is broken off leaves what was
+    published before, or nothing."""
+    folder = f"data-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{folder}")
+    line = json.dumps({"folder": folder, "key": key, "schema": df.schema.simpleString()})
+    df.sparkSession.createDataFrame([(line,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/manifest")
+
+
+def published(spark: SparkSession, path: str, schema: StructType | None = None, key: str | None = None) -> DataFrame | None:
+    """The table last published at ``path``; None when there is none, its inputs had another key, or a column of ``schema`` is
+    missing or of another type."""
+    manifest = _manifest(spark, path)
+    if manifest is None or key is not None and manifest["key"] != key:
+        return None
+    found = read_if_there(spark, f"{path}/{manifest['folder']}")
+    if found is None or found.schema.simpleString() != manifest["schema"]:
+        return None
+    types = {field.name: field.dataType.simpleString() for field in found.schema}
+    fits = schema is None or all(types.get(field.name) == field.dataType.simpleString() for field in schema)
+    return found if fits else None
+
+
+def load_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame | None], schema: StructType | None = None,
+                  again: bool = False, inputs: Sequence[str] = ()) -> DataFrame | None:
+    """The table at ``path``, built and published first if it is not there, not whole, of other columns or types, made from
+    other ``inputs`` (files or folders), or asked for again. Tables that were published before are left beside it."""
+    key = _input_key(spark, inputs)
+    found = None if again else published(spark, path, schema, key)
     if found is not None:
         return found
     built = build()
     if built is None:
         return None
-    write_table(built, path)
-    return spark.read.parquet(path)
+    publish(built, path, key)
+    return published(spark, path)

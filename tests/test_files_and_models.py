@@ -3,6 +3,7 @@ import time
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from notemill.operators import evaluation as ev, markup, parsing, python_functions as pf
 from notemill.plans import jobs
@@ -164,6 +165,32 @@ def test_tsv_terms_and_arrays(spark, tmp_path):
     assert files.read_json(spark, str(tmp_path / "arr"), "term string").collect()[0][0] == "a"
 
 
+def test_reuse_notices_what_changed(spark, tmp_path):
+    source, path, built = str(tmp_path / "in"), str(tmp_path / "out"), []
+    spark.range(3).write.parquet(source)
+
+    def build():
+        built.append(1)
+        return spark.read.parquet(source).withColumn("v", F.col("id") * 2)
+
+    def load(**options):
+        return sorted(r["v"] for r in sinks.load_or_build(spark, path, build, inputs=[source], **options).collect())
+
+    assert load() == load() == [0, 2, 4] and len(built) == 1
+    spark.range(3, 4).write.mode("append").parquet(source)                      # a changed input
+    assert load() == load() == [0, 2, 4, 6] and len(built) == 2
+    other = StructType([StructField("v", StringType())])                        # another type
+    assert load(schema=other) == [0, 2, 4, 6] and len(built) == 3
+    assert load(schema=StructType([StructField("v", LongType())])) == [0, 2, 4, 6] and len(built) == 3
+    (tmp_path / "out" / "manifest").rename(tmp_path / "kept")                   # a write that was killed before its end
+    assert sinks.published(spark, path) is None and load() == [0, 2, 4, 6] and len(built) == 4
+
+    failing = spark.range(2).withColumn("v", F.raise_error(F.lit("killed")).cast("long"))
+    with pytest.raises(Exception, match="killed"):
+        sinks.publish(failing, path)
+    assert load() == [0, 2, 4, 6] and len(built) == 4
+
+
 def test_load_or_build(spark, tmp_path):
     path, built = str(tmp_path / "t"), []
 
