@@ -4,8 +4,8 @@ A seed is a run of at most ``SPAN`` tokens hashed at the places that a fixed mas
 differ. Seeds of test items meet seeds of documents in a join. Around a hit the two texts are laid side by side: a
 document is contaminated where ``WINDOW`` neighbouring tokens agree with an item in at least ``AGREE`` places. Items shorter than a
 window are compared whole, and a quarter of their tokens may differ. Every length of item has masks that leave a seed
-whichever tokens differ, as long as the comparison would accept them. Items of fewer than ``LEAST`` tokens are too common as
-words and take no part.
+whichever tokens differ, as long as the comparison would accept them. Items of fewer than ``LEAST`` tokens are phrases: all
+their tokens must agree. All ways in which a stretch of text and an item can lie side by side are compared in one call.
 """
 
 import numpy as np
@@ -56,7 +56,7 @@ def seeds(hashes: np.ndarray, place: np.ndarray, mask: str) -> np.ndarray:
 def masks_of(count: int) -> tuple[str, ...]:
     """The masks for an item of so many tokens; ignored places at the end are no part of the span."""
     if count < LEAST:
-        return ()
+        return ("1" * count,) if count else ()
     if count >= 14:
         return tuple(mask.rstrip("0") for mask in MASKS)
     return SHORTER[max(least for least in SHORTER if least <= count)]
@@ -127,12 +127,12 @@ def best_window(item: np.ndarray, text: np.ndarray, shift: int) -> tuple[int, in
     window, its start in the text, and the window's length. None if no window agrees enough."""
     low, high = max(0, -shift), min(len(item), len(text) - shift)
     width = min(WINDOW, len(item))
-    if high - low < width or width < LEAST:
+    if not width or high - low < width:
         return None
     same = np.concatenate(([0], np.cumsum(item[low:high] == text[low + shift:high + shift])))
     sums = same[width:] - same[:-width]
     at = int(sums.argmax())
-    needed = AGREE if width == WINDOW else width - width // 4
+    needed = AGREE if width == WINDOW else width - width // 4 if width >= LEAST else width
     return (int(sums[at]), low + shift + at, width) if sums[at] >= needed else None
 
 
@@ -143,9 +143,11 @@ def _verify(batches):
     for batch in batches:
         rows = []
         for row in batch.to_pylist():
-            found = best_window(np.array(row["item_tokens"], dtype=np.int64), np.array(row["tokens"], dtype=np.int64), row["shift"])
+            item, text = np.array(row["item_tokens"], dtype=np.int64), np.array(row["tokens"], dtype=np.int64)
+            found = [w for w in (best_window(item, text, shift) for shift in row["shifts"]) if w]
             if found:
-                rows.append({"doc_id": row["doc_id"], "item": row["item"], "start": row["part_at"] + found[1], "width": found[2], "agreeing": found[0]})
+                agreeing, start, width = max(found, key=lambda w: (w[0], -w[1], w[2]))
+                rows.append({"doc_id": row["doc_id"], "item": row["item"], "start": row["part_at"] + start, "width": width, "agreeing": agreeing})
         yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([(n, pa.int64()) for n in ("doc_id", "item", "start", "width", "agreeing")]))
 
 
@@ -154,6 +156,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     ``start`` is the window's first token in the document. Null texts and null ids on either side take no part;
     rows that share an id are one document or item. Equal item texts are compared once and reported for each of their ids.
+    Empty tables give no rows, texts without tokens hold nothing, and very long texts are read whole; a stretch of a
+    text is sent once per item, however often its words repeat. Other columns are not read.
     """
     spark = docs.sparkSession
     items = materialise(benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").dropna()
@@ -167,10 +171,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").dropna()
     parts = materialise(texts.mapInArrow(_hits(wanted, masks), _HITS).withColumn("part", F.xxhash64("tokens", "part_at")), "hits")
     hits = parts.select("doc_id", "part", "part_at", F.inline("hits").alias("seed", "at"))
-    sides = hits.join(seeded, "seed").select("doc_id", "part", "part_at", "item", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
+    sides = (hits.join(seeded, "seed").groupBy("doc_id", "part", "part_at", "item")
+             .agg(F.collect_set(F.col("at") - F.col("item_at")).alias("shifts")))
     beside = (sides.join(parts.select("doc_id", "part", "part_at", "tokens").dropDuplicates(["doc_id", "part", "part_at"]), ["doc_id", "part", "part_at"])
               .join(spread, "item"))
-    found = beside.select("doc_id", "item", "part_at", "shift", "tokens", "item_tokens").mapInArrow(_verify, _FOUND)
+    found = beside.select("doc_id", "item", "part_at", "shifts", "tokens", "item_tokens").mapInArrow(_verify, _FOUND)
     best = found.groupBy("doc_id", "item").agg(F.max(F.struct("agreeing", -F.col("start"), "width")).alias("_best"))
     return best.join(items.select("item", "item_id").distinct(), "item").select(
         "doc_id", "item_id", (-F.col("_best.col2")).alias("start"), F.col("_best.width").alias("width"), F.col("_best.agreeing").alias("agreeing"))

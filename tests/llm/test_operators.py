@@ -219,7 +219,7 @@ def test_contamination(spark):
     rows = [(1, f"{prose(30, 50)} {' '.join(item).upper()}, {prose(31, 20)}"), (2, f"{prose(32, 80)} {' '.join(swapped)}"), (3, prose(33, 300)),
             (4, "so: seven short words - that stand alone here!"), (5, "seven short words that stand alone"), (6, "too short"), (7, " ".join(item[:11])), *EDGE]
     found = {(r["doc_id"], r["item_id"]): r for r in contamination.overlaps(docs_of(spark, rows), bench).collect()}
-    assert set(found) == {(1, 1), (1, 2), (2, 1), (2, 2), (4, 3)}
+    assert set(found) == {(1, 1), (1, 2), (2, 1), (2, 2), (4, 3), (6, 4)}       # "too short" is a phrase, so all of it must stand there
     assert (found[1, 1]["start"], found[1, 1]["agreeing"], found[4, 3]["width"]) == (50, 16, 7)
     assert contamination.overlaps(docs_of(spark, []), bench).collect() == []
     assert contamination.overlaps(docs_of(spark, rows), bench.limit(0)).collect() == []
@@ -243,6 +243,45 @@ def test_every_accepted_pattern_of_substitutions_leaves_a_seed():
             assert contamination.best_window(item, text, 0) and any(k.isdisjoint(changed) for k in kept), (width, changed)
 
 
+def overlaps_plainly(docs, items):
+    """Every item beside every place of every document."""
+    out = {}
+    for doc_id, text in docs:
+        words = re.findall("[a-z0-9]+", text.lower())
+        for item_id, item in items:
+            asked = re.findall("[a-z0-9]+", item.lower())
+            width = min(16, len(asked))
+            needed = 12 if width == 16 else width - width // 4 if width >= 5 else width
+            found = [(sum(a == b for a, b in zip(asked[i:i + width], words[at:at + width])), -at)
+                     for i in range(len(asked) - width + 1) for at in range(len(words) - width + 1)] if width else []
+            if found and max(found)[0] >= needed:
+                out[doc_id, item_id] = (max(found)[0], -max(found)[1], width)
+    return out
+
+
+def test_contamination_equals_brute_force(spark):
+    rng = random.Random(12)
+    items = [(i, prose(i, n)) for i, n in enumerate((1, 2, 3, 4, 5, 6, 7, 8, 9, 11, 12, 13, 14, 15, 16, 17, 20, 30, 40))] + [(50, "same " * 20), (51, "...")]
+    docs = []
+    for doc in range(80):
+        words = prose(100 + doc, rng.randrange(60)).split()
+        for _, item in rng.sample(items, 3):
+            changed = [w if rng.random() > 0.15 else "other" for w in item.split()]
+            cut = rng.randrange(len(changed) + 1)
+            words[len(words) // 2:len(words) // 2] = changed[cut // 3:] if rng.random() < 0.5 else changed
+        docs.append((doc, " ".join(words)))
+    docs.append((90, "same " * 50))
+    found = contamination.overlaps(docs_of(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    want = overlaps_plainly(docs, items)
+    assert {(r["doc_id"], r["item_id"]): (r["agreeing"], r["start"], r["width"]) for r in found} == want and len(want) > 50
+
+
+def test_contamination_of_a_long_text_of_one_word(spark):
+    docs, items = docs_of(spark, [(1, "word " * 20_000), (2, "none")]), spark.createDataFrame([(7, "word " * 40)], "item_id long, text string")
+    found = contamination.overlaps(docs, items).collect()
+    assert [tuple(r) for r in found] == [(1, 7, 0, 16, 16)]
+
+
 def test_contamination_of_short_and_much_changed_items(spark):
     items = {n: prose(600 + n, n).split() for n in range(5, 17)}
     rows = []
