@@ -1,6 +1,7 @@
 """From documents to token ids. Every stage reads all that the stage before it kept; texts are never cut.
 
-Columns other than text and n_chars pass through unchanged; n_chars is the length of the text that a stage leaves.
+Columns other than text and n_chars pass through unchanged up to the last stage, which keeps doc_id, lang and source
+only; n_chars is the length of the text that a stage leaves.
 """
 
 import public_tokenizers
@@ -41,9 +42,10 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that share no passage with the benchmark."""
+    """Documents that share no passage with the benchmark. A phrase of fewer than ``contamination.LEAST`` words is no passage."""
     bounded_batches(spark)
     found = contamination.overlaps(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = found.filter(F.col("width") >= contamination.LEAST)
     return filters.without(docs, found, "doc_id")
 
 
