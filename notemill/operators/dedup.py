@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from notemill.operators import joins
 
+#: Registers of a distinct sketch: 2 ** 12.
+SKETCH_BITS = 12
 _MARK = "_fingerprint"
 
 
@@ -35,8 +37,27 @@ def duplicate_report(df: DataFrame, subset) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame) -> DataFrame:
-    """Distinct non-null values of every column, in one row."""
-    return df.agg(*[F.count_distinct(c).alias(c) for c in df.columns])
+    """Distinct non-null values of every column, in one row.
+
+    One row per column and value fingerprint, taken together first and counted then: no value is carried along, whatever its
+    length, and no column meets in one task.
+    """
+    marks = F.array(*[F.struct(F.lit(i).alias("column"), F.when(F.col(c).isNotNull(), fingerprint([c])).alias("mark")) for i, c in enumerate(df.columns)])
+    pairs = df.select(F.inline(marks)).filter(F.col("mark").isNotNull()).distinct()
+    counts = pairs.groupBy("column").agg(F.count("*").alias("n"))
+    return counts.agg(*[F.coalesce(F.max(F.when(F.col("column") == i, F.col("n"))), F.lit(0)).alias(c) for i, c in enumerate(df.columns)])
+
+
+def distinct_sketches(df: DataFrame, group: str, value: str, bits: int = SKETCH_BITS) -> DataFrame:
+    """group, sketch: a mergeable sketch of the distinct non-null values of each group. It is a few thousand bytes at most, may be
+    stored, and sketches of any groups or days can be put together by ``merged_distinct``."""
+    mark = F.when(F.col(value).isNotNull(), fingerprint([value]))
+    return df.select(group, mark.alias("_mark")).groupBy(group).agg(F.hll_sketch_agg("_mark", F.lit(bits)).alias("sketch"))
+
+
+def merged_distinct(sketches: DataFrame, *groups: str) -> DataFrame:
+    """Estimated distinct values of all sketches, per ``groups`` if given. The standard error is 1.04 / sqrt(2 ** bits): 1.6 %."""
+    return sketches.groupBy(*groups).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct_estimate"))
 
 
 def group_distinct(df: DataFrame, group: str, value: str, name: str) -> DataFrame:

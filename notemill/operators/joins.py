@@ -1,8 +1,9 @@
 """Joins that stay balanced when a key is hot."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from notemill.operators import ranks
 from notemill.session import materialise
 
 BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64 << 20
@@ -90,15 +91,23 @@ def count_back(rows: DataFrame, key: str, spread_by: Column, name: str = "count"
 
 
 def prefix_matches(ids: DataFrame, id_column: str, names: DataFrame, name_column: str) -> DataFrame:
-    """Ids that some name starts with.
+    """Rows of ``ids`` whose id some name starts with; null ids and names match nothing.
 
-    Every name is cut to the lengths that ids have, so this is an equi-join on the prefix. The
-    number of id lengths is at most the length of the longest id.
+    In the order of their bytes the names that start with an id follow it without a gap, so the next name decides. Ids
+    and names, each once, are sorted together by range; an id looks at the next name in its partition, or else at the
+    first name of the partitions behind it, of which each has one row. Nothing depends on how many lengths ids have.
     """
-    lengths = ids.agg(F.sort_array(F.collect_set(F.length(id_column))).alias("lengths")).scalar()
-    by_length = names.withColumn("_length", F.explode(lengths))
-    cut = by_length.select(F.substring(F.col(name_column), F.lit(1), F.col("_length")).alias(id_column)).distinct()
-    return ids.join(cut, id_column, "left_semi")
+    name = F.when(F.col("_kind") == 1, F.col("_value"))
+    both = (ids.select(F.col(id_column).alias("_value")).distinct().withColumn("_kind", F.lit(0))
+            .unionByName(names.select(F.col(name_column).alias("_value")).distinct().withColumn("_kind", F.lit(1))))
+    rows = ranks.placed(materialise(both.filter(F.col("_value").isNotNull()), "names"), ["_value", "_kind"])
+    behind = Window.partitionBy("_part").orderBy(F.desc("_slot")).rowsBetween(Window.unboundedPreceding, -1)
+    firsts = rows.groupBy("_part").agg(F.min(name).alias("_least"))
+    parts = Window.orderBy(F.desc("_part")).rowsBetween(Window.unboundedPreceding, -1)
+    carried = firsts.select("_part", F.last("_least", True).over(parts).alias("_carried"))
+    following = rows.withColumn("_next", F.last(name, True).over(behind)).filter("_kind = 0").join(F.broadcast(carried), "_part")
+    found = following.filter(F.startswith(F.coalesce("_next", "_carried"), F.col("_value")))
+    return ids.join(found.select(F.col("_value").alias(id_column)), id_column, "left_semi")
 
 
 def exact_matches(ids: DataFrame, id_column: str, names: DataFrame, name_column: str,

@@ -26,6 +26,11 @@ def _offsets(saved: DataFrame, weight) -> DataFrame:
     return totals.select(_PART, (F.sum("_total").over(Window.orderBy(_PART)) - F.col("_total")).alias(_BEFORE))
 
 
+def placed(df: DataFrame, order) -> DataFrame:
+    """Range-sorted rows, written, with ``_slot`` (their place in the order) and ``_part`` (their partition)."""
+    return _ordered_slots(df, order).withColumn(_PART, F.shiftright(_SLOT, _ROWS_BITS))
+
+
 def dense_index(df: DataFrame, order, name: str, start: int = 0) -> DataFrame:
     """Consecutive numbers in the order of ``order``, whose values must be unique."""
     saved = _ordered_slots(df, order)

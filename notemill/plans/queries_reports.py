@@ -8,6 +8,7 @@ from notemill.operators import dedup, entities, joins, ranks, references, sampli
 from notemill.plans import sql
 from notemill.plans.registering import register, rounded
 from notemill.plans.standins import documents, reactions
+from notemill.session import materialise
 from notemill.sources.tables import table
 
 QUERIES, SQL, query = register()
@@ -47,6 +48,17 @@ def distinct_counts(spark, folder):
     return dedup.distinct_counts(table(spark, folder, "documents"))
 
 
+@query("""SELECT count(DISTINCT text) AS n, count(DISTINCT source) AS sketches, true AS within_five_percent FROM documents""")
+def merged_sketches(spark, folder):
+    """Distinct texts by a stored sketch per source, all put together, beside the exact number."""
+    docs = table(spark, folder, "documents").select("source", "text")
+    sketches = materialise(dedup.distinct_sketches(docs, "source", "text"), "sketches")
+    exact = dedup.distinct_counts(docs.select("text")).select(F.col("text").alias("n"))
+    estimate = dedup.merged_distinct(sketches).scalar()
+    return exact.select("n", sketches.agg(F.count("source")).scalar().alias("sketches"),
+                        (F.abs(estimate - F.col("n")) <= 0.05 * F.col("n")).alias("within_five_percent"))
+
+
 @query(f"""WITH {_R}
 SELECT count(*) AS reactions, count(*) FILTER (n > 1) AS with_several_notes
 FROM (SELECT reaction_id, count(DISTINCT notes) AS n FROM reactions GROUP BY reaction_id)""")
@@ -335,6 +347,17 @@ def files_by_prefix(spark, folder):
     return joins.prefix_matches(ids, "id", names, "name")
 
 
+@query("""WITH ids AS (SELECT DISTINCT substr(text, 1, 1 + (doc_id % 50)::INTEGER) AS id FROM documents),
+names AS (SELECT DISTINCT substr(text, 1, 40) AS name FROM documents WHERE doc_id % 3 = 0)
+SELECT id FROM ids WHERE EXISTS (SELECT 1 FROM names WHERE starts_with(name, id))""")
+def texts_by_prefix(spark, folder):
+    """Beginnings of texts, of fifty lengths, against the first forty characters of a third of all texts."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    ids = docs.select(F.expr("substring(text, 1, cast(1 + doc_id % 50 as int))").alias("id")).distinct()
+    names = docs.filter("doc_id % 3 = 0").select(F.substring("text", 1, 40).alias("name")).distinct()
+    return joins.prefix_matches(ids, "id", names, "name")
+
+
 def _ids_and_names(spark, folder):
     part = table(spark, folder, "part").withColumn("id", F.concat(F.lit("P-"), F.col("p_partkey").cast("string")))
     names = part.filter("p_size <= 20").select(F.concat("id", F.lit(".sbml")).alias("name"))

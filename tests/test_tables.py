@@ -1,5 +1,7 @@
 """Duplicates, joins, statistics, positions; with hot keys and different numbers of partitions."""
 
+import random
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -201,3 +203,26 @@ def test_no_query_uses_a_cross_join_or_python_row_functions(spark):
     for name in ("file_summary", "sentence_table", "length_categories", "word_count_histogram", "subword_tokens"):
         plan = registry.all_queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan and "BatchEvalPython" not in plan, name
+
+
+@pytest.mark.parametrize("partitions", [1, 6])
+def test_prefixes_of_many_lengths(spark, partitions):
+    rng = random.Random(6)
+    make = lambda most: "".join(rng.choice("abé漢") for _ in range(rng.randint(0, most)))
+    names = [make(60) for _ in range(300)] + ["hot"] * 200 + [None]
+    ids = [make(rng.choice([2, 5, 50])) for _ in range(200)] + [n[:rng.randint(0, len(n))] for n in names[:100]] + ["h", "hot", "hotter", "", "", None, "zz"]
+    a = spark.createDataFrame([(i, v) for i, v in enumerate(ids)], "n long, id string").repartition(partitions)
+    b = spark.createDataFrame([(v,) for v in names], "name string").repartition(partitions)
+    found = sorted(r["n"] for r in joins.prefix_matches(a, "id", b, "name").collect())
+    assert found == [i for i, v in enumerate(ids) if v is not None and any(n is not None and n.startswith(v) for n in names)]
+    assert joins.prefix_matches(a, "id", b.limit(0), "name").collect() == []
+
+
+def test_sketches_are_put_together(spark):
+    df = spark.range(20_000).select((F.col("id") % 7).alias("g"), (F.col("id") % 6000).cast("string").alias("v")).unionByName(
+        spark.createDataFrame([(1, None), (99, None)], "g long, v string"))
+    sketches = dedup.distinct_sketches(df, "g", "v")
+    whole = dedup.merged_distinct(sketches).first()["distinct_estimate"]
+    each = {r["g"]: r["distinct_estimate"] for r in dedup.merged_distinct(sketches, "g").collect()}
+    assert abs(whole - 6000) < 300 and each[99] == 0 and all(abs(n - 20_000 / 7) < 200 for g, n in each.items() if g != 99)
+    assert tuple(dedup.distinct_counts(df).first()) == (8, 6000)
