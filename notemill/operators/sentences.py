@@ -29,12 +29,13 @@ def note_sentences(notes: DataFrame, filtered: bool = False) -> DataFrame:
 def _with_counts(notes: DataFrame, keep=None) -> DataFrame:
     """One row per sentence of numbered and written notes (note_index, sentences, ...), with its occurrences.
 
-    Only (note_index, place, sentence) is joined by sentence; places and counts return to the note as one list and
+    Only (note_index, place, fingerprint of the sentence) is joined by the fingerprint; places and counts return to the note as one list and
     take the sentences from the note's own array. So texts are shuffled once per note, a sentence once.
     """
     placed = notes.select("note_index", F.posexplode("sentences").alias("place", "sentence"))
     if keep is not None:
         placed = placed.filter(keep)
+    placed = placed.withColumn("sentence", F.md5("sentence"))
     counted = joins.count_back(placed, "sentence", F.struct("note_index", "place")).select("note_index", "place", "count")
     lists = counted.groupBy("note_index").agg(F.array_sort(F.collect_list(F.struct("place", "count"))).alias("_all"))
     named = F.transform("_all", lambda one: F.struct(F.get("sentences", one["place"]).alias("sentence"), one["count"].alias("count")))
@@ -49,7 +50,8 @@ def sentence_table(rows: DataFrame, order: str = "row_order") -> DataFrame:
 
     Notes without a sentence keep one row with a null sentence and a null count. Sentences are split once.
     """
-    notes = ranks.dense_index(distinct_notes(rows, order=order), [order], "note_index").drop(order)
+    distinct = materialise(distinct_notes(rows, order=order), "notes")       # sorting by range reads them twice
+    notes = ranks.dense_index(distinct, [order], "note_index").drop(order)
     return _with_counts(materialise(note_sentences(notes), "note_sentences"))
 
 

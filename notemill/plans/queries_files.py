@@ -220,3 +220,18 @@ def corpus_job(spark, folder):
     jobs.summarise_files(spark, out)
     summary = files.read_if_there(spark, f"{out}/file_summary")
     return _file_numbers(spark, path).join(summary, "file_id").drop("file_id")
+
+
+@query("""WITH s AS (SELECT n, ceil((0.15::DOUBLE + 0.05::DOUBLE) * n)::BIGINT AS held, round_even(0.15::DOUBLE * n, 0)::BIGINT AS val
+  FROM (SELECT count(*) AS n FROM documents)),
+sizes AS (SELECT unnest(['train', 'val', 'test']) AS split, unnest([n - held, val, held - val]) AS n FROM s)
+SELECT split, n AS instructions, n AS categorised FROM sizes WHERE n > 0""")
+def split_job(spark, folder):
+    """Files to rows, without duplicates, to the six written files of the splits: their rows."""
+    out = scratch_path(spark, "corpus")
+    jobs.build_corpus(spark, _markup_files(spark, folder), out, "*.txt")
+    data, categories = jobs.build_splits(spark, out)
+    asked = files.read_json_lines(spark, data, "split string, instruction string, output string")
+    known = files.read_json_lines(spark, categories, "split string, combined_category string").filter("combined_category is not null")
+    counts = [rows.groupBy("split").agg(F.count("*").alias(name)) for rows, name in ((asked, "instructions"), (known, "categorised"))]
+    return counts[0].join(counts[1], "split")
