@@ -7,7 +7,7 @@ from notemill.operators import cleaning, dedup, references, sentences, statistic
 from notemill.plans import sql
 from notemill.plans.registering import joined, register, rounded
 from notemill.plans.standins import cleaned_rows, decorated, documents, reactions
-from notemill.session import materialise, spread
+from notemill.session import spread
 from notemill.sources.tables import table
 
 QUERIES, SQL, query = register()
@@ -67,7 +67,7 @@ def file_summary(spark, folder):
     """Flagship: reaction counts per file joined with note and reference counts of the distinct notes."""
     counts = table(spark, folder, "documents").groupBy(F.col("source").alias("file_id")).agg(
         F.count("*").alias("reaction_count"))
-    rows = materialise(cleaned_rows(spark, folder).select("file_id", "row_order", "notes", "only_references"), "notes")
+    rows = reactions(spark, folder, "file_id", "row_order", "notes", "only_references")
     return references.file_summary(counts, dedup.keep_first(rows, ["notes", "only_references"], "row_order"))
 
 
@@ -94,7 +94,7 @@ flat AS (SELECT file_id, row_order, place, r[place] AS reference FROM (SELECT fi
 SELECT file_id, row_number() OVER (PARTITION BY file_id ORDER BY row_order, place) - 1 AS place, reference FROM flat""")
 def references_per_file(spark, folder):
     """The whole reference list of every file, one row per place."""
-    return references.grouped_references(reactions(spark, folder), "file_id", "row_order")
+    return references.grouped_references(reactions(spark, folder, "file_id", "row_order", "only_references"), "file_id", "row_order")
 
 
 @query(f"""WITH {sql.reactions()}, {_REFS},

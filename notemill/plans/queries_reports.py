@@ -27,7 +27,8 @@ def distinct_rows(spark, folder):
 SELECT file_id, row_order, reaction_id, original_notes, notes, only_references, snippet FROM (
   SELECT *, row_number() OVER (PARTITION BY snippet, notes ORDER BY row_order) AS rn FROM reactions) WHERE rn = 1""")
 def first_of_duplicates(spark, folder):
-    return dedup.keep_first(reactions(spark, folder), ["snippet", "notes"], "row_order")
+    rows = reactions(spark, folder, "file_id", "row_order", "reaction_id", "original_notes", "notes", "only_references", "snippet")
+    return dedup.keep_first(rows, ["snippet", "notes"], "row_order")
 
 
 @query(f"""WITH {_R}

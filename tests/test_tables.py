@@ -226,3 +226,37 @@ def test_sketches_are_put_together(spark):
     each = {r["g"]: r["distinct_estimate"] for r in dedup.merged_distinct(sketches, "g").collect()}
     assert abs(whole - 6000) < 300 and each[99] == 0 and all(abs(n - 20_000 / 7) < 200 for g, n in each.items() if g != 99)
     assert tuple(dedup.distinct_counts(df).first()) == (8, 6000)
+
+
+def test_rows_of_one_row_group_are_dealt_out(spark, tmp_path):
+    """A file of one row group has many splits of which one has rows; an even table stays as it is."""
+    from notemill.session import spread
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    rows = spark.range(4000).select("id", F.sha2(F.col("id").cast("string"), 512).alias("text"))
+    rows.coalesce(1).write.parquet(f"{tmp_path}/one")
+    rows.repartition(8).write.parquet(f"{tmp_path}/eight")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+        one, eight = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("one", "eight"))
+        assert one.rdd.getNumPartitions() >= 4
+        sizes = [r["n"] for r in spread(one, "id").groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert sum(sizes) == 4000 and len(sizes) >= 4 and max(sizes) < 2000
+        assert "Exchange" not in spread(eight, "id")._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def notes_folder(spark, path, texts):
+    """A folder with a documents table of these texts."""
+    rows = [(i, t, "en", f"f{i % 2}", len(t)) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{path}/documents.parquet")
+    return str(path)
+
+
+def test_note_texts_are_not_written_when_read_once(spark, tmp_path, monkeypatch):
+    from notemill.plans import registry, standins
+    monkeypatch.setattr(standins, "materialise", lambda *_: pytest.fail("note texts are written"))
+    folder = notes_folder(spark, tmp_path, ["The cell grows. It stops here.", "The cell grows. Nothing else does.", "It stops here."])
+    found = registry.all_queries()
+    assert [tuple(r) for r in found["largest_file"](spark, folder).collect()] == [("f0", 2)]
+    assert found["top_sentences"](spark, folder).collect()[0]["count"] >= 1
