@@ -5,18 +5,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import SparkSession
-
-PIECE_BYTES = 1 << 18
-BATCH_ROWS = 250
 
+from notemill.session import bounded_batches  # noqa: F401
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Texts are long rows: hand them to Python in batches of 250 at most, so that JVM and worker hold few at a time."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(name, "10000"))
-    if not 0 < now <= BATCH_ROWS:
-        spark.conf.set(name, str(BATCH_ROWS))
+PIECE_BYTES = 1 << 18
 
 
 def given_back() -> None:

@@ -6,18 +6,21 @@ distinct token, not one per occurrence. It is broadcast to the executors or join
 measured size says (``joins.lookup_join``). The places put the answers in order again, so that no text is moved.
 """
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from notemill.operators import joins
 from notemill.operators.once import evaluate_once
-from notemill.session import materialise
+from notemill.session import bounded_batches, materialise
 
 #: Rows and bytes of a table that every Python worker may hold.
 IN_PLACE_ROWS, IN_PLACE_BYTES = 50_000, 4 << 20
+#: Items that a worker holds as Python objects at a time, and then as one Arrow piece.
+PIECE_ITEMS = 50_000
 
 
 def measured(table: DataFrame, small: bool | None) -> tuple[DataFrame, bool, bool | None]:
@@ -30,18 +33,34 @@ def measured(table: DataFrame, small: bool | None) -> tuple[DataFrame, bool, boo
     return table, False, joins.small_enough(table)
 
 
+def pieces(rows: pa.Array, items: int = PIECE_ITEMS) -> Iterator[pa.Array]:
+    """Slices of an array of lists that hold ``items`` items at most; a longer list is a slice of its own."""
+    start, held = 0, 0
+    for i, size in enumerate(pc.fill_null(pc.list_value_length(rows), 0).to_pylist()):
+        if i > start and held + size > items:
+            yield rows.slice(start, i - start)
+            start, held = i, 0
+        held += size
+    if start < len(rows):
+        yield rows.slice(start)
+
+
 def in_place(table: DataFrame, make: Callable[[pa.Table], object], answer: Callable[[object, list], list], kind: str) -> Callable:
     """A function from an array column to an array of ``kind``: ``answer(made, items)`` per row, null for null.
 
-    ``made`` is what ``make`` builds out of the whole (small) table, once per Python worker and broadcast.
+    ``made`` is what ``make`` builds out of the whole (small) table, once per Python worker and broadcast. A worker's memory
+    does not grow with the rows of its task: batches are short, and of a batch only a piece is Python objects at a time.
     """
+    bounded_batches(table.sparkSession)
     shared = table.sparkSession.sparkContext.broadcast(make(table.toArrow()))
+    value_type = pa.list_({"int": pa.int32(), "string": pa.string()}[kind])
 
     @F.arrow_udf(f"array<{kind}>")
     def apply(rows: pa.Array) -> pa.Array:
         made = shared.value
-        answers = [None if row is None else answer(made, row) for row in rows.to_pylist()]
-        return pa.array(answers, type=pa.list_({"int": pa.int32(), "string": pa.string()}[kind]))
+        answers = [pa.array([None if row is None else answer(made, row) for row in piece.to_pylist()], type=value_type)
+                   for piece in pieces(rows)]
+        return pa.concat_arrays(answers) if answers else pa.array([], type=value_type)
 
     return apply
 

@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -148,3 +149,21 @@ def test_whole_chats(spark):
                    3: fv.BOS_TOKEN + "S\n\nAssistant:", None: fv.BOS_TOKEN + "User: n\n\nAssistant:",
                    9: fv.BOS_TOKEN + "".join(f"User: t{i}\n\n" for i in range(400)) + "Assistant:"}
     assert tr.chats(frame.limit(0)).collect() == []
+
+
+def test_long_batches_are_looked_up_in_pieces(spark):
+    """Neither the rows that go to a worker at once nor the items it holds as objects grow with the input."""
+    lists = pa.array([["a"] * 30, None, [], ["b"] * 70, ["c"] * 200, ["d"], ["e"] * 99, ["f"]])
+    cut = list(lookups.pieces(lists, 100))
+    assert [len(p) for p in cut] == [4, 1, 2, 1] and pa.concat_arrays(cut).equals(lists) and list(lookups.pieces(lists.slice(0, 0))) == []
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "10000")
+        df = spark.range(1000).select("id", F.concat(F.lit("known word "), F.repeat(F.lit("x y "), (F.col("id") % 300).cast("int"))).alias("text"))
+        table = spark.createDataFrame([("known",)], "token string")
+        got = {r["id"]: r["tokens"] for r in vb.subword_tokens(df, "id", "text", table, small=True).collect()}
+        assert int(spark.conf.get(name)) <= 250
+        assert all(got[i] == ["known", "wor", "d"] + ["x", "y"] * (i % 300) for i in range(1000))
+    finally:
+        spark.conf.set(name, before)
