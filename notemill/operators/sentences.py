@@ -1,6 +1,6 @@
 """Note and sentence tables, and reports on them."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from notemill.functions import sentences as sf, text as tx
@@ -26,40 +26,72 @@ def note_sentences(notes: DataFrame, filtered: bool = False) -> DataFrame:
     return table.filter("num_sentences > 0") if filtered else table
 
 
-def _with_counts(notes: DataFrame, keep=None) -> DataFrame:
-    """One row per sentence of numbered and written notes (note_index, sentences, ...), with its occurrences.
+_NOTE, _MARK = "_note", "_mark"
 
-    Only (note_index, place, fingerprint of the sentence) is joined by the fingerprint; places and counts return to the note as one list and
-    take the sentences from the note's own array. So texts are shuffled once per note, a sentence once.
+
+def _fingerprint(sentence) -> Column:
+    return F.unhex(F.md5(sentence))
+
+
+def _dense(found: str, size: Column) -> Column:
+    """Counts of all places in order: those of the (place, count) list, sorted by place, and 1 everywhere else."""
+    one, none = F.lit(1).cast("long"), F.array().cast("array<struct<place:int,count:bigint>>")
+    listed = F.coalesce(F.col(found), none)
+    before = lambda i: F.when(i == 0, F.lit(-1)).otherwise(F.get(listed, i - 1)["place"])
+    parts = F.transform(listed, lambda x, i: F.concat(F.array_repeat(one, x["place"] - before(i) - 1), F.array(x["count"])))
+    last = F.coalesce(F.get(listed, F.size(listed) - 1)["place"], F.lit(-1))
+    return F.concat(F.flatten(parts), F.array_repeat(one, size - last - 1))
+
+
+def _with_counts(notes: DataFrame, order: str, shown: dict[str, Column], keep=None) -> DataFrame:
+    """One row per sentence of the notes: note_index (by ``order``), ``shown``, num_sentences, sentence and its occurrences.
+
+    The notes are written once, with what is shown of them, and numbered by their place alone. Only fingerprints of sentences are
+    counted, and only those that occur again are looked up: a sentence that is not found occurs once. Where they are few they
+    are broadcast. Beyond that (note, place, fingerprint) meets them and what is found returns to the note as one list.
+    Numbers and lists meet the notes before the sentences are taken apart, so that a text is shuffled once at most.
     """
-    placed = notes.select("note_index", F.posexplode("sentences").alias("place", "sentence"))
+    notes = notes.select(order, *[value.alias(name) for name, value in shown.items()], "sentences", "num_sentences")
+    notes = materialise(notes.withColumn(_NOTE, F.monotonically_increasing_id()), "note_sentences")
+    numbers = ranks.dense_index(notes.select(order, _NOTE), [order, _NOTE], "note_index").drop(order)
+    rows = notes.drop(order).join(F.broadcast(numbers) if joins.small_enough(numbers) else numbers, _NOTE)
+
+    placed = notes.select(_NOTE, F.posexplode("sentences").alias("place", "sentence"))
     if keep is not None:
         placed = placed.filter(keep)
-    placed = placed.withColumn("sentence", F.md5("sentence"))
-    counted = joins.count_back(placed, "sentence", F.struct("note_index", "place")).select("note_index", "place", "count")
-    lists = counted.groupBy("note_index").agg(F.array_sort(F.collect_list(F.struct("place", "count"))).alias("_all"))
-    named = F.transform("_all", lambda one: F.struct(F.get("sentences", one["place"]).alias("sentence"), one["count"].alias("count")))
-    return (notes.join(lists, "note_index", "left" if keep is None else "inner")
-            .withColumn("_all", named).drop("sentences")
-            .withColumn("_one", F.explode_outer("_all"))
-            .select("*", "_one.sentence", "_one.count").drop("_all", "_one"))
-
-
-def sentence_table(rows: DataFrame, order: str = "row_order") -> DataFrame:
+    placed = placed.select(_NOTE, "place", _fingerprint("sentence").alias(_MARK))
+    again = placed.groupBy(_MARK).agg(F.count("*").alias("count")).filter("count > 1")
+    again = materialise(again, "sentences_again")
+    out = ["note_index", *shown, "num_sentences", "sentence", "count"]
+    if joins.small_enough(again):
+        each = rows.withColumn("sentence", F.explode_outer("sentences"))
+        each = (each if keep is None else each.filter(keep)).withColumn(_MARK, _fingerprint("sentence"))
+        once = F.when(F.col("sentence").isNotNull(), F.lit(1).cast("long"))
+        return each.join(F.broadcast(again), _MARK, "left").withColumn("count", F.coalesce("count", once)).select(*out)
+    found = joins.attach(placed, again.withColumn("_n", F.col("count")), _MARK, "_n", F.struct(_NOTE, "place"))
+    lists = found.filter(F.col("count").isNotNull()).groupBy(_NOTE).agg(
+        F.array_sort(F.collect_list(F.struct("place", "count"))).alias("_found"))
+    both = rows.join(lists, _NOTE, "left").withColumn("_all", F.arrays_zip(
+        F.col("sentences").alias("sentence"), _dense("_found", F.size("sentences")).alias("count")))
+    each = both.select("note_index", *shown, "num_sentences", F.explode_outer("_all").alias("_one")).select(
+        "note_index", *shown, "num_sentences", "_one.sentence", "_one.count")
+    return each if keep is None else each.filter(keep)
+
+
+def sentence_table(rows: DataFrame, order: str = "row_order", shown: dict[str, Column] | None = None) -> DataFrame:
     """One row per sentence of every distinct note, with how often the sentence occurs.
 
-    Notes without a sentence keep one row with a null sentence and a null count. Sentences are split once.
+    Notes without a sentence keep one row with a null sentence and a null count. Sentences are split once. ``shown`` are the
+    note's columns in every row, computed once per note: ``notes`` and ``original_notes`` unless others are asked for.
     """
-    distinct = materialise(distinct_notes(rows, order=order), "notes")       # sorting by range reads them twice
-    notes = ranks.dense_index(distinct, [order], "note_index").drop(order)
-    return _with_counts(materialise(note_sentences(notes), "note_sentences"))
+    shown = shown or {name: F.col(name) for name in ("notes", "original_notes")}
+    return _with_counts(note_sentences(distinct_notes(rows, order=order)), order, shown)
 
 
-def filtered_sentence_table(rows: DataFrame, order: str = "row_order") -> DataFrame:
-    """The sentence table of kept sentences only, numbered over the notes that have any."""
-    notes = materialise(note_sentences(distinct_notes(rows, ("notes",), order), filtered=True), "kept_notes")
-    notes = ranks.dense_index(notes, [order], "note_index").drop(order)
-    return _with_counts(notes, (F.length("sentence") >= 5) & tx.has_ascii_letter(F.col("sentence")))
+def filtered_sentence_table(rows: DataFrame, order: str = "row_order", shown: dict[str, Column] | None = None) -> DataFrame:
+    """The sentence table of kept sentences only, numbered over the notes that have any. ``shown`` is ``notes`` unless told."""
+    notes = note_sentences(distinct_notes(rows, ("notes",), order), filtered=True)
+    return _with_counts(notes, order, shown or {"notes": F.col("notes")}, (F.length("sentence") >= 5) & tx.has_ascii_letter(F.col("sentence")))
 
 
 def sentence_counts(sentences: DataFrame) -> DataFrame:

@@ -153,9 +153,9 @@ SELECT note_index, md5(notes) AS notes_md5, md5(original_notes) AS original_md5,
 FROM exploded LEFT JOIN counts USING (sentence)""")
 def sentence_table(spark, folder):
     rows = reactions(spark, folder).select("notes", "original_notes", "row_order")
-    return sentences.sentence_table(rows).select(
-        "note_index", F.md5("notes").alias("notes_md5"), F.md5("original_notes").alias("original_md5"),
-        "sentence", "num_sentences", "count")
+    shown = {"notes_md5": F.md5("notes"), "original_md5": F.md5("original_notes")}
+    return sentences.sentence_table(rows, shown=shown).select(
+        "note_index", *shown, "sentence", "num_sentences", "count")
 
 
 @query(f"""WITH {sql.reactions()}, {_GOOD},
@@ -164,8 +164,8 @@ SELECT note_index, md5(notes) AS notes_md5, sentence, num_sentences, count
 FROM exploded LEFT JOIN counts USING (sentence)""")
 def sentence_table_filtered(spark, folder):
     rows = reactions(spark, folder).select("notes", "row_order")
-    return sentences.filtered_sentence_table(rows).select(
-        "note_index", F.md5("notes").alias("notes_md5"), "sentence", "num_sentences", "count")
+    return sentences.filtered_sentence_table(rows, shown={"notes_md5": F.md5("notes")}).select(
+        "note_index", "notes_md5", "sentence", "num_sentences", "count")
 
 
 @query(f"""WITH {sql.reactions()}, {_GOOD}

@@ -1,9 +1,13 @@
+import random
 import re
+from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
+from notemill import session
 from notemill.functions import sentences as sf, text as tx, tokens as tk
-from notemill.operators import sentences as st
+from notemill.operators import joins, ranks, sentences as st
 
 
 def column(texts, values, expression):
@@ -96,3 +100,39 @@ def test_word_tokens(texts):
     got = column(texts, ["Hi, é1!", None, "<|EOT|>x"], tk.words(F.col("text"), ("<|EOT|>",)))
     assert got == [["Hi", ",", "é1", "!"], [], ["<|EOT|>", "x"]]
     assert column(texts, ["abcdefgh"], tk.pieces(F.col("text"))) == [["abc", "def", "gh"]]
+
+
+@pytest.mark.parametrize("filtered", [False, True])
+@pytest.mark.parametrize("small", [True, False])
+def test_sentence_counts_equal_plain_python(spark, monkeypatch, small, filtered):
+    """Whether the repeated sentences are broadcast or joined; hot, repeated and single ones, notes without any, copies, null places."""
+    monkeypatch.setattr(joins, "small_enough", lambda *a, **b: small)
+    rng = random.Random(4)
+    pool = ["Everyone says this one.", "No.", "A."] + [f"Shared sentence number {i}." for i in range(20)]
+    texts = [" ".join(rng.choice(pool) if rng.random() < 0.6 else f"Only sentence {n} of {k} here." for k in range(rng.randint(0, 12))) for n in range(150)]
+    texts += texts[:30] + ["", "Everyone says this one. " * 40, None]
+    given = [(t, "o", n) for n, t in enumerate(texts)] + [(texts[5], "other", None)]
+    df = spark.createDataFrame(given, "notes string, original_notes string, row_order long").repartition(5)
+    got = (st.filtered_sentence_table if filtered else st.sentence_table)(df, shown={"size": F.length("notes")})
+    split = {r["notes"]: (r["s"], r["k"]) for r in df.select("notes", sf.split_sentences(F.col("notes")).alias("s"), sf.kept_sentences(F.col("notes")).alias("k")).collect()}
+    first = {}
+    for t, o, n in given:
+        first.setdefault(t if filtered else (t, o), []).append(n)
+    notes = sorted(((min([n for n in ns if n is not None], default=-1), k if filtered else k[0]) for k, ns in first.items()), key=lambda x: x[0])
+    lists = [(t, split[t][filtered]) for _, t in notes if split[t][1] or not filtered]
+    counts = Counter(x for _, s in lists for x in s if not filtered or len(x) >= 5)
+    want = [(i, None if t is None else len(t), len(s), x, counts[x] if x is not None else None)
+            for i, (t, s) in enumerate(lists) for x in (s or [None]) if not filtered or len(x) >= 5]
+    key = lambda r: tuple((v is None, v) for v in r)
+    assert sorted((tuple(r) for r in got.select("note_index", "size", "num_sentences", "sentence", "count").collect()), key=key) == sorted(want, key=key)
+
+
+def test_note_texts_are_moved_once(spark, monkeypatch):
+    """Notes are written once, with what is shown of them; they are numbered without their texts."""
+    seen = []
+    for module in (st, ranks, joins):
+        monkeypatch.setattr(module, "materialise", lambda df, label="table", write=session.materialise: seen.append(df.columns) or write(df, label))
+    df = spark.createDataFrame([("One thing. Two things.", "o", 1), ("One thing. ", "p", 2)], "notes string, original_notes string, row_order long")
+    assert st.sentence_table(df, shown={"size": F.length("notes")}).count() == 3
+    assert not any("notes" in columns or "original_notes" in columns for columns in seen)
+    assert sum("sentences" in columns for columns in seen) == 1
