@@ -86,3 +86,22 @@ def test_a_null_stratum_is_split_like_any_other(spark):
     assert sum(n for (_, split), n in found.items() if split == "train") == 80
     assert sum(n for (_, split), n in found.items() if split == "val") == 15
     assert found[None, "train"] == found["a", "train"] == 40
+
+
+def test_words_are_counted_once_per_job(spark, tmp_path, monkeypatch):
+    """The kept rows carry their word counts; categories and the written files are the same as without them."""
+    from notemill.plans import jobs
+    from notemill.functions import text as tx
+    rows = [(f"f{i % 3}", f"R-{i}", "o", " ".join(["w"] * (i % 17)) if i % 11 else None, None, " ".join(["s"] * (i % 23)), f"{i:05d}") for i in range(300)]
+    schema = "file_id string, reaction_id string, original_notes string, notes string, only_references string, snippet string, row_order string"
+    df = spark.createDataFrame(rows, schema)
+    df.write.parquet(f"{tmp_path}/reactions")
+    jobs.build_splits(spark, str(tmp_path))
+    monkeypatch.setattr(tx, "word_count", lambda *_: pytest.fail("words are counted again"))
+    _, again = jobs.build_splits(spark, str(tmp_path))
+    monkeypatch.undo()
+    wanted = splits.categorise(df.dropDuplicates(["snippet", "notes"]))
+    key = lambda r: tuple(r[c] or "" for c in ("snippet", "notes", "combined_category"))
+    found = spark.read.schema("snippet string, notes string, combined_category string").json(again)
+    assert sorted(map(key, found.collect())) == sorted(map(key, wanted.collect()))
+    assert not any(c.startswith("_words") for c in spark.read.json(again).columns)
