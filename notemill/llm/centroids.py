@@ -161,7 +161,7 @@ def _last(shared):
 def first_centroids(rows: DataFrame, k: int, order: Column) -> np.ndarray:
     """The k vectors that come first, equal ones by their components."""
     found = rows.select("x", order.alias("_order")).orderBy("_order", "x").limit(k).collect()
-    return np.array([r["x"] for r in found], dtype=np.int64).reshape(len(found), -1)
+    return np.array([r["x"] for r in found], dtype=np.int64)
 
 
 class Sums:

@@ -94,3 +94,12 @@ def test_query_and_empty_table(spark, tmp_path):
     assert found(queries.op12_centroids(spark, str(tmp_path))) == plainly(rows, 40, 5, 64)
     table_of(spark, rows[-2:]).write.parquet(f"{tmp_path}/none/embeddings.parquet")
     assert queries.op12_centroids(spark, f"{tmp_path}/none").collect() == []
+
+
+def test_no_vector_is_whole(spark):
+    """Without a vector that takes part there are no rows, but all columns."""
+    for rows in ([], [(1, None), (2, [0.5]), (3, [0.5, float("nan")]), (4, [0.5, None])]):
+        out = centroids.clusters(table_of(spark, rows), 3, 2, 2)
+        assert out.collect() == []
+        assert out.columns == ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+    assert centroids.clusters(table_of(spark, [(5, [0.5, 0.25])]), 3, 2, 2).count() == 1
