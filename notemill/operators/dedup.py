@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from notemill.operators import joins
+from notemill.session import RELEASED, materialise, settings
 
 #: Registers of a distinct sketch: 2 ** 12.
 SKETCH_BITS = 12
@@ -20,13 +21,24 @@ def fingerprint(columns) -> Column:
 def keep_first(df: DataFrame, subset, order: str) -> DataFrame:
     """One row per value of ``subset`` (nulls are equal): the one that is first by ``order``, which is unique and not null.
 
-    The smallest place per fingerprint is a hash aggregate on a short key, combined on the map side. The rows are then
-    met by fingerprint and place, so a text copied into a third of all rows does not meet in one task. ``df`` is
-    read twice; write it before if it is costly.
+    Fingerprints and places are written, and the smallest place per fingerprint is found among them. The later copies
+    are broadcast, 16 bytes each, to the rows, which stay where they are. Copies too many for that leave the first rows
+    to be met by fingerprint and place, so that a text copied into a third of all rows does not meet in one task.
+    ``df`` is read twice; write it before if it is costly.
     """
     marked = df.withColumn(_MARK, fingerprint(subset))
-    first = marked.groupBy(_MARK).agg(F.min(order).alias(order))
-    return marked.join(first, [_MARK, order], "left_semi").select(*df.columns)
+    place = F.unhex(F.substring(fingerprint([_MARK, order]), 1, 32))
+    with settings(df.sparkSession, RELEASED):
+        keys = materialise(marked.select(F.unhex(_MARK).alias(_MARK), order), "keys", compression="zstd").withColumn(_MARK, F.lower(F.hex(_MARK)))
+        copied = keys.groupBy(_MARK).agg(F.min(order).alias("_first"), F.count("*").alias("_n")).filter("_n > 1").drop("_n")
+        copies = joins.lookup_join(keys, copied, _MARK, F.col(order), "inner")
+        later = materialise(copies.filter(F.col(order) > F.col("_first")).select(place.alias("_place")), "copies")
+    if joins.small_enough(later):
+        kept = marked.withColumn("_place", place).join(F.broadcast(later), "_place", "left_anti").filter(F.col(order).isNotNull())
+    else:
+        first = keys.groupBy(_MARK).agg(F.min(order).alias(order))
+        kept = marked.join(first, [_MARK, order], "left_semi")
+    return kept.select(*df.columns)
 
 
 def duplicate_report(df: DataFrame, subset) -> DataFrame:

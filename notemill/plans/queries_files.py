@@ -9,25 +9,29 @@ from notemill.plans.queries_splits import CATEGORIES, split_sql
 from notemill.plans.queries_tokens import _PAIRS
 from notemill.plans.registering import register
 from notemill.plans.standins import decorated, instruction_pairs, page_pairs
-from notemill.session import scratch_path
+from notemill.session import drop_scratch, scratch_path, settings
 from notemill.sources import files, sinks
 from notemill.sources.tables import table
 
 QUERIES, SQL, query = register()
 
 RECORDS_PER_FILE = 100
+MARKUP, PACKED_FAST = "*.txt.gz", {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 
 
 def _escaped(column: str):
     """Text as XML can hold it; the signs that XML has no place for become blanks."""
     plain = F.regexp_replace(column, r"[\x00-\x08\x0b\x0c\x0e-\x1f]", " ")
-    return F.regexp_replace(F.regexp_replace(F.regexp_replace(plain, "&", "&amp;"), "<", "&lt;"), ">", "&gt;")
+    for sign, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        plain = F.replace(plain, F.lit(sign), F.lit(name))
+    return plain
 
 
 def _markup_files(spark, folder, break_every: int = 0):
-    """Writes documents as reaction elements, a hundred ids per file, and returns the folder.
+    """Writes documents as reaction elements, a hundred ids per packed file, and returns the folder.
 
-    Every ``break_every``-th file lacks its last end tag.
+    Every ``break_every``-th file lacks its last end tag. Texts are dealt out by file as they are; all that makes them
+    longer comes after that.
     """
     path = scratch_path(spark, "markup")
     element = F.concat(
@@ -36,13 +40,14 @@ def _markup_files(spark, folder, break_every: int = 0):
         F.lit('<b>bold</b></p></sbml:notes><annotation>a</annotation><sbml:listOfReactants lang="'), F.col("lang"),
         F.lit('"></sbml:listOfReactants></sbml:reaction>'))
     number = F.floor(F.col("doc_id") / RECORDS_PER_FILE)
-    file = decorated(spark, folder).groupBy(number.alias("file")).agg(
+    file = decorated(spark, folder, number).groupBy(number.alias("file")).agg(
         F.array_sort(F.collect_list(F.struct("doc_id", element.alias("e")))).alias("all"))
     end = F.lit("</sbml:model></sbml:sbml>")
     if break_every:
         end = F.when(F.col("file") % break_every == 0, "</sbml:model>").otherwise(end)
     text = F.concat(F.lit('<sbml:sbml xmlns:sbml="urn:sbml"><sbml:model>'), F.array_join("all.e", "\n"), end)
-    file.select(text.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    with settings(spark, sinks.WRITING):
+        file.select(text.alias("value")).write.options(**PACKED_FAST).option("maxRecordsPerFile", 1).text(path)
     return path
 
 
@@ -55,7 +60,7 @@ SELECT 'R-' || doc_id AS reaction_id, {sql.strip(_PLAIN)} AS original_notes,
 FROM decorated""")
 def markup_file_records(spark, folder):
     """Files as whole texts, elements and their parts by expressions."""
-    documents = files.markup_documents(spark, _markup_files(spark, folder), "*.txt")
+    documents = files.markup_documents(spark, _markup_files(spark, folder), MARKUP)
     rows = jobs.reaction_rows(jobs.parsed_files(documents))
     return rows.select("reaction_id", "original_notes", "snippet")
 
@@ -64,14 +69,14 @@ def markup_file_records(spark, folder):
 def markup_file_elements(spark, folder):
     """Files read by the XML source with a given schema."""
     fields = "_id string, _name string, listOfReactants struct<_lang: string>"
-    records = files.markup_records(spark, _markup_files(spark, folder), "reaction", fields, "*.txt")
+    records = files.markup_records(spark, _markup_files(spark, folder), "reaction", fields, MARKUP)
     return records.filter(F.col(files.BROKEN).isNull()).select(F.col("_id").alias("reaction_id"), F.col("_name").alias("name"),
                        F.col("listOfReactants._lang").alias("lang"))
 
 
 def _file_numbers(spark, path):
     """file_id and the number of each written file, out of the first id that its text holds."""
-    documents = files.markup_documents(spark, path, "*.txt")
+    documents = files.markup_documents(spark, path, MARKUP)
     first = F.regexp_extract("value", r' id="R-(\d+)"', 1).cast("long")
     return documents.select("file_id", F.floor(first / RECORDS_PER_FILE).alias("file"))
 
@@ -81,9 +86,9 @@ FROM documents GROUP BY 1""")
 def markup_file_counts(spark, folder):
     """Elements per file, 0 included, beside the number of files in the folder's list."""
     path = _markup_files(spark, folder)
-    records = files.markup_records(spark, path, "reaction", "_id string", "*.txt").filter("_id is not null")
-    counts = files.record_counts(spark, path, records, "*.txt")
-    listed = files.list_files(spark, path, "*.txt").agg(F.count("*").alias("n")).scalar()
+    records = files.markup_records(spark, path, "reaction", "_id string", MARKUP).filter("_id is not null")
+    counts = files.record_counts(spark, path, records, MARKUP)
+    listed = files.list_files(spark, path, MARKUP).agg(F.count("*").alias("n")).scalar()
     return _file_numbers(spark, path).join(counts, "file_id").select("file", "reaction_count", listed.alias("listed"))
 
 
@@ -93,7 +98,7 @@ FROM (SELECT doc_id // {RECORDS_PER_FILE} AS file, count(*) AS n FROM documents
 def broken_files(spark, folder):
     """Every third file is cut off: it gives no rows and is listed, the others are read. One row per file."""
     out, path = scratch_path(spark, "corpus"), _markup_files(spark, folder, 3)
-    jobs.build_corpus(spark, path, out, "*.txt")
+    jobs.build_corpus(spark, path, out, MARKUP)
     broken = spark.read.parquet(f"{out}/broken_files").withColumn("broken", F.lit(True))
     rows = spark.read.parquet(f"{out}/reactions").groupBy("file_id").agg(F.count("*").alias("reactions"))
     found = (_file_numbers(spark, path).join(spark.read.parquet(f"{out}/file_counts"), "file_id")
@@ -112,7 +117,7 @@ SELECT file, 'no element found' AS message, len(lines)::INTEGER AS line, length(
 def broken_file_messages(spark, folder):
     """What the parser says of every third file, which is cut off, and where it stopped."""
     out, path = scratch_path(spark, "corpus"), _markup_files(spark, folder, 3)
-    jobs.build_corpus(spark, path, out, "*.txt")
+    jobs.build_corpus(spark, path, out, MARKUP)
     broken = spark.read.parquet(f"{out}/broken_files")
     return _file_numbers(spark, path).join(broken, "file_id").select("file", "message", "line", "column")
 
@@ -216,7 +221,7 @@ SELECT file, reaction_count, notes_count, coalesce(total_references, 0) AS total
 def corpus_job(spark, folder):
     """Files to reaction and count tables to the file summary, all written; one row per file."""
     out, path = scratch_path(spark, "corpus"), _markup_files(spark, folder)
-    jobs.build_corpus(spark, path, out, "*.txt")
+    jobs.build_corpus(spark, path, out, MARKUP)
     jobs.summarise_files(spark, out)
     summary = files.read_if_there(spark, f"{out}/file_summary")
     return _file_numbers(spark, path).join(summary, "file_id").drop("file_id")
@@ -227,9 +232,13 @@ def corpus_job(spark, folder):
 sizes AS (SELECT unnest(['train', 'val', 'test']) AS split, unnest([n - held, val, held - val]) AS n FROM s)
 SELECT split, n AS instructions, n AS categorised FROM sizes WHERE n > 0""")
 def split_job(spark, folder):
-    """Files to rows, without duplicates, to the six written files of the splits: their rows."""
-    out = scratch_path(spark, "corpus")
-    jobs.build_corpus(spark, _markup_files(spark, folder), out, "*.txt")
+    """Files to rows, without duplicates, to the six written files of the splits: their rows.
+
+    The files stand in for given ones and are removed when all their rows are written.
+    """
+    out, path = scratch_path(spark, "corpus"), _markup_files(spark, folder)
+    jobs.build_corpus(spark, path, out, MARKUP)
+    drop_scratch(spark, path)
     data, categories = jobs.build_splits(spark, out)
     asked = files.read_json_lines(spark, data, "split string, instruction string, output string")
     known = files.read_json_lines(spark, categories, "split string, combined_category string").filter("combined_category is not null")

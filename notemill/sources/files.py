@@ -10,14 +10,16 @@ from notemill.functions import text as tx
 BROKEN = "_corrupt_record"
 
 
-def _file_name():
-    return F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+def _file_id() -> Column:
+    """The file's own name, out of its address; a plus is a plus there."""
+    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias("file_id")
 
 
 def markup_documents(spark: SparkSession, folder: str, names: str = "*.sbml") -> DataFrame:
     """file_id, value: one row per file with its whole text."""
     files = spark.read.text(folder, wholetext=True, pathGlobFilter=names)
-    return files.select(F.url_decode(_file_name()).alias("file_id"), "value")
+    return files.select(_file_id(), "value")
 
 
 def markup_records(spark: SparkSession, folder: str, tag: str, fields: str, names: str = "*.sbml") -> DataFrame:
@@ -30,7 +32,7 @@ def markup_records(spark: SparkSession, folder: str, tag: str, fields: str, name
     reader = spark.read.format("xml").option("rowTag", tag).option("ignoreNamespace", True)
     reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BROKEN)
     rows = reader.option("pathGlobFilter", names).schema(schema).load(folder)
-    return rows.select(F.url_decode(_file_name()).alias("file_id"), "*")
+    return rows.select(_file_id(), "*")
 
 
 def well_formed(markup: Column) -> Column:
@@ -55,7 +57,7 @@ def record_counts(spark: SparkSession, folder: str, records: DataFrame, names: s
 def list_files(spark: SparkSession, folder: str, names: str = "*") -> DataFrame:
     """file_id, length: the files of a folder. Contents are not read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", names).load(folder)
-    return files.select(F.url_decode(F.element_at(F.split("path", "/"), -1)).alias("file_id"), "length")
+    return files.select(_file_id(), "length")
 
 
 def read_tsv(spark: SparkSession, path: str, schema: str) -> DataFrame:
