@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from notemill.operators import joins
-from notemill.session import RELEASED, materialise, settings
+from notemill.session import RELEASED, drop_scratch, materialise, scratch_path, settings
 
 #: Registers of a distinct sketch: 2 ** 12.
 SKETCH_BITS = 12
@@ -28,12 +28,15 @@ def keep_first(df: DataFrame, subset, order: str) -> DataFrame:
     """
     marked = df.withColumn(_MARK, fingerprint(subset))
     place = F.unhex(F.substring(fingerprint([_MARK, order]), 1, 32))
-    with settings(df.sparkSession, RELEASED):
-        keys = materialise(marked.select(F.unhex(_MARK).alias(_MARK), order), "keys", compression="zstd").withColumn(_MARK, F.lower(F.hex(_MARK)))
+    spark = df.sparkSession
+    written = scratch_path(spark, "keys")
+    with settings(spark, RELEASED):
+        keys = materialise(marked.select(F.unhex(_MARK).alias(_MARK), order), path=written, compression="zstd").withColumn(_MARK, F.lower(F.hex(_MARK)))
         copied = keys.groupBy(_MARK).agg(F.min(order).alias("_first"), F.count("*").alias("_n")).filter("_n > 1").drop("_n")
         copies = joins.lookup_join(keys, copied, _MARK, F.col(order), "inner")
         later = materialise(copies.filter(F.col(order) > F.col("_first")).select(place.alias("_place")), "copies")
     if joins.small_enough(later):
+        drop_scratch(spark, written)
         kept = marked.withColumn("_place", place).join(F.broadcast(later), "_place", "left_anti").filter(F.col(order).isNotNull())
     else:
         first = keys.groupBy(_MARK).agg(F.min(order).alias(order))

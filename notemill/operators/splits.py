@@ -12,7 +12,7 @@ from notemill.functions import text as tx
 from notemill.operators import joins, ranks
 from notemill.operators.once import evaluate_once
 from notemill.operators.sampling import hash_order
-from notemill.session import materialise
+from notemill.session import drop_scratch, materialise, scratch_path
 
 BUCKET_DIGITS = 4       # 65,536 hash buckets per stratum
 REMAINDERS = 4096       # classes of remainders
@@ -114,8 +114,9 @@ def stratified_split(df: DataFrame, stratum: str, key: str, shares: dict = fv.SP
     order = F.concat_ws(":", hash_order(key, seed), F.col(key).cast("string"))
     # a null stratum is one like the others, so its key must join
     named = F.when(F.col(stratum).isNull(), "null").otherwise(F.concat(F.lit("v"), F.col(stratum).cast("string")))
+    written = scratch_path(df.sparkSession, "split")
     keyed = materialise(df.select(named.alias("_stratum"), order.alias("_order"))
-                        .withColumn("_bucket", F.substring("_order", 1, BUCKET_DIGITS)), "split")
+                        .withColumn("_bucket", F.substring("_order", 1, BUCKET_DIGITS)), path=written)
     buckets = materialise(keyed.groupBy("_stratum", "_bucket").agg(F.count("*").alias("n")), "buckets")
     sizes = allocate(buckets.groupBy("_stratum").agg(F.sum("n").alias("n")), "_stratum", shares["val"], shares["test"])
     so_far = Window.partitionBy("_stratum").orderBy("_bucket")
@@ -132,6 +133,7 @@ def stratified_split(df: DataFrame, stratum: str, key: str, shares: dict = fv.SP
         F.max(F.when(F.col("cut") == "train", F.col("_order"))).alias("_train_cut"),
         F.max(F.when(F.col("cut") == "val", F.col("_order"))).alias("_val_cut"))
     cuts = materialise(cuts, "cuts")
+    drop_scratch(df.sparkSession, written)
     small = joins.small_enough(cuts)
     rows = joins.lookup_join(df.withColumns({"_order": order, "_stratum": named}), cuts, "_stratum",
                              F.col("_order"), small=small)
