@@ -8,6 +8,8 @@ from notemill.session import RELEASED, drop_scratch, materialise, scratch_path,
 
 #: Registers of a distinct sketch: 2 ** 12.
 SKETCH_BITS = 12
+#: Bits that tell which rows may be later copies: 16 MB whatever the input.
+FILTER_BITS = 1 << 27
 _MARK = "_fingerprint"
 
 
@@ -18,13 +20,23 @@ def fingerprint(columns) -> Column:
     return F.sha2(F.concat(*parts), 256)
 
 
+def _may_be_in(rows: DataFrame, places: DataFrame, name: str) -> DataFrame:
+    """Adds whether a row's ``_place`` may be one of ``places``, by one bit per hash: false is certain, true is not."""
+    number = F.pmod(F.xxhash64("_place"), F.lit(FILTER_BITS)) + 1
+    bucket, position = F.bitmap_bucket_number(number), F.bitmap_bit_position(number)
+    bits = places.groupBy(bucket.alias("_bucket")).agg(F.bitmap_construct_agg(position).alias("_bits"))
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    met = rows.withColumn("_bucket", bucket).join(F.broadcast(materialise(bits, "bits")), "_bucket", "left")
+    return met.withColumn(name, F.coalesce(F.getbit(byte, (position % 8).cast("int")) == 1, F.lit(False))).drop("_bucket", "_bits")
+
+
 def keep_first(df: DataFrame, subset, order: str) -> DataFrame:
     """One row per value of ``subset`` (nulls are equal): the one that is first by ``order``, which is unique and not null.
 
     Fingerprints and places are written, and the smallest place per fingerprint is found among them. The later copies
-    are broadcast, 16 bytes each, to the rows, which stay where they are. Copies too many for that leave the first rows
-    to be met by fingerprint and place, so that a text copied into a third of all rows does not meet in one task.
-    ``df`` is read twice; write it before if it is costly.
+    are broadcast, 16 bytes each, to the rows, which stay where they are. Are they too many for that, a bitmap tells
+    which rows may be copies, and these alone are moved to meet them, by a key that no two rows share. ``df`` is read
+    twice, or three times; write it before if it is costly.
     """
     marked = df.withColumn(_MARK, fingerprint(subset))
     place = F.unhex(F.substring(fingerprint([_MARK, order]), 1, 32))
@@ -35,13 +47,13 @@ def keep_first(df: DataFrame, subset, order: str) -> DataFrame:
         copied = keys.groupBy(_MARK).agg(F.min(order).alias("_first"), F.count("*").alias("_n")).filter("_n > 1").drop("_n")
         copies = joins.lookup_join(keys, copied, _MARK, F.col(order), "inner")
         later = materialise(copies.filter(F.col(order) > F.col("_first")).select(place.alias("_place")), "copies")
+    drop_scratch(spark, written)
+    rows = marked.withColumn("_place", place).filter(F.col(order).isNotNull()).drop(_MARK)
     if joins.small_enough(later):
-        drop_scratch(spark, written)
-        kept = marked.withColumn("_place", place).join(F.broadcast(later), "_place", "left_anti").filter(F.col(order).isNotNull())
-    else:
-        first = keys.groupBy(_MARK).agg(F.min(order).alias(order))
-        kept = marked.join(first, [_MARK, order], "left_semi")
-    return kept.select(*df.columns)
+        return rows.join(F.broadcast(later), "_place", "left_anti").select(*df.columns)
+    maybe = _may_be_in(rows, later, "_maybe")
+    moved = maybe.filter("_maybe").join(later, "_place", "left_anti")
+    return maybe.filter("not _maybe").select(*df.columns).unionByName(moved.select(*df.columns))
 
 
 def duplicate_report(df: DataFrame, subset) -> DataFrame:

@@ -82,9 +82,20 @@ def test_first_rows_stay_where_they_are(spark, monkeypatch, few):
     kept = dedup.keep_first(df, ["value"], "place")
     assert sorted(r["id"] for r in kept.collect()) == sorted(i for place, value, i in rows if place is not None and place == first[value])
     assert kept.columns == df.columns
-    if few:
-        plan = kept._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and ("SortMergeJoin" not in plan if few else "_maybe" in plan or "getbit" in plan)
+
+
+def test_a_crowded_bitmap_keeps_the_same_rows(spark, monkeypatch):
+    """With few bits nearly every row may be a copy; the join decides."""
+    df = spark.range(3000).select("id", (F.col("id") % 700).cast("string").alias("value")).repartition(4)
+    monkeypatch.setattr(joins, "small_enough", lambda *_: False)
+    for bits in (1, 64, 1 << 16, 1 << 27):
+        monkeypatch.setattr(dedup, "FILTER_BITS", bits)
+        assert sorted(r["id"] for r in dedup.keep_first(df, ["value"], "id").collect()) == list(range(700))
+    places = spark.range(0, 3000, 5).select(F.col("id").alias("_place"))
+    found = dedup._may_be_in(df.withColumn("_place", F.col("id")), places, "maybe").filter("maybe")
+    assert found.filter("id % 5 = 0").count() == 600 and found.count() < 620
 
 
 def test_tables_are_packed_and_shuffles_go(spark, tmp_path):
